@@ -1,0 +1,15 @@
+"""Names of the queries over the event tables, with their DuckDB oracles."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
