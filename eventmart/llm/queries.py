@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from eventmart.llm import exact_dedup
+from eventmart.llm import decontaminate, exact_dedup, token_output
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_token_output": token_output.op3_token_output,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
 ORACLES = {
+    "op2_decontaminate": decontaminate.OP2_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }
