@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, exact_dedup, token_output
+from eventmart.llm import decontaminate, exact_dedup, license_scan, token_output, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_output": token_output.op3_token_output,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op10_license_scan": license_scan.op10_license_scan,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.OP2_SQL,
