@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, exact_dedup, license_scan, quality, token_output, toxicity
+from eventmart.llm import decontaminate, exact_dedup, license_scan, quality, substring_dedup, token_output, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_output": token_output.op3_token_output,
     "op4_quality": quality.op4_quality,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 ORACLES = {
