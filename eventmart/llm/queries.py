@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, exact_dedup, license_scan, quality, substring_dedup, token_output, toxicity
+from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, quality, substring_dedup, token_output, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 ORACLES = {
