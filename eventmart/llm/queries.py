@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, quality, substring_dedup, token_output, toxicity
+import corpus_pipeline
+from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, quality, substring_dedup, token_output, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_output": token_output.op3_token_output,
     "op4_quality": quality.op4_quality,
+    "op5_mixing": mixing.op5_mixing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_license_scan": license_scan.op10_license_scan,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op7_line_dedup": line_dedup.OP7_SQL,
 }
