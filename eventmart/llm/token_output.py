@@ -11,10 +11,10 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +24,10 @@ from eventmart.llm.common import bytes_of, pieces, read_table, stored
 #: (int64), null marks (uint8), ids per document (uint32), control bytes and data bytes.
 HEADER = "<8sIQQ"
 MAGIC = b"TOKBLK01"
-#: Distinct text parts that a Python worker remembers.
-CACHE_PARTS = 400_000
+#: Distinct words, and distinct parts of texts, that a Python worker remembers between pieces of ENCODE_BYTES.
+CACHE_WORDS, CACHE_PARTS, ENCODE_BYTES = 500_000, 200_000, 1 << 20
+#: Punctuation at the end of a part, a word of its own under the tokenizer's rule.
+TAIL = ".,;:!?*$%&#|)"
 #: Bytes of control and data after which a block is closed.
 BLOCK_BYTES = 1 << 20
 
@@ -33,56 +35,88 @@ _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(2
 _tokenizers: dict[str, tuple] = {}
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes (four two-bit lengths each, padded) and data bytes of unsigned 32-bit values."""
-    ranks = ranks.astype(np.uint32)
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF).astype(np.int64)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = size - 1
+def encode_ranks(ranks: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes and data bytes of unsigned 32-bit values, and data bytes of each document.
+
+    n: values of each document. A control byte holds four two-bit lengths, and each document begins a new one.
+    """
+    size = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    codes = np.zeros(int(-(-n // 4).sum()) * 4, np.uint8)
+    codes[_padded(n)] = size - 1
     quads = codes.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    at = np.cumsum(size) - size
+    ends = np.cumsum(size)
+    at = ends - size
     data = np.zeros(int(size.sum()), np.uint8)
     for k in range(4):
-        on = size > k
+        on = np.flatnonzero(size > k) if k else slice(None)
         data[at[on] + k] = ranks[on] >> np.uint32(8 * k) & np.uint32(0xFF)
-    return control.tobytes(), data.tobytes()
+    return control, data, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])])
+
+
+def _padded(n: np.ndarray) -> np.ndarray:
+    """Place of each value when every document begins at a multiple of four."""
+    width = -(-n // 4) * 4
+    return np.arange(int(n.sum())) + np.repeat(np.cumsum(width) - width - (np.cumsum(n) - n), n)
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> tuple[np.ndarray, int]:
-    """The first n values, and how many data bytes they take."""
-    size = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n].astype(np.int64)
+def decode_ranks(control: np.ndarray, data: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The values that encode_ranks wrote."""
+    size = _LENGTHS[control].reshape(-1)[_padded(n)].astype(np.int64)
     at = np.cumsum(size) - size
-    raw = np.frombuffer(data, np.uint8)
-    out = np.zeros(n, np.uint32)
+    out = np.zeros(len(size), np.uint32)
     for k in range(4):
-        on = size > k
-        out[on] |= raw[at[on] + k].astype(np.uint32) << np.uint32(8 * k)
-    return out, int(size.sum())
+        on = np.flatnonzero(size > k) if k else slice(None)
+        out[on] |= data[at[on] + k].astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 def _encoder(path: str):
-    """The tokenizer of a worker and what it remembers: part of a text -> its ids as bytes."""
+    """The tokenizer of a worker, its ids' kind, and what it remembers: ids as bytes of words and of parts of texts."""
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        kind = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        _tokenizers[path] = (tokenizer, kind, {})
+        _tokenizers[path] = (tokenizer, np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32, {}, {})
     return _tokenizers[path]
 
 
+def _encode_words(words: list[str], path: str) -> None:
+    """Remembers the ids of words that the tokenizer's rule keeps whole: they go to its model directly, in its byte alphabet."""
+    from tokenizers import pre_tokenizers
+
+    tokenizer, kind, known, _ = _encoder(path)
+    model, spell = tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    for word in words:
+        known[word] = np.array([t.id for t in model.tokenize(word if word.isascii() else spell(word)[0][0])], kind).tobytes()
+
+
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of each text. The tokenizer drops white space and no token spans it, so a text's ids are those
-    of its parts between blanks, and each distinct part is encoded once."""
-    tokenizer, kind, known = _encoder(path)
+    of its parts between blanks, and each distinct part is encoded once. A part that is letters and then
+    punctuation is two words of its rule; those are shared between parts and cases."""
+    tokenizer, kind, words, known = _encoder(path)
     split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    new = list(set().union(*split).difference(known)) if split else []
-    if len(known) + len(new) > CACHE_PARTS and known:
+    if len(known) > CACHE_PARTS:
         known.clear()
-        new = list(set().union(*split))
-    for part, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-        known[part] = np.array(found.ids, kind).tobytes()
+    if len(words) > CACHE_WORDS:
+        words.clear()
+    new = set().union(*split).difference(known) if split else set()
+    cores, other = {}, []
+    for part in new:
+        core = part.rstrip(TAIL)
+        word = core.lower()
+        # the lower case of a capital sigma depends on its place, so words with one take the other way
+        if core.isalpha() and word.isalpha() and "\u03a3" not in core and is_normalized("NFC", core) and is_normalized("NFC", word):
+            cores[part] = (word, part[len(core) :])
+        else:
+            other.append(part)
+    words[""] = b""
+    _encode_words(list({x for pair in cores.values() for x in pair}.difference(words)), path)
+    for part, (word, tail) in cores.items():
+        known[part] = words[word] + words[tail]
+    for part, encoding in zip(other, tokenizer.encode_batch(other, add_special_tokens=False), strict=True):
+        known[part] = np.array(encoding.ids, kind).tobytes()
     return [np.frombuffer(b"".join(map(known.__getitem__, parts)), kind) for parts in split]
 
 
@@ -90,7 +124,7 @@ def token_table(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     """key and ids (little-endian 16- or 32-bit, end id included) of each row, stored once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=ENCODE_BYTES):
             ids = encode_texts(batch.column("text").to_pylist(), tokenizer)
             ended = [np.append(x, x.dtype.type(end_id)).tobytes() for x in ids]
             width = ids[0].dtype.itemsize
@@ -127,11 +161,15 @@ def write_blocks(tokens: DataFrame, ranks: np.ndarray, shards: int) -> DataFrame
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             keys = batch.column("key")
             shard = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)).astype(np.int32)
-            coded = [encode_ranks(ranks[np.frombuffer(ids.as_buffer(), f"<u{width}")]) for width, ids in zip(batch.column("width").to_pylist(), batch.column("ids"), strict=True)]
-            n = pc.cast(pc.divide(pc.binary_length(batch.column("ids")), batch.column("width")), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(shard), keys, n, pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())], ["shard", "key", "n", "control", "data"])
+            raw, ends = bytes_of(batch.column("ids"))
+            width = batch.column("width")[0].as_py()  # one tokenizer, so one width
+            n = np.diff(ends) // width
+            control, data, sizes = encode_ranks(ranks[raw.view(f"<u{width}")], n)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), keys, pa.array(n), _binaries(control, -(-n // 4)), _binaries(data, sizes)], ["shard", "key", "n", "control", "data"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, base, rows, held = None, 0, 0, [], 0
@@ -160,6 +198,12 @@ def write_blocks(tokens: DataFrame, ranks: np.ndarray, shards: int) -> DataFrame
     return stored(dealt.sortWithinPartitions("shard", "key").mapInArrow(pack, "shard int, block int, n_tokens long, image binary"), "token-blocks", compression="uncompressed")
 
 
+def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column of consecutive stretches of data."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def read_blocks(files: DataFrame, ranks: np.ndarray, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Documents of the file table: key, start, n_tokens, ids_crc32 and, if asked for, the ids."""
     ids_of = np.empty(len(ranks), np.uint32)
@@ -185,19 +229,14 @@ def read_blocks(files: DataFrame, ranks: np.ndarray, key: str = "doc_id", with_i
         null = np.frombuffer(image, np.uint8, rows, at := at + 8 * rows).astype(bool)
         n = np.frombuffer(image, "<u4", rows, at := at + rows).astype(np.int64)
         at += 4 * rows
-        controls = -(-n // 4)
-        data = at + int(controls.sum())
-        crc, all_ids = [], []
-        for count, width in zip(n.tolist(), controls.tolist(), strict=True):
-            ranked, used = decode_ranks(image[at : at + width], image[data:], count)
-            ids = ids_of[ranked].astype("<u4").tobytes()
-            crc.append(zlib.crc32(ids))
-            if with_ids:
-                all_ids.append(np.frombuffer(ids, "<u4"))
-            at, data = at + width, data + used
+        controls = int((-(-n // 4)).sum())
+        ids = ids_of[decode_ranks(np.frombuffer(image, np.uint8, controls, at), np.frombuffer(image, np.uint8, -1, at + controls), n)].astype("<u4")
+        cuts = np.concatenate([[0], np.cumsum(n)])
+        raw = memoryview(ids.tobytes())
+        crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         start = before[shard] + base + np.cumsum(n) - n
         out = [pa.array(keys, mask=null), pa.array(start), pa.array(n), pa.array(crc, pa.int64())]
-        return pa.RecordBatch.from_arrays(out + [pa.array([x.astype(np.int64) for x in all_ids], pa.list_(pa.int64()))] * with_ids, ["key", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids)
+        return pa.RecordBatch.from_arrays(out + [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int64)))] * with_ids, ["key", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids)
 
     schema = "key long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     return files.select("shard", "image").mapInArrow(decode, schema).withColumnRenamed("key", key)
