@@ -42,7 +42,7 @@ c0 AS (SELECT *, 'first' AS copy, ts AS at_ts, k AS kk FROM e0
   UNION ALL SELECT *, 'line', ts + INTERVAL 2 SECOND, (k + 1) % 100 FROM e0 WHERE kind = 'order_placed' AND n % 40 = 2),
 c1 AS (SELECT n, CASE WHEN n % 499 <> 0 THEN {iso("at_ts")} END AS occurred_at, CASE WHEN n % 499 <> 0 THEN at_ts END AS occurred_ts,
   kind AS event_type, ['web', 'mobile_app', 'mobile_web', 'marketplace', 'store', 'api'][u % 6 + 1] AS channel,
-  CASE WHEN n % 101 <> 0 THEN 'sess-' || u || '-' || strftime(ts, '%Y%m%d') END AS session_id, ['desktop', 'mobile', 'tablet'][u % 3 + 1] AS device_type, n_name AS country,
+  CASE WHEN n % 101 <> 0 THEN 'sess-' || u || '-' || strftime(ts, '%Y%m%d') END AS session_id, n % 5 AS seq, ['desktop', 'mobile', 'tablet'][u % 3 + 1] AS device_type, n_name AS country,
   CASE WHEN n % 501 <> 0 THEN 'sku-' || kk END AS product_id, p_name || CASE WHEN copy = 'replay' THEN ' (renamed)' ELSE '' END AS name, p_type AS category, p_brand AS brand,
   CASE WHEN n % 97 <> 0 THEN CAST(value AS DECIMAL(18,2)) END AS price, CASE WHEN n % 53 <> 0 THEN 'cust-' || u END AS customer_id, lower(c_mktsegment) AS segment,
   CASE WHEN {_ORDER} THEN 'ord-' || u || '-' || strftime(ts, '%Y%m%d') END AS order_id, CASE WHEN n % 211 = 0 THEN 500 ELSE 1 + n % 25 END AS quantity, n % 10 * 10 AS pct,
@@ -52,9 +52,9 @@ c1 AS (SELECT n, CASE WHEN n % 499 <> 0 THEN {iso("at_ts")} END AS occurred_at,
 c2 AS (SELECT *, CAST(price * quantity AS DECIMAL(18,2)) AS gross FROM c1),
 c3 AS (SELECT *, CAST(round(CAST(gross AS DECIMAL(18,2)) * CAST(pct AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS off FROM c2),
 f AS (SELECT *, CAST(gross - off AS DOUBLE) AS net, concat_ws('-', event_type, product_id, occurred_at) AS event_id,
-  sha1(concat_ws('|', event_type, coalesce(occurred_at, ''), coalesce(session_id, ''), '', coalesce(product_id, ''), coalesce(customer_id, ''), coalesce(order_id, ''))) AS idempotency_key FROM c3)"""
+  sha1(concat_ws('|', event_type, coalesce(occurred_at, ''), coalesce(session_id, ''), seq, coalesce(product_id, ''), coalesce(customer_id, ''), coalesce(order_id, ''))) AS idempotency_key FROM c3)"""
 
-_FLAT = """SELECT idempotency_key, event_id, event_type, occurred_ts, occurred_at, ingested_at, channel, device_type, CAST(NULL AS VARCHAR) AS device_os, session_id, CAST(NULL AS BIGINT) AS event_sequence,
+_FLAT = """SELECT idempotency_key, event_id, event_type, occurred_ts, occurred_at, ingested_at, channel, device_type, CAST(NULL AS VARCHAR) AS device_os, session_id, seq AS event_sequence,
   product_id, product_id AS sku, trim(name) AS product_name, category, brand, CAST(price AS DOUBLE) AS product_price, customer_id, coalesce(segment, 'unknown') AS customer_segment, country AS customer_country, false AS is_returning,
   order_id, quantity, CAST(price AS DOUBLE) AS unit_price, CAST(pct AS DOUBLE) AS discount_pct, CAST(gross AS DOUBLE) AS gross_amount, CAST(off AS DOUBLE) AS discount_amount, net AS net_amount, currency, payment_method,
   campaign, 'search' AS utm_source, 'cpc' AS utm_medium FROM f"""
@@ -113,7 +113,7 @@ p0 AS (SELECT partition_date, product_id, {", ".join(f"{first(c)} AS {c}" for c
 g_products AS (SELECT *, {pct("orders", "views")} AS view_to_order_pct, row_number() OVER (PARTITION BY partition_date ORDER BY revenue DESC, product_id) AS revenue_rank FROM p0)"""
 
 ANOMALIES = """,
-w AS (SELECT *, CASE WHEN session_id IS NOT NULL THEN lag(occurred_ts) OVER (PARTITION BY session_id ORDER BY occurred_ts, idempotency_key) END AS before FROM s),
+w AS (SELECT *, CASE WHEN session_id IS NOT NULL THEN lag(occurred_ts) OVER (PARTITION BY session_id ORDER BY occurred_ts, event_sequence, idempotency_key) END AS before FROM s),
 x AS (SELECT *, list_filter([CASE WHEN net_amount > 5000 THEN 'high_amount' END, CASE WHEN quantity >= 20 THEN 'bulk_quantity' END, CASE WHEN discount_pct >= 80 THEN 'extreme_discount' END, CASE WHEN net_amount < 0 THEN 'negative_amount' END,
   CASE WHEN customer_id IS NULL THEN 'anonymous_purchase' END, CASE WHEN event_type = 'order_placed' AND epoch_us(date_trunc('second', occurred_ts)) - epoch_us(date_trunc('second', before)) < 5000000 THEN 'rapid_fire' END,
   CASE WHEN product_price IS NULL THEN 'missing_price' END], lambda z: z IS NOT NULL) AS why FROM w),

@@ -44,6 +44,7 @@ def flat_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("kind").alias("event_type"),
         pick(user % 6, "web", "mobile_app", "mobile_web", "marketplace", "store", "api").alias("channel"),
         F.when(n % 101 != 0, F.concat(F.lit("sess-"), user, F.lit("-"), day)).alias("session_id"),
+        (n % 5).cast("string").alias("sequence"),
         pick(user % 3, "desktop", "mobile", "tablet").alias("device_type"),
         F.col("n_name").alias("country"),
         F.lit(None).cast("string").alias("city"),
