@@ -14,7 +14,7 @@ HEAD = "occurred_at,event_type,session_id,product_id,price,customer_id,order_id,
 
 
 def event(i: int, day: int = 24, **more) -> dict:
-    return {"occurred_at": f"2026-06-{day}T10:00:{i:02d}+00:00", "event_type": "product_viewed", "channel": "web", "session": {"session_id": "s"}, "product": {"product_id": f"sku-{i}", "price": 5.0}, "customer": {"customer_id": "c"}, **more}
+    return {"occurred_at": f"2026-06-{day:02d}T10:00:{i:02d}+00:00", "event_type": "product_viewed", "channel": "web", "session": {"session_id": "s"}, "product": {"product_id": f"sku-{i}", "price": 5.0}, "customer": {"customer_id": "c"}, **more}
 
 
 def test_chain_is_repeatable(spark, tmp_path):
