@@ -23,7 +23,19 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         both = edges.union(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")), "large-star")
         small = large.join(large.groupBy("hi").agg(F.min("lo").alias("m")), "hi")
         moved = small.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(small.select("hi", F.col("m").alias("lo")))
         edges = stored(moved.distinct(), "edges")
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, root) after more links (a, b) between nodes; links within a component change nothing."""
+    root = lambda side: labels.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+    more = links.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b")
+    more = stored(more.distinct(), "links")
+    if more.isEmpty():
+        return labels
+    moved = components(more).toDF("root", "to")
+    old = labels.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return stored(old.union(moved.join(labels.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("to").alias("root"))), "labels")

@@ -22,15 +22,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import pieces, read_table, stored
-from eventmart.llm.components import components
+from eventmart.llm.components import components, joined
 from eventmart.llm.words import SPACED, Words, grams, mixed
 
 #: Words of an n-gram; a link needs 100 * intersection >= 75 * union.
 NGRAM, PERCENT = 5, 75
-#: n-grams of one bucket of the counting pass, on average.
-BUCKET_GRAMS = 3_000_000
+#: n-grams of one bucket of the counting pass, on average, and the least number of buckets.
+BUCKET_GRAMS, LEAST_BUCKETS = 3_000_000, 64
 #: Cells of the frequent n-gram table, and times the mean from which a cell bypasses the buckets.
 CELL_BITS, FREQUENT = 14, 6
+#: Sets that a task holds as Python objects at once.
+SLICE_ROWS = 128
 #: Largest set for which subsets may be enumerated.
 LARGEST_LIGHT = 14
 
@@ -170,7 +172,7 @@ def candidate_sets(shared: DataFrame, classes: DataFrame, percent: int) -> DataF
     that may be linked. Stored once."""
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             out = []
             for a, b, n, parts in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "n", "parts")), strict=True):
                 pairs = sorted({(c, t) for p in parts for t, c in zip(p["token"], p["count"], strict=True)})
@@ -207,8 +209,10 @@ def subsets(have: int, n: int, limit: int, percent: int) -> dict[tuple[int, int,
 
 
 def signatures(sets: DataFrame, limit: int, percent: int) -> DataFrame:
-    """token (list name), sid, n: the rarest n-grams of sets that a heavy set may be linked to, and subsets of the light sets."""
-    lists = sets.filter(F.col("n") * 100 >= percent * (limit + 1)).select(F.explode("prefix").alias("token"), "sid", "n")
+    """token (list name), sid, n, pos: the rarest n-grams of sets that a heavy set may be linked to, with their place in
+    the set's order, and subsets of the light sets (place 0)."""
+    lists = sets.filter(F.col("n") * 100 >= percent * (limit + 1)).select("sid", "n", F.size("tokens").alias("shared"), F.posexplode("prefix").alias("pos", "token"))
+    lists = lists.select("token", "sid", "n", (F.col("n") - F.col("shared") + F.col("pos")).alias("pos"))
 
     def enumerate_subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,7 +223,13 @@ def signatures(sets: DataFrame, limit: int, percent: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array([sid] * len(name), pa.int64()), pa.array([n] * len(name), pa.int64())], ["token", "sid", "n"])
 
     light = sets.filter(F.col("n") <= limit).select("sid", "n", "tokens").mapInArrow(enumerate_subsets, "token long, sid long, n long")
-    return lists.union(light)
+    return lists.union(light.select("token", "sid", "n", F.lit(0).cast("long").alias("pos")).distinct())
+
+
+def may_meet(n: str, pos: str, m: str, at: str, percent: int):
+    """Whether sets of n and m n-grams can be linked when their first common n-gram stands at these places of their orders."""
+    least = F.expr(f"({percent} * ({n} + {m}) + {100 + percent - 1}) div {100 + percent}")
+    return (F.col(pos) + least <= F.col(n)) & (F.col(at) + least <= F.col(m))
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -231,23 +241,25 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.select("a", "b", (F.col("o") / union).alias("similarity"), (100 * F.col("o") >= percent * union).alias("linked")), "compared")
 
 
-def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links a, b (sid) that join every pair of linked sets, directly or through other linked sets."""
-    lists = stored(signatures(sets, boundary(sets, percent), percent).distinct(), "lists", compression="zstd")
-    pivots = lists.groupBy("token").agg(F.min("sid").alias("pivot"), F.count("*").alias("sets")).filter("sets > 1").select("token", "pivot")
+def linked_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """node (sid) and root of every set that is linked with another one, directly or through others."""
+    lists = stored(signatures(sets, boundary(sets, percent), percent), "lists", compression="zstd")
+    # the pivot of a list is the set with the fewest rarer n-grams, so the least altered one of a group of copies
+    pivots = lists.groupBy("token").agg(F.min(F.struct("pos", "sid", "n")).alias("p"), F.count("*").alias("sets")).filter("sets > 1").select("token", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.pos").alias("at"))
     member = lists.join(pivots, "token")
-    first = compared(member.filter("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), sets, percent)
-    known = first.filter("linked").select("a", "b")
-    labels = stored(components(known), "labels")
-    near = member.join(first.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), "similarity"), ["pivot", "sid"], "left")
-    near = near.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("token", "sid", "n", F.coalesce("similarity", F.lit(1.0)).alias("s"), F.coalesce("root", "sid").alias("root"))
-    near = stored(near, "members", compression="zstd")
+    first = compared(member.filter((F.col("sid") != F.col("pivot")) & may_meet("n", "pos", "pn", "at", percent)).select(F.least("pivot", "sid").alias("a"), F.greatest("pivot", "sid").alias("b")).distinct(), sets, percent)
+    labels = stored(components(first.filter("linked").select("a", "b")), "labels")
+    distance = first.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), "similarity").union(first.select("b", "a", "similarity"))
+    near = member.join(distance, ["pivot", "sid"], "left").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+    similarity = F.when(F.col("sid") == F.col("pivot"), 1.0).otherwise(F.col("similarity"))
+    near = stored(near.select("token", "sid", "n", "pos", similarity.alias("s"), F.coalesce("root", "sid").alias("root")), "members", compression="zstd")
     open_lists = near.groupBy("token").agg((F.min("root") < F.max("root")).alias("open")).filter("open").select("token")
     left = near.join(open_lists, "token", "left_semi")
-    x, y = left.toDF("token", "a", "na", "sa", "ra"), left.toDF("token", "b", "nb", "sb", "rb")
-    may = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.abs(F.col("sa") - F.col("sb")) <= 1 - percent / 100 + 1e-9)
+    x, y = left.toDF("token", "a", "na", "pa", "sa", "ra"), left.toDF("token", "b", "nb", "pb", "sb", "rb")
+    far = F.coalesce(F.abs(F.col("sa") - F.col("sb")) > 1 - percent / 100 + 1e-9, F.lit(False))
+    may = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & may_meet("na", "pa", "nb", "pb", percent) & ~far
     rest = x.join(y, "token").filter(may).select("a", "b").distinct()
-    return known.union(compared(rest.join(first, ["a", "b"], "left_anti"), sets, percent).filter("linked").select("a", "b"))
+    return joined(labels, compared(rest.join(first, ["a", "b"], "left_anti"), sets, percent).filter("linked").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
@@ -268,9 +280,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ng
     frequent = np.array([cells.get(i, 0) for i in range(1 << CELL_BITS)], np.int64)
     total = int(frequent.sum())
     frequent[frequent <= FREQUENT * max(1, total // len(frequent))] = 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_GRAMS + 1)
+    buckets = max(LEAST_BUCKETS, total // BUCKET_GRAMS + 1)
     sets = candidate_sets(shared_grams(rows, ngram, frequent, buckets), classes, percent)
-    labels = components(links(sets, percent))
+    labels = linked_components(sets, percent)
     member = sets.select("sid", "a", "b").join(labels.withColumnRenamed("node", "sid"), "sid").join(classes, ["a", "b"]).select("a", "b", "root", "low")
     lowest = member.join(member.groupBy("root").agg(F.min("low").alias("component")), "root").select("a", "b", "component")
     of_class = classes.select("a", "b", "low").join(lowest, ["a", "b"], "left").select("a", "b", F.coalesce("component", "low").alias("component"))
