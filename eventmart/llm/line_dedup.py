@@ -5,17 +5,28 @@ Equal runs select equal fingerprints, so a run that occurs twice has a fingerpri
 others are dropped without comparing anything else. Around each repeated fingerprint the runs that selected
 it, its extensions to both sides, are matched by position: the first in document order stays, and the lines
 of every later one are deleted.
+
+Passages (op7_passage_dedup) are stretches of any number of lines, one included, with at least LEAST_WORDS
+words. Their windows are the shortest such stretches from each line and up to each line: equal passages are
+made of equal windows, and these cover all their lines, so matches reach as far to both sides as the lines agree.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import read_table, stored
+from eventmart.llm.common import bytes_of, pieces, read_table, stored
+from eventmart.llm.words import SPACED, mixed, prefix_hash, span_hash
 
 #: Lines of a repeated run, and of a hashed gram within it.
 RUN, GRAM = 3, 2
+#: Words (between white space) of a repeated passage.
+LEAST_WORDS = 50
 
 
 def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -25,7 +36,7 @@ def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def winnowed_runs(lines: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
-    """Each run of lines: row_id, key, first line, run_a and run_b (its hash, 128 bits), and its fingerprint with its place."""
+    """Each run of lines: row_id, key, first and last line, run_a and run_b (its hash, 128 bits), and its fingerprint with its place."""
     hashed = lines.filter(F.size("lines") >= run).select("row_id", "key", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
     grams = F.transform(F.sequence(F.lit(0), F.size("h") - gram), lambda i: F.struct(F.xxhash64(F.slice("h", i + 1, gram)).alias("hash"), (-i).alias("back")))
     place = hashed.withColumn("g", grams)
@@ -34,17 +45,22 @@ def winnowed_runs(lines: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFra
         lambda i: F.struct(i.alias("first"), F.xxhash64(F.slice("h", i + 1, run)).alias("run_a"), F.xxhash64(F.lit(run), F.slice("h", i + 1, run)).alias("run_b"), F.array_min(F.slice("g", i + 1, run - gram + 1)).alias("f")),
     )
     flat = place.select("row_id", "key", F.explode(runs).alias("r"))
-    return flat.select("row_id", "key", "r.first", "r.run_a", "r.run_b", F.col("r.f.hash").alias("fingerprint"), (-F.col("r.f.back")).alias("place"))
+    return flat.select("row_id", "key", "r.first", (F.col("r.first") + run - 1).alias("last"), "r.run_a", "r.run_b", F.col("r.f.hash").alias("fingerprint"), (-F.col("r.f.back")).alias("place"))
 
 
-def repeated_lines(lines: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
-    """row_id and sorted line numbers (gone) of the lines of later runs."""
-    runs = stored(winnowed_runs(lines, run, gram), "runs", compression="zstd")
+def later_runs(runs: DataFrame) -> DataFrame:
+    """row_id, first and last line of the runs that occurred before. runs: as of winnowed_runs, stored."""
     twice = runs.select("fingerprint", "row_id", "place").distinct().groupBy("fingerprint").count().filter("count > 1").select("fingerprint")
     met = stored(runs.join(twice, "fingerprint", "left_semi"), "met", compression="zstd")
     first = met.groupBy("run_a", "run_b").agg(F.min(F.struct("key", "row_id", "first")).alias("one"), F.count("*").alias("n")).filter("n > 1")
     later = met.join(first, ["run_a", "run_b"]).filter((F.col("row_id") != F.col("one.row_id")) | (F.col("first") != F.col("one.first")))
-    return later.select("row_id", F.explode(F.sequence(F.col("first"), F.col("first") + run - 1)).alias("line")).groupBy("row_id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    return later.select("row_id", "first", "last")
+
+
+def repeated_lines(lines: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
+    """row_id and sorted line numbers (gone) of the lines of later runs."""
+    later = later_runs(stored(winnowed_runs(lines, run, gram), "runs", compression="zstd"))
+    return later.select("row_id", F.explode(F.sequence("first", "last")).alias("line")).groupBy("row_id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
 def without_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -62,10 +78,126 @@ def without_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "tex
     return both.select(F.col("key").alias(key), F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), F.size(starts).cast("long").alias("n_runs"), F.array_join(kept, "\n").alias("kept_text"))
 
 
+class Lines:
+    """The lines of a column without nulls. starts, ends: bytes of each line; rows: first line of each row (one more
+    than rows); before, after: words of the column before and up to the end of each line; hash: prefix hash of the bytes."""
+
+    def __init__(self, column: pa.Array):
+        data, offsets = bytes_of(column)
+        breaks = np.flatnonzero(data == 10)
+        self.rows = np.searchsorted(breaks, offsets) + np.arange(len(offsets))
+        self.starts, self.ends = np.zeros(self.rows[-1], np.int64), np.zeros(self.rows[-1], np.int64)
+        head, tail = np.zeros(self.rows[-1], bool), np.zeros(self.rows[-1], bool)
+        head[self.rows[:-1]] = tail[self.rows[1:] - 1] = True
+        self.starts[head], self.starts[~head] = offsets[:-1], breaks + 1
+        self.ends[tail], self.ends[~tail] = offsets[1:], breaks
+        spaced = SPACED[data]
+        inner = np.zeros(len(data) + 1, bool)
+        inner[1:] = spaced
+        inner[offsets] = False
+        words = np.concatenate([[0], np.cumsum(spaced & ~inner[:-1])])
+        self.before, self.after = words[self.starts], words[self.ends]
+        self.hash = prefix_hash(data)
+
+    @property
+    def row(self) -> np.ndarray:
+        """The row of each line."""
+        return np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
+
+    def windows(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last line of the shortest stretches of at least `least` words from each line and up to each line."""
+        line, row = np.arange(len(self.starts)), self.row
+        stop = np.searchsorted(self.after, self.before + least)
+        begin = np.searchsorted(self.before, self.after - least, "right") - 1
+        on, up = stop < self.rows[1:][row], begin >= self.rows[:-1][row]
+        first, last = np.concatenate([line[on], begin[up]]), np.concatenate([stop[on], line[up]])
+        order = np.lexsort((last, first))
+        first, last = first[order], last[order]
+        new = np.ones(len(first), bool)
+        new[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+        return first[new], last[new]
+
+    def fingerprints(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Smallest hash of a pair of neighbours in each window (the rightmost of equal ones) and its line; of one line, its own."""
+        value, place = span_hash(self.hash, self.starts[first], self.ends[first]), first.copy()
+        pair = span_hash(self.hash, self.starts[:-1], np.maximum(self.ends[1:], self.starts[:-1]))
+        order = np.lexsort((-np.arange(len(pair)), pair))
+        least = np.zeros(len(pair), np.int64)
+        least[order] = np.arange(len(pair))
+        size, span = last - first, 1
+        while (size >= span).any():  # least[i] is the rank of the smallest of pairs i to i + span - 1
+            now = np.flatnonzero((size >= span) & (size < 2 * span))
+            place[now] = order[np.minimum(least[first[now]], least[last[now] - span])]
+            value[now] = pair[place[now]]
+            least[: len(least) - span] = np.minimum(least[: len(least) - span], least[span:])
+            span *= 2
+        return value, place
+
+
+def winnowed_passages(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """The windows of `least` words of each row (row_id, key, text), in the columns of winnowed_runs."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            x = Lines(batch.column("text"))
+            first, last = x.windows(least)
+            row = x.row[first]
+            value, place = x.fingerprints(first, last)
+            begin, stop = x.starts[first], x.ends[last]
+            # the second hash is one of the lines, each by its own hash and place
+            lines = prefix_sums(mixed(span_hash(x.hash, x.starts, x.ends) ^ np.uint64(0x243F6A8885A308D3)))
+            columns = [span_hash(x.hash, begin, stop).view(np.int64), mixed(lines[last + 1] - lines[first] + mixed((last - first).astype(np.uint64))).view(np.int64), value.view(np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_id").take(pa.array(row)), batch.column("key").take(pa.array(row)), *(pa.array((c - x.rows[row]).astype(np.int32)) for c in (first, last)), *map(pa.array, columns), pa.array((place - x.rows[row]).astype(np.int32))],
+                ["row_id", "key", "first", "last", "run_a", "run_b", "fingerprint", "place"],
+            )
+
+    kind = texts.schema["key"].dataType.simpleString()
+    return texts.mapInArrow(scan, f"row_id long, key {kind}, first int, last int, run_a long, run_b long, fingerprint long, place int")
+
+
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+
+
+def without_repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
+    """One row per row of docs: key, n_lines, n_removed, n_runs (stretches of removed lines), kept_text.
+
+    Any stretch of whole lines with at least `least` words is deleted where it occurred before; order, nulls and
+    empty tables as in without_repeated_runs.
+    """
+    texts = stored(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(key).alias("key"), F.col(text).alias("text")), "texts", compression="zstd")
+    later = later_runs(stored(winnowed_passages(texts, least), "passages", compression="zstd"))
+    gone = later.groupBy("row_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            out = []
+            for whole, firsts, lasts in zip(*(batch.column(c).to_pylist() for c in ("text", "firsts", "lasts")), strict=True):
+                if firsts is None:
+                    out.append((whole.count("\n") + 1, 0, 0, whole))
+                    continue
+                lines = whole.split("\n")
+                step = np.zeros(len(lines) + 1, np.int64)
+                np.add.at(step, firsts, 1)
+                np.add.at(step, np.array(lasts) + 1, -1)
+                on = np.cumsum(step)[:-1] > 0
+                out.append((len(lines), int(on.sum()), int(on[0]) + int((on[1:] & ~on[:-1]).sum()), "\n".join(x for x, o in zip(lines, on.tolist(), strict=True) if not o)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))], ["key", "n_lines", "n_removed", "n_runs", "kept_text"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    both = texts.join(gone, "row_id", "left").select("key", "text", "firsts", "lasts")
+    return both.mapInArrow(cut, f"key {kind}, n_lines long, n_removed long, n_runs long, kept_text string").withColumnRenamed("key", key)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_runs(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_passages(read_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 OP7_SQL = """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 t AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM d),

@@ -13,6 +13,7 @@ QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op7_passage_dedup": line_dedup.op7_passage_dedup,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_license_scan": license_scan.op10_license_scan,
