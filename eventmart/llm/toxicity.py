@@ -2,8 +2,9 @@
 
 Two interpolated Kneser-Ney models, of toxic and of ordinary texts, are compared by their length-normalised
 log-likelihoods. Each backs off from word pairs to words and from words to counts shared by both classes,
-gathered from every document, so that a rare expression gets the same mass from either. Counts are numbers
-of documents (a document is one context), which keeps a text that repeats itself from counting twice.
+gathered from every document, so that a rare expression gets the same mass from either. Pairs are counted in
+documents (a document is one context), which keeps a text that repeats itself from counting twice; the lower
+orders count continuations, the different words that a word follows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from eventmart.llm.words import Words, grams
 
 #: Labelled rows that fit the two models and their calibration, the first in the order of a hash of their key.
 MAX_LABELLED = 20_000
-#: Words and word pairs that the models keep, those of most documents; the others back off.
+#: Words and word pairs that the models keep, those of most documents; the whole mass of the others is backed off.
 MAX_WORDS, MAX_PAIRS = 1 << 18, 1 << 17
 #: Cells of the shared counts, and the least discount.
 SHARED_BITS, LEAST_DISCOUNT = 18, 2.0
@@ -48,11 +49,11 @@ class KneserNey:
     discount: float  # documents taken off each count; what is taken off goes to the shared counts
     shared: np.ndarray  # probability of each cell
     words: np.ndarray
-    word_counts: np.ndarray  # 2 x words
+    word_counts: np.ndarray  # 2 x words: different words that the word follows
     word_total: np.ndarray  # by class
-    word_freed: np.ndarray  # what the discount takes off word_total
+    word_freed: np.ndarray  # of word_total, what the kept words do not have after the discount
     followed: np.ndarray  # 2 x words: documents with a pair that starts with the word, by pair
-    freed: np.ndarray  # 2 x words: what the discount takes off `followed`
+    freed: np.ndarray  # 2 x words: of `followed`, what the kept pairs do not have after the discount
     pairs: np.ndarray
     pair_counts: np.ndarray  # 2 x pairs
 
@@ -106,26 +107,21 @@ def find(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shared_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """Share of each hash cell in the backoff counts of words over all documents.
+    """Share of each hash cell in the continuations of words over all documents: the different pairs of a word
+    before (32 bits of its hash) and a word of the cell, and one more for each cell."""
 
-    A cell's documents count up to twice the median cell: as in any Kneser-Ney backoff, a word that is
-    frequent in one class must not draw the mass that was freed for rare ones.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SHARED_BITS, np.int64)
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             w = Words(batch.column("text"))
-            cell = (w.hash >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
-            total += np.bincount(np.unique(w.row << SHARED_BITS | cell) & (1 << SHARED_BITS) - 1, minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["cell", "n"])
+            inner = np.flatnonzero(w.row[1:] == w.row[:-1]) if len(w) else np.zeros(0, np.int64)
+            pair = np.unique(w.hash[inner + 1] >> np.uint64(64 - SHARED_BITS) << np.uint64(32) | w.hash[inner] >> np.uint64(32))
+            yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64))], ["pair"])
 
+    different = docs.select(F.col(text).alias("text")).mapInArrow(pairs, "pair long").distinct()
     # at most 2 ** SHARED_BITS rows
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = different.groupBy(F.shiftright("pair", 32).cast("int").alias("cell")).agg(F.count("*").alias("n")).toPandas()
     n = np.ones(1 << SHARED_BITS)
     n[rows["cell"].to_numpy()] += rows["n"].to_numpy()
-    n = np.minimum(n, 2 * np.median(n))
     return n / n.sum()
 
 
@@ -158,28 +154,34 @@ def fit_models(docs: DataFrame, texts: DataFrame, text: str = "text") -> KneserN
     """Both models: class counts from the labelled texts, shared counts from all documents.
 
     The discount grows with the root of the toxic texts, as the chance counts of harmless words do;
-    expressions of fewer documents tell the classes apart no more and are left to the shared counts.
+    expressions of fewer documents tell the classes apart no more and are left to the shared counts. A pair
+    that exceeds it in either class is kept for both; each class's mass of all other pairs backs off.
     """
     discount = max(LEAST_DISCOUNT, float(np.sqrt(texts.filter("y = 1").count())) / 3)
-    pairs = pair_table(texts)
-    words = pairs.filter("first = 0")
-    sums = words.agg(F.sum("n0"), F.sum("n1"), *(F.sum(F.least(c, F.lit(discount))) for c in ("n0", "n1"))).first()
-    history = pairs.filter("first <> 0").groupBy("first").agg(F.sum("n0").alias("f0"), F.sum("n1").alias("f1"), *(F.sum(F.least(f"n{c}", F.lit(discount))).alias(f"t{c}") for c in (0, 1)))
-    common = words.filter("n0 + n1 >= 2").orderBy(F.desc(F.expr("n0 + n1")), "word").limit(MAX_WORDS)
-    kept = common.select("word", "n0", "n1").join(history.withColumnRenamed("first", "word"), "word", "left").fillna(0).toPandas()
-    top = pairs.filter("first <> 0").filter(F.col("n1") > discount).orderBy(F.desc("n1"), "first", "word").limit(MAX_PAIRS).toPandas()
+    table = pair_table(texts)
+    pairs = table.filter("first <> 0")
+    words = stored(pairs.groupBy("word").agg(*(F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"c{c}") for c in (0, 1))), "continuations")
+    sums = words.agg(F.sum("c0"), F.sum("c1")).first()
+    history = pairs.groupBy("first").agg(F.sum("n0").alias("f0"), F.sum("n1").alias("f1"))
+    common = table.filter("first = 0 AND n0 + n1 >= 2").orderBy(F.desc(F.expr("n0 + n1")), "word").limit(MAX_WORDS)
+    kept = common.select("word").join(words, "word", "left").join(history.withColumnRenamed("first", "word"), "word", "left").fillna(0).toPandas()
+    top = pairs.filter(F.greatest("n0", "n1") > discount).orderBy(F.desc(F.expr("n0 + n1")), "first", "word").limit(MAX_PAIRS).toPandas()
     key = kept["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)
+    key = key[order] if len(key) else np.zeros(1, np.uint64)
     column = lambda *names: np.stack([kept[c].to_numpy(np.float64)[order] if len(kept) else np.zeros(1) for c in names])
     pair = top[["first", "word"]].to_numpy(np.int64).view(np.uint64)
     pair_key = np.array(grams(pair.reshape(-1), 2)[::2]) if len(pair) else np.zeros(1, np.uint64)
     pair_order = np.argsort(pair_key)
     pair_counts = np.stack([top[c].to_numpy(np.float64)[pair_order] if len(top) else np.zeros(1) for c in ("n0", "n1")])
-    return KneserNey(
-        discount, shared_counts(docs, text), key[order] if len(key) else np.zeros(1, np.uint64), column("n0", "n1"),
-        np.maximum([sums[0] or 0, sums[1] or 0], 1.0), np.maximum([sums[2] or 0, sums[3] or 0], 1.0), column("f0", "f1"), column("t0", "t1"),
-        pair_key[pair_order], pair_counts,
-    )
+    counts, followed = column("c0", "c1"), column("f0", "f1")
+    freed = followed.copy()
+    at, known = find(key, pair[pair_order, 0] if len(pair) else np.zeros(1, np.uint64))
+    for c in (0, 1):
+        np.subtract.at(freed[c], at[known], np.maximum(pair_counts[c][known] - discount, 0))
+    total = np.array([sums[0] or 0, sums[1] or 0], np.float64)
+    word_freed = total - np.maximum(counts - discount, 0).sum(axis=1)
+    return KneserNey(discount, shared_counts(docs, text), key, counts, np.maximum(total, 1.0), np.maximum(word_freed, 1.0), followed, freed, pair_key[pair_order], pair_counts)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-2) -> np.ndarray:

@@ -5,7 +5,11 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
-from eventmart.llm import line_dedup
+import numpy as np
+import pyarrow as pa
+
+from eventmart.llm import line_dedup, toxicity
+from eventmart.llm.words import Words
 from test_llm import documents
 
 
@@ -37,3 +41,22 @@ def test_passages_of_any_number_of_lines(spark):
             want = (len(lines), len(gone[i]), sum(k - 1 not in gone[i] for k in gone[i]), "\n".join(x for k, x in enumerate(lines) if k not in gone[i]))
             assert tuple(got[i])[1:] == want, (least, i)
     assert line_dedup.without_repeated_passages(documents(spark, [])).count() == 0
+
+
+def test_ordinary_pairs_speak_against_toxic(spark):
+    """A pair of ordinary documents alone counts for their class, and no mass of a class is lost."""
+    rng = random.Random(6)
+    filler = lambda: " ".join(rng.choice(["one", "two", "three", "four", "five"]) for _ in range(6))
+    texts = [(f"{filler()} good morning {filler()}", 0) for _ in range(300)]
+    texts += [(f"{filler()} good {rng.choice(['heavens', 'grief', 'lord'])} {filler()} morning {filler()}", 1) for _ in range(60)]
+    rows = spark.createDataFrame(texts, "text string, y int")
+    m = toxicity.fit_models(rows, rows)
+    w = Words(pa.array(["good morning"]))
+    assert m.ratios(w)[1] < -1
+    at, known = toxicity.find(m.words, w.hash[:1])
+    vocabulary = Words(pa.array(["good " + x for x in "one two three four five good morning heavens grief lord".split()]))
+    pairs = toxicity.grams(vocabulary.hash, 2)[::2]
+    place, kept = toxicity.find(m.pairs, pairs)
+    for c in (0, 1):
+        seen = np.maximum(m.pair_counts[c][place[kept]] - m.discount, 0).sum()
+        assert known[0] and np.isclose(seen + m.freed[c][at[0]], m.followed[c][at[0]])
