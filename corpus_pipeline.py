@@ -1,9 +1,9 @@
 """A training corpus from `documents`: each stage applies one operator to all that the one before it kept.
 
 toxicity drops the documents that the models reject; near duplicates keeps one document of each group, the
-one with the smallest doc_id (rows that repeat a doc_id share its fate); decontamination drops documents
+one with the smallest doc_id (null last; of rows that repeat it, the first); decontamination drops documents
 that hold benchmark passages; mixing repeats and orders documents for the target weights of their sources; token output encodes them.
-All but the last return the columns of `documents`. Empty tables pass through every stage.
+Both decide on each row by its number, whatever its doc_id. All but the last return the columns of `documents`. Empty tables pass through every stage.
 """
 
 from __future__ import annotations
@@ -20,18 +20,31 @@ from eventmart.llm.token_output import token_output
 from eventmart.llm.toxicity import without_toxic
 
 
+#: Column of a row's number within a stage.
+ROW = "pipeline_row"
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number of its own for each row, stored so that it stays the same."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows", compression="zstd")
+
+
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    rows = numbered(docs)
+    group = near_duplicates(rows, key=ROW).select(ROW, "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first")
+    kept = group.groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contamination(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["bad_id"]), "left_anti")
+    rows = numbered(docs)
+    found = contamination(rows, read_table(spark, sf_dir, "benchmark"), key=ROW).filter("contaminated").select(ROW)
+    return rows.join(found, ROW, "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

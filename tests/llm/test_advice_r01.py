@@ -8,9 +8,10 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from eventmart.llm import line_dedup, toxicity
 from eventmart.llm.words import Words
-from test_llm import documents
+from test_llm import SCHEMA, documents
 
 
 def passages_gone(texts, least):
@@ -60,3 +61,17 @@ def test_ordinary_pairs_speak_against_toxic(spark):
     for c in (0, 1):
         seen = np.maximum(m.pair_counts[c][place[kept]] - m.discount, 0).sum()
         assert known[0] and np.isclose(seen + m.freed[c][at[0]], m.followed[c][at[0]])
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Rows that share a doc_id, or have none, are judged one by one."""
+    copy, other, third, bad = ("".join(f"{w}{i} " for i in range(40)) for w in ("copy", "other", "third", "bad"))
+    texts = [(7, copy), (7, copy), (None, copy), (3, other), (7, other), (None, third), (None, bad), (3, bad + "end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], SCHEMA).repartition(3)
+    spark.createDataFrame([(0, bad)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near = corpus_pipeline.near_duplicate(spark, docs, str(tmp_path))
+    assert near.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in near.collect()) == sorted([(7, copy), (3, other), (0, third), (3, bad + "end")])
+    clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted((i or 0, t) for i, t in texts[:6])
