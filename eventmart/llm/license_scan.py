@@ -2,7 +2,9 @@
 
 One automaton holds the words of every template and phrase. Each text is streamed through it once: after
 each word it is in the state of the longest licence passage that ends there. Long matches of a template are
-chained in order, over small gaps, into spans with the share of the template's words that they cover. Only
+chained in order, over small gaps, into spans with the share of the template's words that they cover. A span
+has its label if it covers enough of the words that tell the licence, those in no template of another family
+(labels that begin alike, as cc-by and cc-by-nc); of overlapping spans of one family the fullest has it. Only
 runs of words that licences use at all are streamed; any other word returns the automaton to its root.
 """
 
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.common import pieces, read_table
 from eventmart.llm.words import Words
 
-# Phrases whose every place counts, and the opening terms of well-known licences.
+# Phrases whose every place counts, and the opening terms and whole notices of well-known licences.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 TEMPLATES = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
@@ -32,9 +34,19 @@ TEMPLATES = [
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
 ]
 
+TEMPLATES += [(f"cc-by{short}", f"This work is licensed under a Creative Commons Attribution{name} 4.0 International License") for short, name in (("-nc", "-NonCommercial"), ("-nc-nd", "-NonCommercial-NoDerivatives"), ("-nc-sa", "-NonCommercial-ShareAlike"), ("-nd", "-NoDerivatives"), ("-sa", "-ShareAlike"))]
+_AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE'
+TEMPLATES += [
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License'),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _AS_IS),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/"),
+    ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE'),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/"),
+]
+
 #: Words of the shortest match that counts for a template, and the longest gap within a chain.
 LEAST_MATCH, LARGEST_GAP = 4, 12
-#: Share of a template's words that a chain must cover for its label.
+#: Share of a template's words, and of those of them that tell its licence, that a chain must cover for its label.
 LEAST_COVERAGE = 0.5
 
 
@@ -106,6 +118,12 @@ class Scanner:
         sequences = [number[a:b].tolist() for a, b in zip(w.rows[:-1], w.rows[1:], strict=True)]
         self.labels, self.sizes = [label for label, _ in templates] + list(phrases.values()), [len(s) for s in sequences]
         self.first_phrase = len(templates)
+        self.family = [label.split("-")[0] for label in self.labels]
+        #: of each template, how many of its first words tell its licence
+        self.telling = []
+        for k in range(self.first_phrase):
+            others = {x for j in range(self.first_phrase) if self.family[j] != self.family[k] for x in sequences[j]}
+            self.telling.append(np.cumsum([0, *(x not in others for x in sequences[k])]).tolist())
         self.automaton = SuffixAutomaton(sequences)
         #: phrases that end where a state's passages end, with their sizes: its own and those of its suffix link
         self.phrases: list[list[tuple[int, int]]] = [[] for _ in self.automaton.ends]
@@ -131,22 +149,32 @@ class Scanner:
             before = now
 
     def spans(self, matches: list) -> list[dict]:
-        """Best chains: of each template, matches in order in text and template with small gaps between them."""
-        chains: list[list] = []  # template, first word, stop, template stop, covered words
+        """Best chains: of each template, matches in order in text and template with small gaps between them; labelled
+        are those that tell their licence and are the fullest of their family where they stand."""
+        chains: list[list] = []  # template, first word, stop, template stop, covered words, covered words that tell
         near: list[list] = []
         for k, word, place, size in sorted(matches, key=lambda m: m[1:]):
             near = [c for c in near if word - c[2] <= LARGEST_GAP]
             fits = [c for c in near if c[0] == k and c[2] <= word and 0 <= place - c[3] <= LARGEST_GAP]
+            told = self.telling[k][place + size] - self.telling[k][place]
             if fits:
-                max(fits, key=lambda c: c[4])[2:] = [word + size, place + size, max(c[4] for c in fits) + size]
+                best = max(fits, key=lambda c: c[4])
+                best[2:] = [word + size, place + size, best[4] + size, best[5] + told]
             else:
-                chains.append([k, word, word + size, place + size, size])
+                chains.append([k, word, word + size, place + size, size, told])
                 near.append(chains[-1])
-        return [{"label": self.labels[k], "first": a, "stop": b, "coverage": n / self.sizes[k]} for k, a, b, _, n in chains]
+        labelled: list[list] = []
+        for c in sorted(chains, key=lambda c: (-c[4], -c[4] / self.sizes[c[0]], c)):
+            k = c[0]
+            tells = c[5] > 0 or self.telling[k][-1] == 0
+            if tells and c[4] >= LEAST_COVERAGE * self.sizes[k] and c[5] >= LEAST_COVERAGE * self.telling[k][-1]:
+                if not any(self.family[o[0]] == self.family[k] and self.labels[o[0]] != self.labels[k] and o[1] < c[2] and c[1] < o[2] for o in labelled):
+                    labelled.append(c)
+        return [{"label": self.labels[c[0]], "first": c[1], "stop": c[2], "coverage": c[4] / self.sizes[c[0]], "labelled": any(c is o for o in labelled)} for c in chains]
 
 
 def license_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """Per row of docs: key, n_words, places (label, word) of the phrases and spans (label, first, stop, coverage) of the templates."""
+    """Per row of docs: key, n_words, places (label, word) of the phrases and spans (label, first, stop, coverage, labelled) of the templates."""
     scanner = Scanner(templates, phrases)
     shortest = min(scanner.sizes)
 
@@ -173,13 +201,13 @@ def license_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", temp
                     batch.column("key"),
                     pa.array(np.diff(w.rows)),
                     pa.array([[{"label": scanner.labels[k], "word": at} for k, at in p] for p in places], pa.list_(pa.struct({"label": pa.string(), "word": pa.int64()}))),
-                    pa.array([scanner.spans(m) for m in matches], pa.list_(pa.struct({"label": pa.string(), "first": pa.int64(), "stop": pa.int64(), "coverage": pa.float64()}))),
+                    pa.array([scanner.spans(m) for m in matches], pa.list_(pa.struct({"label": pa.string(), "first": pa.int64(), "stop": pa.int64(), "coverage": pa.float64(), "labelled": pa.bool_()}))),
                 ],
                 ["key", "n_words", "places", "spans"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, n_words long, places array<struct<label: string, word: long>>, spans array<struct<label: string, first: long, stop: long, coverage: double>>"
+    schema = f"key {kind}, n_words long, places array<struct<label: string, word: long>>, spans array<struct<label: string, first: long, stop: long, coverage: double, labelled: boolean>>"
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(scan, schema).withColumnRenamed("key", key)
 
 
@@ -192,7 +220,7 @@ def license_labels(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     found = license_spans(docs, key, text)
     base = F.array_sort(F.array_distinct(F.col("places.label")))
-    long = F.filter("spans", lambda s: s["coverage"] >= LEAST_COVERAGE)
+    long = F.filter("spans", lambda s: s["labelled"])
     best = F.coalesce(F.array_max(F.col("spans.coverage")), F.lit(0.0))
     return found.select(
         key,

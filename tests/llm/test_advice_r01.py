@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from eventmart.llm import line_dedup, toxicity
+from eventmart.llm import license_scan, line_dedup, toxicity
 from eventmart.llm.words import Words
 from test_llm import SCHEMA, documents
 
@@ -75,3 +75,18 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
     assert clean.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted((i or 0, t) for i, t in texts[:6])
+
+
+def test_common_openings_tell_no_licence(spark):
+    work = "This work is licensed under"
+    cases = {
+        f"{work} the MIT License": "mit", f"{work} the Apache License, Version 2.0": "apache-2.0", f"{work} the Foo License": "", f"{work} a Foo 4.0 International License": "",
+        f"{work} the GNU General Public License, version 3": "gpl", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+    }
+    for label, name in (("", ""), ("-nc", "-NonCommercial"), ("-sa", "-ShareAlike"), ("-nc-sa", "-NonCommercial-ShareAlike")):
+        cases[f"{work} a Creative Commons Attribution{name} 4.0 International License"] = f"cc-by{label}"
+    whole = {label: text for label, text in license_scan.TEMPLATES if len(text) > 400}
+    cases |= {text[len(text) // 5 :]: label for label, text in whole.items()} | {text: label for label, text in license_scan.TEMPLATES}
+    got = {r.doc_id: r.labels for r in license_scan.license_labels(documents(spark, list(cases))).collect()}
+    base = {t: {v for k, v in license_scan.PHRASES.items() if k in t.lower()} for t in cases}
+    assert {t: got[i] for i, t in enumerate(cases)} == {t: ",".join(sorted(base[t] | ({label} if label else set()))) for t, label in cases.items()}
