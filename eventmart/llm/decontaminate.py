@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from eventmart.llm.words import Words
 
 #: Words of a window; a shorter item is one window.
 WINDOW = 13
+#: Candidate diagonals that one pass compares.
+COMPARED = 500
 #: Bits of the vocabulary sets that are sent to the scan.
 VOCABULARY_BITS = 20
 
@@ -101,13 +104,15 @@ def postings(index: DataFrame) -> DataFrame:
 def rarest_terms(index: DataFrame, items: DataFrame) -> DataFrame:
     """Per window of each item: item_row, first word of the window, and its two rarest terms with offsets.
 
-    Windows with a term that occurs nowhere are left out; `second` is null for windows of one word.
+    Windows with a term that occurs nowhere are left out; `second` is null for windows of one word. Windows slide
+    over the rows of an item, so that an item of any length costs what its words cost.
     """
     counts = postings(index).groupBy("term").count()
-    terms = items.select("item_row", "m", F.posexplode("words").alias("off", "term")).join(counts, "term", "left")
-    per_item = terms.groupBy("item_row", "m").agg(F.array_sort(F.collect_list(F.struct("off", F.coalesce("count", F.lit(0)).alias("n"), "term"))).alias("t"))
-    windows = per_item.select("item_row", "m", "t", F.explode(F.sequence(F.lit(0), F.size("t") - F.col("m"))).alias("first"))
-    ranked = windows.withColumn("r", F.array_sort(F.transform(F.slice("t", F.col("first") + 1, F.col("m")), lambda x: F.struct(x["n"].alias("n"), x["off"].alias("off"), x["term"].alias("term")))))
+    terms = items.select("item_row", "m", F.size("words").alias("n_words"), F.posexplode("words").alias("off", "term")).join(counts, "term", "left")
+    term = F.struct(F.coalesce("count", F.lit(0)).alias("n"), "off", "term")
+    longest = items.agg(F.max("m")).first()[0] or 1
+    ahead = Window.partitionBy("item_row").orderBy("off").rowsBetween(0, longest - 1)  # a window that is shorter is its whole item
+    ranked = terms.select("item_row", "m", "n_words", F.col("off").alias("first"), F.array_sort(F.collect_list(term).over(ahead)).alias("r")).filter(F.col("first") + F.col("m") <= F.col("n_words"))
     return ranked.filter(F.col("r")[0]["n"] > 0).select("item_row", "first", F.col("r")[0].alias("rarest"), F.get("r", F.lit(1)).alias("second"))
 
 
@@ -117,54 +122,69 @@ def term_hits(index: DataFrame, windows: DataFrame) -> DataFrame:
     return postings(index).join(chosen, "term").select("row_id", "item_row", "off", (F.col("pos") - F.col("off")).alias("diag"))
 
 
-def phrase_matches(index: DataFrame, items: DataFrame) -> DataFrame:
+def phrase_matches(index: DataFrame, items: DataFrame, windows: DataFrame | None = None) -> DataFrame:
     """Exact occurrences of windows: row_id, item, and maximal stretches [first, stop) of words that they cover on one diagonal."""
-    windows = stored(rarest_terms(index, items), "windows")
-    met = term_hits(index, windows).groupBy("row_id", "item_row", "diag").agg(F.collect_set("off").alias("offs"))
-    needed = windows.groupBy("item_row").agg(F.collect_set(F.struct(F.col("rarest.off").alias("a"), F.col("second.off").alias("b"))).alias("pairs"))
-    both = lambda p: F.array_contains("offs", p["a"]) & (p["b"].isNull() | F.array_contains("offs", p["b"]))
-    candidates = met.join(needed, "item_row").filter(F.exists("pairs", both)).select("row_id", "item_row", "diag")
-    whole = candidates.join(items.select("item_row", "item", "words", "m"), "item_row").join(index.select("row_id", "pos", "terms"), "row_id")
+    windows = stored(rarest_terms(index, items), "windows") if windows is None else windows
+    hits = stored(term_hits(index, windows), "hits", compression="zstd")
+    needed = windows.select("item_row", F.col("rarest.off").alias("off"), F.col("second.off").alias("other")).distinct()
+    met = hits.join(needed, ["item_row", "off"]).select("row_id", "item_row", "diag", F.coalesce("other", "off").alias("off"))
+    candidates = met.join(hits, ["row_id", "item_row", "diag", "off"], "left_semi").select("row_id", "item_row", "diag").distinct()
+    end = F.col("diag") + F.size("words")
+    terms = F.filter(F.arrays_zip("pos", "terms"), lambda t: (t["pos"] >= F.col("diag")) & (t["pos"] < end))
+    # of the document only the stretch that the item covers goes on, and of the item only what stands beside it
+    near = candidates.join(index.select("row_id", "pos", "terms"), "row_id").join(items.select("item_row", "item", "words", "m"), "item_row").select("row_id", "item", "m", "diag", "words", terms.alias("t"))
+    low, high = F.array_min("t.pos") - F.col("diag"), F.array_max("t.pos") - F.col("diag")
+    cut = near.filter(F.size("t") >= F.col("m")).select("row_id", "item", "m", (F.col("diag") + low).alias("base"), F.slice("words", low + 1, high - low + 1).alias("words"), F.col("t.pos").alias("pos"), F.col("t.terms").alias("terms"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                at = dict(zip(row["pos"], row["terms"], strict=True))
-                run = 0
-                for off, word in enumerate([*row["words"], None]):
-                    here = row["diag"] + off
-                    if word is not None and at.get(here) == word:
-                        run += 1
-                    else:
-                        if run >= row["m"]:
-                            out.append((row["row_id"], row["item"], here - run, here))
-                        run = 0
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.string(), pa.int32(), pa.int32()), strict=True)], ["row_id", "item", "first", "stop"])
-
-    return whole.select("row_id", "diag", "item", "words", "m", "pos", "terms").mapInArrow(compare, "row_id long, item string, first int, stop int")
-
-
-def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 5) -> DataFrame:
-    """Near occurrences: key, item and the window's first word, where the two rarest terms of a window stand
-    in their order within `slop` words of their distance in it. The index needs min_run=1."""
-    windows = stored(rarest_terms(index, items), "windows").filter("second IS NOT NULL")
-    hits = term_hits(index, windows)
-    one = windows.select("item_row", "first", F.col("rarest.off").alias("off"), F.col("second.off").alias("off2")).join(hits, ["item_row", "off"]).withColumnRenamed("diag", "d1")
-    two = hits.select("row_id", "item_row", F.col("off").alias("off2"), F.col("diag").alias("d2"))
-    near = one.join(two, ["row_id", "item_row", "off2"]).filter((F.abs(F.col("d1") - F.col("d2")) <= slop) & ((F.col("off2") - F.col("off") + F.col("d2") - F.col("d1")) * (F.col("off2") - F.col("off")) > 0))
-    return near.join(index.select("row_id", "key"), "row_id").join(items.select("item_row", "item"), "item_row").select("key", "item", "first").distinct()
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per row of docs: key, n_words, n_hit, n_items, items_sha256, contaminated.
+        for batch in (b.slice(i, COMPARED) for b in batches for i in range(0, b.num_rows, COMPARED)):
+            words, n_words = batch.column("words"), batch.column("words").value_lengths().to_numpy()
+            pos, n = batch.column("pos").flatten().to_numpy().astype(np.int64), batch.column("pos").value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(n)), n)
+            word = pos - batch.column("base").to_numpy()[row] + (np.cumsum(n_words) - n_words)[row]
+            same = pc.equal(batch.column("terms").flatten(), words.flatten().take(pa.array(word))).to_numpy(zero_copy_only=False)
+            # runs of equal words at neighbouring positions
+            at, row = pos[same], row[same]
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(at)))
+            long = size >= batch.column("m").to_numpy()[row[first]]
+            first, size = first[long], size[long]
+            of = pa.array(row[first])
+            yield pa.RecordBatch.from_arrays([batch.column("row_id").take(of), batch.column("item").take(of), pa.array(at[first].astype(np.int32)), pa.array((at[first] + size).astype(np.int32))], ["row_id", "item", "first", "stop"])
+
+    return cut.mapInArrow(compare, "row_id long, item string, first int, stop int")
+
+
+def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 5, least: float = 1.0) -> DataFrame:
+    """Near occurrences: row_id, key, item and the window's first word, where of a window's words at least the share
+    `least` stand within `slop` words of their places beside its rarest term. The index needs min_run=1."""
+    windows = stored(rarest_terms(index, items), "windows")
+    words = items.select("item_row", "m", F.posexplode("words").alias("off", "term"))
+    anchor = windows.select("item_row", F.col("rarest.off").alias("off"), F.col("rarest.term").alias("term")).distinct()
+    places = postings(index).join(anchor, "term").select("row_id", "item_row", "off", F.col("pos").alias("at"))
+    beside = windows.select("item_row", "first", F.col("rarest.off").alias("anchor")).join(words, "item_row").filter((F.col("off") >= F.col("first")) & (F.col("off") < F.col("first") + F.col("m")))
+    wanted = beside.select("item_row", "first", "m", F.col("anchor").alias("off"), F.col("off").alias("word"), "term")
+    # positions are dealt to cells of the tolerance, so that each word looks at the few near its place
+    cell = 2 * slop + 1
+    near = places.join(wanted, ["item_row", "off"]).withColumn("due", F.col("at") + F.col("word") - F.col("off")).withColumn("cell", F.explode(F.array(F.expr(f"(due - {slop}) div {cell}"), F.expr(f"(due + {slop}) div {cell}"))))
+    found = near.join(postings(index).withColumn("cell", F.expr(f"pos div {cell}")), ["row_id", "term", "cell"]).filter(F.abs(F.col("pos") - F.col("due")) <= slop)
+    hit = found.groupBy("row_id", "item_row", "first", "m", "at").agg(F.countDistinct("word").alias("n")).filter(F.col("n") >= F.ceil(F.lit(least) * F.col("m")))
+    return hit.select("row_id", "item_row", "first").distinct().join(index.select("row_id", "key"), "row_id").join(items.select("item_row", "item"), "item_row").select("row_id", "key", "item", "first")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int | None = None) -> DataFrame:
+    """One row per row of docs: key, n_words, n_hit, n_items, items_sha256, contaminated, and with slop also n_near.
+
+    n_near: items of which all words of a window stand within `slop` words of their places (proximity matches).
 
     Null text has no words, and a text without words is clean; null item ids count as one item ''. Repeated
     rows are judged one by one. An empty table of either kind gives clean rows or no rows. Other columns
     are not read.
     """
     items = item_table(benchmark, item_key, item_text, window)
-    index = build_index(docs, items, key, text, window)
+    index = build_index(docs, items, key, text, window, None if slop is None else 1)
     found = phrase_matches(index, items)
     ordered = Window.partitionBy("row_id").orderBy("first", "stop")
     new = F.greatest(F.lit(0), F.col("stop") - F.greatest("first", F.coalesce(F.max("stop").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
@@ -172,6 +192,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     named = found.select("row_id", F.coalesce("item", F.lit("")).alias("item")).distinct().groupBy("row_id").agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
     per_row = hits.join(named, "row_id")
     out = index.select("row_id", "key", "n_words").join(per_row, "row_id", "left")
+    if slop is not None:
+        near = proximity_matches(index, items, slop).select("row_id", F.coalesce("item", F.lit("")).alias("item")).distinct().groupBy("row_id").agg(F.count("*").alias("n_near"))
+        out = out.join(near, "row_id", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(
         F.col("key").alias(key),
@@ -180,6 +203,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        *[F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")] * (slop is not None),
     )
 
 
