@@ -149,7 +149,8 @@ class Scanner:
             before = now
 
     def spans(self, matches: list) -> list[dict]:
-        """Best chains: of each template, matches in order in text and template with small gaps between them; labelled
+        """Chains: of each template, matches in order in text and template with small gaps between them, each joined to the chain that
+        covers most so far; labelled
         are those that tell their licence and are the fullest of their family where they stand."""
         chains: list[list] = []  # template, first word, stop, template stop, covered words, covered words that tell
         near: list[list] = []

@@ -124,7 +124,7 @@ def fit(bounds: np.ndarray, number: np.ndarray, values: np.ndarray, y: np.ndarra
 def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", metadata: str = "n_chars", label: str = "quality", folds: int = 5, remainder: int = 0, threshold: float = 0.3) -> DataFrame:
     """One row per row of docs: key, held_out, score, predicted.
 
-    Null and empty texts are scored by their statistics alone; null metadata counts as 0. Only label rows
+    Null and empty texts are scored by their statistics alone; null metadata, or none, counts as 0. Only label rows
     whose key is not held out are learned from, at most MAX_LABELLED; without any of both classes every
     score is the share of good ones (0 without labels). Repeated rows are scored alike, an empty table gives
     an empty result, and only the text and the metadata column bear on a score.
@@ -133,7 +133,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     out = held_out(key, folds, remainder)
     known = labels.filter(F.col(label).isNotNull() & ~out).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     sample = stored(known.orderBy(F.xxhash64(key), key).limit(MAX_LABELLED), "labels")
-    rows = docs.select(F.col(key).alias("key"), out.alias("held_out"), F.col(text).alias("text"), F.coalesce(F.col(metadata).cast("long"), F.lit(0)).alias("n_chars"))
+    rows = docs.select(F.col(key).alias("key"), out.alias("held_out"), F.col(text).alias("text"), (F.coalesce(F.col(metadata).cast("long"), F.lit(0)) if metadata in docs.columns else F.lit(0).cast("long")).alias("n_chars"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -142,7 +142,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.ListArray.from_arrays(cut, pa.array(number)), pa.ListArray.from_arrays(cut, pa.array(values))], ["y", "number", "x"])
 
     # the sample has MAX_LABELLED rows at most, so it can be broadcast and its features gathered
-    got = rows.join(F.broadcast(sample.withColumnRenamed(key, "key")), "key").orderBy("key").select("text", "n_chars", "y").mapInArrow(extract, "y int, number array<int>, x array<float>").toArrow().combine_chunks()
+    got = rows.join(F.broadcast(sample.withColumnRenamed(key, "key")), "key").orderBy("key", F.xxhash64("text", "n_chars")).select("text", "n_chars", "y").mapInArrow(extract, "y int, number array<int>, x array<float>").toArrow().combine_chunks()
     y = got.column("y").to_numpy().astype(np.float64)
     prior = float(y.mean()) if len(y) else 0.0
     model = None

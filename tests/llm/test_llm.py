@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from math import ceil
 
 import numpy as np
 import pytest
@@ -129,7 +130,7 @@ def test_rank_coding():
 def test_mixing(spark):
     texts = [str(i) for i in range(500)]
     docs = documents(spark, texts).withColumn("source", F.when(F.col("doc_id") < 350, "big").when(F.col("doc_id") < 480, "mid"))
-    got = mixing.schedule(docs, weights={"big": 0.5, "mid": 0.3, "": 0.2}, slots=10, block_rows=4).select("doc_id", "mix_source", "mix_slot", "mix_release", "mix_deadline").collect()
+    got = mixing.schedule(docs, weights={"big": 0.5, "mid": 0.3, "": 0.2}, block_rows=4).select("doc_id", "mix_source", "mix_slot", "mix_release", "mix_deadline").collect()
     assert {r.doc_id for r in got} == set(range(500))
     assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in got)
     slots = {r.mix_slot: r.mix_source for r in got}
@@ -145,10 +146,9 @@ def test_mixing(spark):
 
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 1, "c": 1}, {"a": 97, "b": 2, "c": 0.5, "d": 0.5}])
 def test_every_block_meets_its_window(weights):
-    q = mixing.quotas(weights, 50)
-    assert sum(q.values()) == 50
-    for s, j, slot in mixing.period(q):
-        assert j * 50 // q[s] <= slot < -(-(j + 1) * 50 // q[s])
+    share = mixing.shares(weights)
+    for s, j, release, deadline, slot in mixing.earliest_deadline_first(share, dict.fromkeys(weights, 40)):
+        assert (release, deadline) == (int(j / share[s]), ceil((j + 1) / share[s])) and release <= slot < deadline
 
 
 def test_lines(spark):
