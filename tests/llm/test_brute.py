@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import random
-import re
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -14,7 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from test_llm import documents, fold, labelled, plain_words, prose
+from test_llm import documents, labelled, plain_words, prose
 from tokenizers import Tokenizer
 
 from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, quality, substring_dedup, token_output, toxicity
@@ -245,4 +244,4 @@ def test_held_out_scores_of_both_classifiers_ignore_rows_that_repeat(spark):
     docs, labels = labelled(spark, 200)
     twice = docs.union(docs.filter("doc_id = 7"))
     got = [r.score for r in toxicity.toxicity_scores(twice, labels).filter("doc_id = 7").collect()]
-    assert len(got) == 2 and got[0] == got[1] and fold("A") == "a" and re.match("a", "a")
+    assert len(got) == 2 and np.isclose(got[0], got[1])
