@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -11,25 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass holds at once; a longer document is handled alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 #: A-Z and their lower-case forms: the only letters that the contracts fold.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_own_folders: dict[str, str] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local session without one gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The shared folder of spark.checkpoint.dir; a local session without one gets its own, the same until it ends."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+    return _own_folders[context.applicationId]
 
 
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:

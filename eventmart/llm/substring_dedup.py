@@ -1,13 +1,12 @@
-"""Removal of repeated 200-byte strings by sampled suffix sorting and induction.
-
-Suffixes are sampled and induced as in induced suffix sorting: each 200-byte string is assigned the one
-sampled suffix (anchor) that its content selects, the smallest hash of the `gram` bytes at any of its
-positions. A tuple for each anchor carries the anchor's gram, its reach (the strings assigned to it) and the
-name of the text in that reach; Spark's external sorts and shuffles order the tuples on disk. Equal names
-with equal reach have a common prefix over all of their strings, so all of them repeat, and nothing inside
-them is compared again. Only where one gram stands in different surroundings are the strings around it
-induced one by one and counted. Common prefixes beyond 200 bytes bear on nothing, so one level of recursion
-is enough. No text is held beside another one, and a shard may be of any size.
+"""Removal of repeated 200-byte strings by content-chosen anchors, hashed and grouped.
+
+No suffix is sorted and no common prefix is carried: an external induced sort does not fit the disk that the job is
+given (README). Instead each 200-byte string is assigned the one place (anchor) that its content selects, the smallest
+hash of the `gram` bytes at any of its positions. A row for each anchor carries the hash of its gram, its reach (the
+strings assigned to it) and the name (hash) of the text in that reach, and Spark groups the rows. Where a name
+occurs twice all strings of its reach repeat, and nothing inside them is compared again. Only where one gram
+stands in different surroundings are the strings around it named and counted themselves, first in blocks of eight and
+then one by one. No text is held beside another one, and a shard may be of any size.
 """
 
 from __future__ import annotations
@@ -27,8 +26,10 @@ from eventmart.llm.words import mixed, powers, prefix_hash, span_hash
 LENGTH, GRAM = 200, 64
 #: Keys of rows that may be broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
+#: Slices whose strings one pass holds.
+SLICES = 2_000
 #: Bytes of a document that one pass holds; longer ones are cut into overlapping parts.
-PART = 4 << 20
+PART = 1 << 19
 
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -160,10 +161,8 @@ def induced(slices: DataFrame, length: int, block: int, only: bool = False) -> D
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICES) for b in batches for i in range(0, b.num_rows, SLICES)):
             data, offsets = bytes_of(batch.column("slice"))
-            if not batch.num_rows:
-                continue
             h = prefix_hash(data)
             first, at = batch.column("first").to_numpy(), batch.column("at").to_numpy()
             a = batch.column("a").to_numpy() if only else first

@@ -17,16 +17,19 @@ _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.uint64) * n
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
+#: Powers that a worker keeps; those beyond, for a longer text, are made when they are needed.
+KEPT_POWERS = 1 << 21
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0..n-1 modulo 2 ** 64, kept between calls."""
+    """base ** 0..n-1 modulo 2 ** 64, up to KEPT_POWERS kept between calls."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        steps = np.full(size, base, np.uint64)
+        steps = np.full(max(n, 1 << 16), base, np.uint64)
         steps[0] = 1
-        have = _powers[int(base)] = np.multiply.accumulate(steps)
+        have = np.multiply.accumulate(steps, out=steps)
+        if n <= KEPT_POWERS:
+            _powers[int(base)] = have
     return have[:n]
 
 
@@ -40,7 +43,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """h with h[j] - h[i] == sum(byte_value[data[t]] * base ** t for i <= t < j)."""
     h = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=h[1:])
+    np.take(_BYTE, data, out=h[1:])
+    h[1:] *= powers(_BASE, len(data))
+    np.cumsum(h[1:], out=h[1:])
     return h
 
 
