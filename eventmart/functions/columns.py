@@ -6,15 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def event_time(text: Column) -> Column:
-    """Timestamp of ISO text (no zone: UTC); null when it is not a date and time."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
+# Each of these names its input once: what Spark folds into later expressions is then not multiplied.
+
+
+def event_time(text: Column, whole: bool = True) -> Column:
+    """Timestamp of ISO text (no zone: UTC); null when it is not a date with hour and minute (not whole: a date)."""
+    return F.try_to_timestamp(F.regexp_extract(text, r"(?s)^\d{4}-\d{2}-\d{2}" + (r"[T ]\d{2}:\d{2}" if whole else "") + ".*", 0))
 
 
 def iso(ts: Column) -> Column:
     """ISO text in UTC with an offset, microseconds only where there are any."""
-    micros = F.when(F.date_format(ts, "SSSSSS") != "000000", F.concat(F.lit("."), F.date_format(ts, "SSSSSS"))).otherwise("")
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), micros, F.date_format(ts, "xxx"))
+    return F.replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"), F.lit(".000000"), F.lit(""))
 
 
 def money(value: Column) -> Column:
@@ -36,9 +38,9 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 
 
-def earliest(column: str) -> Column:
-    """First non-null value of a group by event time, then key."""
-    return F.expr(f"min_by({column}, struct(occurred_ts, idempotency_key)) FILTER (WHERE {column} IS NOT NULL)")
+def earliest(column: str, of: str = "true") -> Column:
+    """First non-null value of a group, or of its rows of some kind, by event time, then key."""
+    return F.expr(f"min_by({column}, struct(occurred_ts, idempotency_key)) FILTER (WHERE {column} IS NOT NULL AND {of})")
 
 
 def named(**checks: Column) -> Column:

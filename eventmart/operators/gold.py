@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import earliest, money, named, share, total
+from eventmart.functions.columns import earliest, money, named, share
 from eventmart.operators.ranking import ntile
 from eventmart.operators.silver import signed_total
+from eventmart.plans.scratch import materialized
 
 
 def kinds(*names: str) -> Column:
@@ -34,16 +35,16 @@ def sessions(silver: DataFrame) -> DataFrame:
 
 
 def funnel_daily(silver: DataFrame) -> DataFrame:
-    """By day and channel: sessions that reached each stage, customers, revenue and rates.
+    """By day and channel, of events with a session: sessions that reached each stage, customers, revenue and rates.
 
-    One row for each session comes first, so the stages need plain counts; only customers are counted distinct.
+    The events of a session are reduced to one row for each of its customers first; what is counted distinct after
+    that is small.
     """
     stages = {"viewed": "product_viewed", "carted": "add_to_cart", "checked_out": "checkout_started", "ordered": "order_placed"}
-    by_session = silver.groupBy("partition_date", "channel", "session_id").agg(*[F.bool_or(kinds(k)).alias(n) for n, k in stages.items()], F.sum(money(F.col("signed_net_amount"))).alias("revenue"))
-    has = F.col("session_id").isNotNull()
-    f = by_session.groupBy("partition_date", "channel").agg(F.count("session_id").alias("sessions"), *[F.count_if(F.col(n) & has).alias(n) for n in stages], F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"))
-    people = silver.groupBy("partition_date", "channel").agg(F.countDistinct("customer_id").alias("customers"))
-    f = f.join(people, ["partition_date", "channel"])
+    by_session = silver.filter("session_id IS NOT NULL").groupBy("partition_date", "channel", "session_id", "customer_id").agg(*[F.bool_or(kinds(k)).alias(n) for n, k in stages.items()], F.sum(money(F.col("signed_net_amount"))).alias("revenue"))
+    f = by_session.groupBy("partition_date", "channel").agg(
+        F.countDistinct("session_id").alias("sessions"), F.countDistinct("customer_id").alias("customers"), *[F.countDistinct(F.when(F.col(n), F.col("session_id"))).alias(n) for n in stages], F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue")
+    )
     rate = lambda a, b: share(F.col(a), F.col(b))
     return f.select(
         "partition_date", "channel", "sessions", "customers", *stages, F.col("revenue").cast("double").alias("revenue"),
@@ -53,17 +54,20 @@ def funnel_daily(silver: DataFrame) -> DataFrame:
 
 
 def orders(silver: DataFrame) -> DataFrame:
-    """One row for each placed order: attributes, basket, reversals, status and realised revenue."""
-    lines = silver.filter("order_id IS NOT NULL")
-    placed = lines.filter(kinds("order_placed")).groupBy("order_id").agg(
-        *[earliest(c).alias(n) for c, n in (("customer_id", "customer_id"), ("session_id", "session_id"), ("channel", "channel"), ("device_type", "device_type"), ("customer_country", "country"), ("currency", "currency"), ("payment_method", "payment_method"), ("campaign", "campaign"))],
-        F.min("occurred_ts").alias("ordered_at"),
-        F.countDistinct("product_id").alias("line_items"),
-        F.sum("quantity").alias("units"),
-        *[total(F.col(c)).alias(c) for c in ("gross_amount", "discount_amount", "net_amount")],
-    )
-    back = lines.filter(kinds("order_cancelled", "refund_issued")).groupBy("order_id").agg(F.bool_or(kinds("order_cancelled")).alias("c"), F.bool_or(kinds("refund_issued")).alias("r"), total(F.col("net_amount")).alias("v"))
-    both = placed.join(back, "order_id", "left").withColumns({"cancelled": F.coalesce("c", F.lit(False)), "refunded": F.coalesce("r", F.lit(False)), "reversed_amount": F.coalesce("v", F.lit(0.0))}).drop("c", "r", "v")
+    """One row for each placed order: attributes, basket, reversals, status and realised revenue, in one pass over its lines."""
+    placed = "event_type = 'order_placed'"
+    of_placed = lambda call: F.expr(f"{call} FILTER (WHERE {placed})")
+    cents = lambda c, kind: F.expr(f"CAST(coalesce(sum(CAST({c} AS DECIMAL(18,2))) FILTER (WHERE {kind}), 0) AS DOUBLE)")
+    both = silver.filter(F.col("order_id").isNotNull() & kinds("order_placed", "order_cancelled", "refund_issued")).groupBy("order_id").agg(
+        *[earliest(c, placed).alias(n) for c, n in (("customer_id", "customer_id"), ("session_id", "session_id"), ("channel", "channel"), ("device_type", "device_type"), ("customer_country", "country"), ("currency", "currency"), ("payment_method", "payment_method"), ("campaign", "campaign"))],
+        of_placed("min(occurred_ts)").alias("ordered_at"),
+        of_placed("count(DISTINCT product_id)").alias("line_items"),
+        of_placed("sum(quantity)").alias("units"),
+        *[cents(c, placed).alias(c) for c in ("gross_amount", "discount_amount", "net_amount")],
+        F.bool_or(kinds("order_cancelled")).alias("cancelled"),
+        F.bool_or(kinds("refund_issued")).alias("refunded"),
+        cents("net_amount", f"NOT {placed}").alias("reversed_amount"),
+    ).filter("ordered_at IS NOT NULL")
     return both.withColumns({
         "status": F.when(F.col("cancelled"), "cancelled").when(F.col("refunded"), "refunded").otherwise("completed"),
         "realized_revenue": (money(F.col("net_amount")) - money(F.col("reversed_amount"))).cast("double"),
@@ -84,8 +88,10 @@ def customer_rfm(silver: DataFrame, order_table: DataFrame | None = None) -> Dat
         "customer_id", "orders", F.col("m").cast("double").alias("monetary"), "first_order_at", "last_order_at", "units", F.round(F.col("m") / F.col("orders"), 2).cast("double").alias("avg_order_value"), "refunded_orders",
         F.datediff("as_of", "last_order_at").alias("recency_days"), share(F.col("refunded_orders"), F.col("orders")).alias("refund_rate_pct"),
     )
+    buyers = materialized(buyers, "buyers")
     for column, name in ((F.desc("recency_days"), "r_score"), (F.asc("orders"), "f_score"), (F.asc("monetary"), "m_score")):
         buyers = ntile(buyers, 5, [column, F.asc("customer_id")], name)
+    # fixed values: score bounds of the segments
     score = F.col("r_score") + F.col("f_score") + F.col("m_score")
     segment = F.when(score >= 13, "champion").when(score >= 10, "loyal").when(score >= 7, "potential").when(F.col("r_score") <= 2, "at_risk").otherwise("hibernating")
     scored = buyers.withColumns({"rfm_score": score, "rfm_segment": segment})

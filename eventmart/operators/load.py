@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventmart.sources.schema import SILVER
+from eventmart.sources import warehouse
 
 
 def read_dataset(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -28,33 +29,56 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", schema
 class Target:
     dataset: str
     table: str
-    columns: list[str] | None = None
-    mode: str = "overwrite"
+    mode: str = "overwrite"  # or append, or merge: the rows whose key the table lacks
     optional: bool = True
 
 
 # Datasets of the lake and the warehouse tables they load.
 TARGETS = [
-    Target("silver/events", "fact_events", SILVER, "append", optional=False),
+    Target("silver/events", "fact_events", "merge", optional=False),
     *[Target(f"gold/{d}", t) for d, t in (("sessions", "fact_sessions"), ("funnel_daily", "agg_funnel_daily"), ("orders", "fact_orders"), ("customer_rfm", "dim_customer_rfm"), ("product_daily", "agg_product_daily"), ("anomalies", "fact_anomalies"))],
 ]
 
 
-def load_tables(spark: SparkSession, lake: str, write, targets: list[Target] = TARGETS) -> dict[str, str]:
-    """Outcome of each table; write(df, target) does the write. A failing optional table is skipped with its reason."""
-    outcome = {}
+def jdbc_loader(url: str, schema: str | None = None, key: str = "idempotency_key", **options: str):
+    """A write(df, target) for load_tables: overwrites, appends, or merges by key into a JDBC table."""
+
+    def write(df: DataFrame, target: Target) -> None:
+        if target.mode != "merge":
+            return write_jdbc(df, url, target.table, target.mode, schema, **options)
+        name = f"{schema}.{target.table}" if schema else target.table
+        try:
+            present = df.sparkSession.read.format("jdbc").options(url=url, dbtable=name, **options).load().select(key)
+        except Exception as e:
+            if not re.search("does not exist|TABLE_OR_VIEW_NOT_FOUND|no such table", str(e), re.IGNORECASE):
+                raise
+            present = df.select(key).limit(0)
+        return write_jdbc(new_rows(df, present, key), url, target.table, "append", schema, **options)
+
+    return write
+
+
+def load_tables(spark: SparkSession, lake: str, write, targets: list[Target] = TARGETS) -> dict[str, dict]:
+    """status, rows and, where skipped, the reason of each table; write(df, target) does the write.
+
+    Rows are brought to the columns and types of the warehouse table, where it has declared ones, and counted
+    (of a merge: those offered). A failing optional table is skipped with its reason.
+    """
+    outcome: dict[str, dict] = {}
     for target in targets:
         try:
-            df = spark.read.parquet(f"{lake}/{target.dataset}") if target.columns is None else read_dataset(spark, f"{lake}/{target.dataset}", target.columns)
-            if df.isEmpty():
-                outcome[target.table] = "skipped: empty"
+            df = spark.read.parquet(f"{lake}/{target.dataset}")
+            df = warehouse.shaped(df, target.table) if target.table in warehouse.TABLES else df
+            rows = df.count()
+            if not rows:
+                outcome[target.table] = {"status": "skipped", "rows": 0, "reason": "empty"}
                 continue
             write(df, target)
-            outcome[target.table] = "loaded"
+            outcome[target.table] = {"status": "loaded", "rows": rows, "mode": target.mode}
         except Exception as e:  # any source or sink failure of an optional table
             if not target.optional:
                 raise
-            outcome[target.table] = f"skipped: {str(e).splitlines()[0][:200]}"
+            outcome[target.table] = {"status": "skipped", "rows": 0, "reason": str(e).splitlines()[0][:200]}
     return outcome
 
 

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import event_time, named
+from eventmart.functions.columns import named
+from eventmart.functions.columns import event_time as strict_time
 from eventmart.sources import schema as S
 
 
+def event_time(text: Column) -> Column:
+    """The contract takes a bare date for a time too."""
+    return strict_time(text, whole=False)
+
+
 def _has(path: str) -> Column:
     return F.coalesce(F.length(path) > 0, F.lit(False))
 
@@ -145,6 +151,15 @@ def report(df: DataFrame, as_of: Column | None = None, duplicates: int = 0, thre
     )
 
 
+def batch_verdict(records: int, failed: int, warned: int, duplicates: int = 0, thresholds: dict | None = None) -> dict:
+    """pass_pct, breaches and verdict from counts, by the rules of `report`."""
+    t = {**THRESHOLDS, **(thresholds or {})}
+    passed, copies = (100.0 * (records - failed) / records, 100.0 * duplicates / records) if records else (100.0, 0.0)
+    breaches = [name for name, broken in (("min_records", records < t["min_records"]), ("min_pass_pct", passed < t["min_pass_pct"]), ("max_duplicate_pct", copies > t["max_duplicate_pct"])) if broken]
+    verdict = "fail" if breaches else "warn" if passed < t["warn_pass_pct"] or warned else "pass"
+    return {"pass_pct": round(passed, 2), "breaches": breaches, "verdict": verdict}
+
+
 def rule_failures(df: DataFrame, as_of: Column | None = None, duplicates: int = 0) -> DataFrame:
     """The report in long form: a row for each rule with its severity, failures and share."""
     severities = F.create_map(*[x for n in error_rules() for x in (F.lit(n), F.lit("error"))])

@@ -1,20 +1,26 @@
-"""Quantile buckets over a whole table, without moving it into one partition."""
+"""Quantile buckets over a whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmart.plans.scratch import materialized
 
-def ntile(df: DataFrame, n: int, order: list[Column], name: str, tasks: int | None = None) -> DataFrame:
+#: Rows that one task may number.
+SMALL_ROWS = 1_000_000
+
+
+def ntile(df: DataFrame, n: int, order: list[Column], name: str, tasks: int | None = None, small: int = SMALL_ROWS) -> DataFrame:
     """df with bucket 1..n of its rows in this order, as SQL's ntile gives; the order must be total.
 
-    Rows are range-partitioned by the order and numbered within their range; the counts of the ranges, one
-    row each, give the offsets.
+    Up to `small` rows, counted here, one task numbers them. More are range-partitioned by the order, stored, and
+    numbered within their range; the counts of the ranges, one row each, give the offsets.
     """
-    spark = df.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(tasks, *order).withColumn("_range", F.spark_partition_id()).persist()
+    if df.limit(small + 1).count() <= small:
+        return df.withColumn(name, F.ntile(n).over(Window.orderBy(*order)))
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialized(df.repartitionByRange(tasks, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_range").count()
     offsets = counts.select("_range", F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     total = counts.agg(F.sum("count").alias("_total"))

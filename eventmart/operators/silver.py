@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import event_time, money
@@ -13,6 +13,7 @@ def flatten(df: DataFrame) -> DataFrame:
     """Event records as flat columns, with defaults for what may be missing."""
     default = lambda c, d: F.coalesce(F.col(c), F.lit(d))
     return df.select(
+        # fixed values: names, order and defaults of the silver columns
         "idempotency_key", "event_id", default("event_type", "unknown").alias("event_type"), event_time(F.col("occurred_at")).alias("occurred_ts"), "occurred_at", "ingested_at",
         default("channel", "unknown").alias("channel"), default("device.type", "unknown").alias("device_type"), F.col("device.os").alias("device_os"),
         F.col("session.session_id").alias("session_id"), F.col("session.sequence").alias("event_sequence"),
@@ -20,7 +21,7 @@ def flatten(df: DataFrame) -> DataFrame:
         F.coalesce("order.unit_price", "product.price").alias("product_price"),
         F.col("customer.customer_id").alias("customer_id"), default("customer.segment", "unknown").alias("customer_segment"), F.coalesce("customer.country", "geo.country").alias("customer_country"), default("customer.is_returning", False).alias("is_returning"),
         F.col("order.order_id").alias("order_id"), default("order.quantity", 1).alias("quantity"), F.col("order.unit_price").alias("unit_price"), default("order.discount_pct", 0.0).alias("discount_pct"),
-        F.col("order.gross_amount").alias("gross_amount"), F.col("order.discount_amount").alias("discount_amount"), F.coalesce("order.net_amount", "order.amount").alias("net_amount"),
+        F.col("order.gross_amount").alias("gross_amount"), default("order.discount_amount", 0.0).alias("discount_amount"), F.coalesce("order.net_amount", "order.amount").alias("net_amount"),
         default("order.currency", "EUR").alias("currency"), default("order.payment_method", "unknown").alias("payment_method"),
         F.col("marketing.campaign").alias("campaign"), F.col("marketing.source").alias("utm_source"), F.col("marketing.medium").alias("utm_medium"),
     )
@@ -52,10 +53,18 @@ def derive(df: DataFrame) -> DataFrame:
     })
 
 
+# Fields that tell events without a key apart.
+NATURAL_KEY = ["event_type", "occurred_at", "session_id", "product_id", "customer_id", "order_id"]
+
+
+def event_key() -> Column:
+    """The key of a flat event, or its natural fields where it has none."""
+    return F.coalesce("idempotency_key", F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in NATURAL_KEY]))
+
+
 def deduplicate(df: DataFrame) -> DataFrame:
     """The latest arrival of each event; rows without a key are told apart by their natural fields."""
-    natural = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in ("event_type", "occurred_at", "session_id", "product_id", "customer_id", "order_id")])
-    latest = Window.partitionBy(F.coalesce("idempotency_key", natural)).orderBy(F.desc_nulls_last("ingested_at"), F.xxhash64(*df.columns))
+    latest = Window.partitionBy(event_key()).orderBy(F.desc_nulls_last("ingested_at"), F.xxhash64(*df.columns))
     return df.withColumn("_arrival", F.row_number().over(latest)).filter("_arrival = 1").drop("_arrival")
 
 

@@ -56,7 +56,7 @@ f AS (SELECT *, CAST(gross - off AS DOUBLE) AS net, concat_ws('-', event_type, p
 
 _FLAT = """SELECT idempotency_key, event_id, event_type, occurred_ts, occurred_at, ingested_at, channel, device_type, CAST(NULL AS VARCHAR) AS device_os, session_id, seq AS event_sequence,
   product_id, product_id AS sku, trim(name) AS product_name, category, brand, CAST(price AS DOUBLE) AS product_price, customer_id, coalesce(segment, 'unknown') AS customer_segment, country AS customer_country, false AS is_returning,
-  order_id, quantity, CAST(price AS DOUBLE) AS unit_price, CAST(pct AS DOUBLE) AS discount_pct, CAST(gross AS DOUBLE) AS gross_amount, CAST(off AS DOUBLE) AS discount_amount, net AS net_amount, currency, payment_method,
+  order_id, quantity, CAST(price AS DOUBLE) AS unit_price, CAST(pct AS DOUBLE) AS discount_pct, CAST(gross AS DOUBLE) AS gross_amount, coalesce(CAST(off AS DOUBLE), 0) AS discount_amount, net AS net_amount, currency, payment_method,
   campaign, 'search' AS utm_source, 'cpc' AS utm_medium FROM f"""
 
 _DERIVED = """CASE WHEN product_price IS NULL THEN 'unknown' WHEN product_price < 50 THEN 'budget' WHEN product_price < 200 THEN 'mid' ELSE 'premium' END AS price_category,
@@ -86,7 +86,7 @@ g_funnel AS (SELECT partition_date, channel, sessions, customers, viewed, carted
   {pct("ordered", "checked_out")} AS checkout_to_order_pct, {pct("ordered", "sessions")} AS overall_conversion_pct, CASE WHEN sessions > 0 THEN {r2('revenue / sessions')} ELSE 0.0 END AS revenue_per_session FROM (
   SELECT partition_date, channel, count(DISTINCT session_id) AS sessions, count(DISTINCT customer_id) AS customers, count(DISTINCT session_id) FILTER (WHERE event_type = 'product_viewed') AS viewed,
   count(DISTINCT session_id) FILTER (WHERE event_type = 'add_to_cart') AS carted, count(DISTINCT session_id) FILTER (WHERE event_type = 'checkout_started') AS checked_out,
-  count(DISTINCT session_id) FILTER (WHERE event_type = 'order_placed') AS ordered, {cents("signed_net_amount")} AS revenue FROM s GROUP BY partition_date, channel))"""
+  count(DISTINCT session_id) FILTER (WHERE event_type = 'order_placed') AS ordered, {cents("signed_net_amount")} AS revenue FROM s WHERE session_id IS NOT NULL GROUP BY partition_date, channel))"""
 
 ORDERS = f""",
 o1 AS (SELECT order_id, {", ".join(f"{first(c)} AS {n}" for c, n in (("customer_id", "customer_id"), ("session_id", "session_id"), ("channel", "channel"), ("device_type", "device_type"), ("customer_country", "country"), ("currency", "currency"), ("payment_method", "payment_method"), ("campaign", "campaign")))},

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+from datetime import date, datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -17,7 +20,7 @@ METRICS = "stage string, name string, value double, unit string, dims map<string
 def write_table(df: DataFrame, path: str, *partitions: str, mode: str = "overwrite") -> int:
     """Parquet, replacing only the partitions that df has; the rows written, counted while they are."""
     seen = Observation()
-    writer = (df.repartition(*[F.col(c) for c in partitions]) if partitions else df).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = (df.hint("rebalance", *partitions) if partitions else df).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     (writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions) if partitions else writer).parquet(path)
     return seen.get["rows"]
 
@@ -28,26 +31,38 @@ def record_metrics(spark: SparkSession, lake: Lake, stage: str, values: dict[str
     spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").parquet(lake.path("quality", "metrics"))
 
 
-def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, channel: str = "web") -> dict[str, int]:
-    """Partner drops to bronze, rejected records to quarantine with the names of the checks they fail."""
+def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, channel: str = "web", archive: bool = True) -> dict[str, int]:
+    """Partner drops to bronze, rejected records to quarantine with the names of the checks they fail.
+
+    The files that were read are then moved to landing/archive, whether their records were accepted or not, so that no run
+    reads them again. Where no file waits there is nothing to do.
+    """
+    drops = partner.list_drops(spark, lake.path("landing"))
+    files = sum(map(len, drops.values()))
+    if not files:
+        record_metrics(spark, lake, "landing", {"files": 0})
+        return {"accepted": 0, "rejected": 0, "files": 0, "archived": 0}
     now = ingested_at if ingested_at is not None else iso(F.current_timestamp())
-    records = partner.with_partitions(partner.add_identity(partner.read_drops(spark, lake.path("landing"), channel), "landing", now)).persist(StorageLevel.MEMORY_AND_DISK)
+    records = partner.with_partitions(partner.add_identity(partner.read_drops(spark, lake.path("landing"), channel, drops), "landing", now)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = partner.split_on_checks(records)
         seen = {"accepted": Observation(), "rejected": Observation()}
         count = F.count(F.lit(1)).alias("rows")
         partner.write_ndjson(good.observe(seen["accepted"], count), lake.path("bronze"), "dt", "hour")
         partner.write_ndjson(bad.drop("hour").observe(seen["rejected"], count), lake.path("quarantine", "landing"), "dt")
-        counts = {n: o.get["rows"] for n, o in seen.items()}
+        counts = {n: o.get["rows"] for n, o in seen.items()} | {"files": files}
     finally:
         records.unpersist()
+    day = datetime.now(timezone.utc).strftime("%Y-%m-%d")
+    counts["archived"] = partner.archive(spark, drops, lake.path("landing", "archive", f"dt={day}")) if archive else 0
     record_metrics(spark, lake, "landing", counts)
     return counts
 
 
 def refine(spark: SparkSession, lake: Lake, process_date: str | None = None, lookback_days: int = 0, thresholds: dict | None = None, stop_on_breach: bool = False) -> dict:
     """Bronze to silver (only the days of the window are replaced), with the summary row and its verdict."""
-    bronze = silver.window(partner.read_events(spark, lake.path("bronze")), process_date, lookback_days)
+    first = process_date and str(date.fromisoformat(process_date) - timedelta(days=lookback_days))
+    bronze = silver.window(partner.read_bronze(spark, lake.path("bronze"), first, process_date), process_date, lookback_days)
     flat = silver.flatten(bronze)
     table = silver.to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -56,7 +71,10 @@ def refine(spark: SparkSession, lake: Lake, process_date: str | None = None, loo
         row = facts.first().asDict()
         outcome, breaches = quality.verdict(row, thresholds)
         done = facts.withColumns({"verdict": F.lit(outcome), "breaches": F.array(*[F.lit(b) for b in breaches]).cast("array<string>"), "dt": F.coalesce(F.lit(process_date), F.date_format(F.current_date(), "yyyy-MM-dd"))})
-        done.coalesce(1).write.mode("append").partitionBy("dt").json(lake.path("quality", "silver"))
+        try:
+            done.coalesce(1).write.mode("append").partitionBy("dt").json(lake.path("quality", "silver"))
+        except Exception:  # the table is written; its report is not worth failing for
+            logging.getLogger(__name__).exception("quality report")
     finally:
         table.unpersist()
     record_metrics(spark, lake, "silver", {"processed": row["processed_records"], "dropped": row["dropped_records"]})

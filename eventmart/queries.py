@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.operators import gold, load, quality, silver
 from eventmart.plans import serve
+from eventmart.plans.scratch import materialized
 from eventmart.session import configured
 from eventmart.sources import catalog, partner
 from eventmart.sources.adapter import flat_export, table
@@ -46,7 +47,8 @@ def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.to_silver(accepted(spark, sf_dir))
+    """Silver as the jobs keep it: one stored table, from which each gold table of a query is made."""
+    return materialized(silver.to_silver(accepted(spark, sf_dir)), "silver")
 
 
 def _lifted(df: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def _flags(df: DataFrame) -> DataFrame:
 
 def _merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging: all accepted rows; the table already holds those of the first ten days."""
-    staging = silver.derive(silver.clean(silver.flatten(accepted(spark, sf_dir))))
+    staging = materialized(silver.derive(silver.clean(silver.flatten(accepted(spark, sf_dir)))), "staging")
     return load.new_rows(staging, staging.filter("partition_date <= '2024-01-10'")).select("idempotency_key", "event_type", "partition_date", "ingested_at", "product_name", "net_amount")
 
 
@@ -74,6 +76,11 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.first_wins([catalog.products(first), catalog.products(second)], "product_id")
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A gold table that an analysis reads twice, stored as the jobs keep it."""
+    return materialized(df, "gold")
+
+
 def _products(s: SparkSession, d: str) -> DataFrame:
     return serve.product_performance(gold.product_daily(events(s, d)))
 
@@ -84,7 +91,7 @@ def _rfm(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _summary(s: SparkSession, d: str) -> DataFrame:
-    raw = bronze(s, d)
+    raw = materialized(bronze(s, d), "bronze")
     cleaned = silver.clean(silver.flatten(raw))
     out = quality.summary(raw, cleaned, silver.to_silver(raw))
     return out.withColumn("events_by_type", F.array_join(F.transform(F.map_entries("events_by_type"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","))
@@ -112,7 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_clean": lambda s, d: silver.clean(silver.flatten(bronze(s, d))).select("idempotency_key", "ingested_at", "product_id", "quantity", "discount_pct", "product_name", "occurred_ts"),
     "silver_derive": lambda s, d: silver.derive(silver.clean(silver.flatten(bronze(s, d)))).select("idempotency_key", "ingested_at", "price_category", "is_revenue_event", "is_conversion", "signed_net_amount", "day_of_week", "is_weekend", "partition_date", "partition_hour"),
     "silver_dedupe": lambda s, d: silver.deduplicate(silver.clean(silver.flatten(accepted(s, d)))).select("idempotency_key", "ingested_at", "product_name"),
-    "silver_events": events,
+    "silver_events": lambda s, d: silver.to_silver(accepted(s, d)),
     "silver_window": lambda s, d: silver.to_silver(accepted(s, d), "2024-01-15", 3).select("idempotency_key", "event_type", "partition_date"),
     "schema_errors": lambda s, d: quality.schema_errors(bronze(s, d), strict=True).select("idempotency_key", "ingested_at", "errors"),
     "quality_flags": lambda s, d: _flags(bronze(s, d)).select("idempotency_key", "ingested_at", "errors", "warnings"),
@@ -132,14 +139,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_funnel": lambda s, d: serve.funnel(gold.funnel_daily(events(s, d))),
     "view_customer_360": lambda s, d: serve.customer_360(*_rfm(s, d)),
     "view_product_performance": _products,
-    "view_anomalies_recent": lambda s, d: serve.anomalies_recent(gold.anomalies(events(s, d))),
-    "q_revenue_month": lambda s, d: serve.revenue_month(serve.revenue_daily(events(s, d))),
-    "q_funnel_leaks": lambda s, d: serve.funnel_leaks(gold.funnel_daily(events(s, d))),
+    "view_anomalies_recent": lambda s, d: serve.anomalies_recent(_kept(gold.anomalies(events(s, d)))),
+    "q_revenue_month": lambda s, d: serve.revenue_month(_kept(serve.revenue_daily(events(s, d)))),
+    "q_funnel_leaks": lambda s, d: serve.funnel_leaks(_kept(gold.funnel_daily(events(s, d)))),
     "q_segment_value": lambda s, d: serve.segment_value(gold.customer_rfm(events(s, d))),
     "q_viewed_not_bought": lambda s, d: serve.viewed_not_bought(_products(s, d), min_views=10),
-    "q_reconcile_orders": lambda s, d: serve.reconcile_orders(gold.orders(e := events(s, d)), e),
-    "q_session_quality": lambda s, d: serve.session_quality(gold.sessions(events(s, d))),
-    "q_anomaly_triage": lambda s, d: serve.anomaly_triage(gold.anomalies(events(s, d))),
+    "q_reconcile_orders": lambda s, d: serve.reconcile_orders(_kept(gold.orders(e := events(s, d))), e),
+    "q_session_quality": lambda s, d: serve.session_quality(_kept(gold.sessions(events(s, d)))),
+    "q_anomaly_triage": lambda s, d: serve.anomaly_triage(_kept(gold.anomalies(events(s, d)))),
 }
 
 

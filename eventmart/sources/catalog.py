@@ -6,8 +6,11 @@ import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from eventmart.functions.columns import blank_to_null
+
 # Aliases of catalog fields, and the keys under which an export may wrap its rows.
 PRODUCT = {"product_id": ["product_id", "sku", "id"], "sku": ["sku", "product_id"], "name": ["name", "title", "product_name"], "category": ["category", "product_category"], "brand": ["brand"], "price": ["price", "product_price", "unit_price"]}
 CUSTOMER = {"customer_id": ["customer_id", "id"], "segment": ["segment", "customer_segment"], "country": ["country"], "city": ["city"]}
@@ -29,13 +32,21 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return unwrap_json(spark.read.option("multiLine", True).json(path))
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """A field as text; of an object (a nested category or brand) its name, else its slug."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StructType):
+        return F.coalesce(*[blank_to_null(F.col(f"{name}.{part}").cast("string")) for part in ("name", "slug") if part in kind.names], F.lit(None).cast("string"))
+    return blank_to_null(F.col(name).cast("string"))
+
+
 def _fields(df: DataFrame, aliases: dict[str, list[str]]) -> dict[str, Column]:
-    return {f: F.coalesce(*[F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in names if c in df.columns], F.lit(None).cast("string")).alias(f) for f, names in aliases.items()}
+    return {f: F.coalesce(*[_text(df, c) for c in names if c in df.columns], F.lit(None).cast("string")).alias(f) for f, names in aliases.items()}
 
 
 def products(df: DataFrame) -> DataFrame:
     """Products with id, name and a price of 0 or more; comma decimals are read."""
-    rows = df.select(*_fields(df, PRODUCT).values())
+    rows = df.select(*_fields(df, PRODUCT).values()).withColumn("sku", F.coalesce("sku", "product_id"))
     return rows.withColumn("price", F.replace("price", F.lit(","), F.lit(".")).try_cast("double")).filter("product_id IS NOT NULL AND name IS NOT NULL AND price >= 0")
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import logging
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from eventmart.functions.columns import event_time, iso, named
+from eventmart.operators.quality import json_errors
 from eventmart.sources.schema import ALIASES, EVENT, SCHEMA_VERSION
 
 # Fields of an event's identity, in order, and the checks that reject a record.
@@ -16,7 +23,27 @@ CHECKS = {
     "product_id_present": "product.product_id IS NOT NULL AND length(product.product_id) > 0",
     "price_in_range": "product.price IS NULL OR product.price BETWEEN 0 AND 100000",
     "quantity_in_range": "order.quantity IS NULL OR order.quantity BETWEEN 1 AND 100",
+    "numbers_parsed": "unparsed IS NULL OR size(unparsed) = 0",
 }
+#: Fields of a drop that hold numbers; those that cannot be read are named in the column `unparsed`.
+NUMBERS = {"price": "decimal(18,6)", "unit_price": "decimal(18,6)", "quantity": "int", "discount_pct": "decimal(9,4)"}
+
+
+def list_drops(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files that wait in a drop folder, by format; empty and other files, the archive and the queue are passed over.
+
+    The driver holds the names of the files, not what is in them. A folder that does not exist has none.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = [r.path for r in files.load(path).filter("length > 0").select("path").collect()]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        found = []
+    inner = lambda f: f.rpartition(path.rstrip("/") + "/")[2]
+    waiting = sorted(f for f in found if not re.search(r"(^|/)(archive|queue)/", inner(f)))
+    return {kind: [f for f in waiting if f.lower().endswith(ends)] for kind, ends in (("csv", (".csv",)), ("json", (".json", ".ndjson", ".jsonl")))}
 
 
 def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
@@ -29,15 +56,46 @@ def read_events(spark: SparkSession, *paths: str, glob: str = "*") -> DataFrame:
     return spark.read.schema(EVENT).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(list(paths))
 
 
-def read_drops(spark: SparkSession, path: str, channel: str = "web") -> DataFrame:
-    """Both formats of a drop folder as event records; other files and empty ones are passed over."""
-    flat = lift_flat(read_csv(spark, path), channel)
-    return flat.unionByName(read_events(spark, path, glob="*.{json,ndjson,jsonl}"), allowMissingColumns=True)
+def read_bronze(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Event records of bronze; with first and last, only the dt folders of those days are read."""
+    df = spark.read.schema(T.StructType([*EVENT, T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType())])).json(path)
+    return (df if first is None else df.filter(F.col("dt").between(first, last))).drop("dt", "hour")
+
+
+def read_json_drops(spark: SparkSession, *paths: str) -> DataFrame:
+    """Event records of NDJSON drops with `unparsed`: numbers that a declared schema would turn into nulls without a word."""
+    types = F.filter(json_errors("value"), lambda c: c.startswith("invalid_type:") & ~c.endswith("occurred_at"))
+    return spark.read.text(list(paths)).select(F.from_json("value", EVENT).alias("r"), F.transform(types, lambda c: F.substring_index(c, ".", -1)).alias("unparsed")).select("r.*", "unparsed")
+
+
+def read_drops(spark: SparkSession, path: str, channel: str = "web", drops: dict[str, list[str]] | None = None) -> DataFrame:
+    """Both formats of a drop folder as event records; no rows where no file waits."""
+    drops = list_drops(spark, path) if drops is None else drops
+    parts = [lift_flat(read_csv(spark, *drops["csv"]), channel)] if drops["csv"] else []
+    parts += [read_json_drops(spark, *drops["json"])] if drops["json"] else []
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*EVENT, T.StructField("unparsed", T.ArrayType(T.StringType()))]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def archive(spark: SparkSession, drops: dict[str, list[str]], folder: str) -> int:
+    """Moves ingested files out of the drop folder; the number moved. A file that cannot be moved is logged and stays:
+    what is read twice is removed by the deduplication."""
+    moved, files = 0, spark._jvm.org.apache.hadoop.fs
+    for name in [f for found in drops.values() for f in found]:
+        try:
+            source, target = files.Path(name), files.Path(f"{folder}/{uuid.uuid4().hex[:8]}-{name.rpartition('/')[2]}")
+            system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+            system.mkdirs(target.getParent())
+            moved += bool(system.rename(source, target))
+        except Exception:
+            logging.getLogger(__name__).exception("cannot archive %s", name)
+    return moved
 
 
 def lift_flat(df: DataFrame, channel: str = "web") -> DataFrame:
     """Event records from flat text rows: the first alias with a value, basket arithmetic, UTC ISO time."""
-    have = set(df.columns)
+    have = set(df.columns)  # names, order and defaults of the record below are fixed values
 
     def field(name: str, default: str | None = None) -> Column:
         found = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in ALIASES[name] if c in have]
@@ -67,10 +125,11 @@ def lift_flat(df: DataFrame, channel: str = "web") -> DataFrame:
         F.struct(text("product_id").alias("product_id"), text("sku").alias("sku"), text("name").alias("name"), text("category").alias("category"), text("brand").alias("brand"), double(price).alias("price")).alias("product"),
         F.struct(text("customer_id").alias("customer_id"), text("segment").alias("segment"), text("country").alias("country"), F.lit(False).alias("is_returning")).alias("customer"),
         F.struct(
-            text("order_id").alias("order_id"), quantity.alias("quantity"), double(unit).alias("unit_price"), double(pct).alias("discount_pct"), double(F.col("_gross")).alias("gross_amount"),
+            text("order_id").alias("order_id"), quantity.alias("quantity"), double(F.round(unit, 2)).alias("unit_price"), double(F.round(pct, 2)).alias("discount_pct"), double(F.col("_gross")).alias("gross_amount"),
             double(F.col("_off")).alias("discount_amount"), double(F.col("_net")).alias("net_amount"), double(F.col("_net")).alias("amount"), text("currency", "EUR").alias("currency"), text("payment_method", "unknown").alias("payment_method"),
         ).alias("order"),
         F.struct(text("campaign").alias("campaign"), text("utm_source").alias("source"), text("utm_medium").alias("medium")).alias("marketing"),
+        named(**{n: F.col(f"_{n}").isNotNull() & F.col(f"_{n}").try_cast(kind).isNull() for n, kind in NUMBERS.items()}).alias("unparsed"),
     )
 
 
@@ -92,8 +151,9 @@ def failed_checks(checks: dict[str, str] = CHECKS) -> Column:
 
 def split_on_checks(df: DataFrame, checks: dict[str, str] = CHECKS) -> tuple[DataFrame, DataFrame]:
     """(accepted records, rejected ones with failed_checks)."""
+    df = df if "unparsed" in df.columns else df.withColumn("unparsed", F.lit(None).cast("array<string>"))
     marked = df.withColumn("failed_checks", failed_checks(checks))
-    return marked.filter(F.size("failed_checks") == 0).drop("failed_checks"), marked.filter(F.size("failed_checks") > 0)
+    return marked.filter(F.size("failed_checks") == 0).drop("failed_checks", "unparsed"), marked.filter(F.size("failed_checks") > 0)
 
 
 def with_partitions(df: DataFrame) -> DataFrame:
@@ -103,5 +163,5 @@ def with_partitions(df: DataFrame) -> DataFrame:
 
 
 def write_ndjson(df: DataFrame, path: str, *partitions: str, mode: str = "append") -> None:
-    """One NDJSON dataset; rows of a partition value meet in few files."""
-    df.repartition(*[F.col(c) for c in partitions]).write.mode(mode).partitionBy(*partitions).json(path)
+    """One NDJSON dataset; rows of a partition value meet in few files, and those of a large one are split between tasks."""
+    df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).json(path)

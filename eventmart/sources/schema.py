@@ -53,21 +53,16 @@ SILVER = [
 ]
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType([T.StructField(n, {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType()}[t]) for n, t in (p.split(":") for p in text.split())])
-
-
 #: The nested event record.
-EVENT = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("schema_version", "event_id", "idempotency_key", "ingested_at", "occurred_at", "channel", "event_type")]
-    + [
-        T.StructField("session", _struct("session_id:string sequence:int")),
-        T.StructField("device", _struct("type:string os:string user_agent:string")),
-        T.StructField("geo", _struct("country:string city:string")),
-        T.StructField("product", _struct("product_id:string sku:string name:string category:string brand:string price:double")),
-        T.StructField("customer", _struct("customer_id:string segment:string country:string is_returning:boolean")),
-        T.StructField("order", _struct("order_id:string quantity:int unit_price:double discount_pct:double gross_amount:double discount_amount:double net_amount:double amount:double currency:string payment_method:string")),
-        T.StructField("marketing", _struct("campaign:string source:string medium:string")),
-        T.StructField("_meta", _struct("processed_at:string source:string message_id:string source_object:string")),
-    ]
-)
+EVENT = (
+    T.StructType()
+    .add("schema_version", "string").add("event_id", "string").add("idempotency_key", "string").add("ingested_at", "string").add("occurred_at", "string").add("channel", "string").add("event_type", "string")
+    .add("session", T.StructType().add("session_id", "string").add("sequence", "integer"))
+    .add("device", T.StructType().add("type", "string").add("os", "string").add("user_agent", "string"))
+    .add("geo", T.StructType().add("country", "string").add("city", "string"))
+    .add("product", T.StructType().add("product_id", "string").add("sku", "string").add("name", "string").add("category", "string").add("brand", "string").add("price", "double"))
+    .add("customer", T.StructType().add("customer_id", "string").add("segment", "string").add("country", "string").add("is_returning", "boolean"))
+    .add("order", T.StructType().add("order_id", "string").add("quantity", "integer").add("unit_price", "double").add("discount_pct", "double").add("gross_amount", "double").add("discount_amount", "double").add("net_amount", "double").add("amount", "double").add("currency", "string").add("payment_method", "string"))
+    .add("marketing", T.StructType().add("campaign", "string").add("source", "string").add("medium", "string"))
+    .add("_meta", T.StructType().add("processed_at", "string").add("source", "string").add("message_id", "string").add("source_object", "string"))
+)

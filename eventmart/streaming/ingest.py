@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.functions.columns import blank_to_null, event_time, iso
 from eventmart.operators import quality, silver
+from eventmart.plans.jobs import record_metrics
 from eventmart.plans.paths import Lake
 from eventmart.sources import partner
 from eventmart.sources.schema import EVENT, MAX_TEXT
@@ -41,7 +42,11 @@ def normalize(df: DataFrame, now=None) -> DataFrame:
     for f in EVENT:
         if f.name != "_meta" and f.dataType.simpleString() != "string":
             fixed[f.name] = F.struct(*[(text(f"{f.name}.{g.name}") if g.dataType.simpleString() == "string" else F.col(f"{f.name}.{g.name}")).alias(g.name) for g in f.dataType])
-    fixed["occurred_at"] = iso(F.coalesce(event_time(F.col("occurred_at")), F.when(text("occurred_at").isNull(), now)))
+    # a nested category or brand counts by its name, else its slug
+    named = lambda c: F.coalesce(F.get_json_object(c, "$.name"), F.get_json_object(c, "$.slug"), F.when(~F.startswith(F.ltrim(c), F.lit("{")), F.col(c)))
+    clipped = lambda c: blank_to_null(F.substring(F.trim(c), 1, MAX_TEXT))
+    fixed["product"] = fixed["product"].withField("category", clipped(named("product.category"))).withField("brand", clipped(named("product.brand")))
+    fixed["occurred_at"] = iso(F.coalesce(event_time(F.col("occurred_at"), whole=False), F.when(text("occurred_at").isNull(), now)))
     fixed["event_type"] = F.coalesce(text("event_type"), F.lit("unknown"))
     out = df.withColumns(fixed)
     order = F.col("order")
@@ -50,31 +55,53 @@ def normalize(df: DataFrame, now=None) -> DataFrame:
     return out.withColumn("event_id", F.coalesce("event_id", F.concat_ws("-", "event_type", "product.product_id", "occurred_at")))
 
 
-def write_batch(batch: DataFrame, batch_id: int, lake: Lake, quarantine: bool = True) -> None:
-    """One micro-batch: accepted records to bronze by event time, the others to quarantine with their reasons.
+def write_batch(batch: DataFrame, batch_id: int, lake: Lake, quarantine: bool = True) -> dict:
+    """One micro-batch: accepted records to bronze by event time, the others to quarantine with their reasons; its summary.
 
-    Equal keys of a batch count once (records without a key all pass); late records go to their own hour
-    and none are dropped. A failing quarantine write is logged and does not fail the batch.
+    Records are judged as they came, types included, before anything is filled in. Of equal keys in a batch one is
+    kept, records without a key all pass, and a key that was supplied stays; late records go to their own hour and
+    none are dropped. Counters, pass rate and verdict of the batch are recorded. A failing quarantine write is logged and
+    does not fail the batch. A batch that fails is replayed whole from the checkpoint: what it had written already
+    is removed by silver's deduplication, and quarantined rows carry the batch's number.
     """
-    decoded = decode(messages(batch)).persist()
+    spark = batch.sparkSession
+    decoded = decode(messages(batch)).withColumn("codes", quality.json_errors("body"))
+    readable = decoded.filter("record IS NOT NULL").select("message_id", "body", "codes", "record.*")
+    flagged = quality.flag(readable).withColumn("errors", F.when((F.size("codes") > 0) & ~F.array_contains("errors", "schema_valid"), F.concat(F.array(F.lit("schema_valid")), "errors")).otherwise(F.col("errors")))
+    lost = decoded.filter("record IS NULL").persist()
+    flagged = flagged.persist()
     try:
-        keep = ["message_id", "body"]
-        readable = decoded.filter("record IS NOT NULL").select(*keep, "record.*")
-        stamped = partner.add_identity(normalize(readable), "stream", source="queue")
-        flagged = quality.flag(stamped.withColumn("_meta", F.col("_meta").withField("message_id", F.col("message_id"))))
-        accepted = flagged.filter(F.size("errors") == 0).drop("errors", "warnings", *keep)
-        keyed = accepted.filter("idempotency_key IS NOT NULL").dropDuplicates(["idempotency_key"])
-        partner.write_ndjson(partner.with_partitions(keyed.union(accepted.filter("idempotency_key IS NULL"))), lake.path("bronze"), "dt", "hour")
+        good = flagged.filter(F.size("errors") == 0)
+        passed = good.filter(F.length("idempotency_key") > 0).dropDuplicates(["idempotency_key"]).union(good.filter("idempotency_key IS NULL OR length(idempotency_key) = 0"))
+        fixed = normalize(passed.drop("codes", "errors", "warnings"))
+        stamped = partner.add_identity(fixed.withColumn("_key", F.col("idempotency_key")), "stream", source="queue")
+        accepted = stamped.withColumn("idempotency_key", F.coalesce(blank_to_null(F.col("_key")), "idempotency_key")).withColumn("_meta", F.col("_meta").withField("message_id", F.col("message_id"))).drop("_key", "message_id", "body")
+        written = Observation()
+        count = F.count(F.lit(1)).alias("rows")
+        dated = partner.with_partitions(accepted)
+        partner.write_ndjson(dated.observe(written, count), lake.path("bronze"), "dt", "hour")
+        bad = flagged.filter(F.size("errors") > 0).select("message_id", F.col("body").alias("record"), F.col("errors").alias("reasons"), "codes", "warnings")
+        none = F.array().cast("array<string>")
+        rejected = lost.select("message_id", F.substring("body", 1, 2000).alias("record"), F.array(F.lit("undecodable")).alias("reasons"), none.alias("codes"), none.alias("warnings")).unionByName(bad)
+        rejected = rejected.withColumns({"rejected_at": iso(F.current_timestamp()), "batch_id": F.lit(batch_id), "dt": F.date_format(F.current_timestamp(), "yyyy-MM-dd")})
+        archived = 0
         if quarantine:
-            lost = decoded.filter("record IS NULL").select("message_id", F.substring("body", 1, 2000).alias("record"), F.array(F.lit("undecodable")).alias("reasons"), F.array().cast("array<string>").alias("warnings"))
-            bad = flagged.filter(F.size("errors") > 0).select("message_id", F.col("body").alias("record"), F.col("errors").alias("reasons"), "warnings")
-            rejected = lost.unionByName(bad).withColumns({"rejected_at": iso(F.current_timestamp()), "batch_id": F.lit(batch_id), "dt": F.date_format(F.current_timestamp(), "yyyy-MM-dd")})
             try:
-                rejected.write.mode("append").partitionBy("dt").json(lake.path("quarantine", "stream"))
+                kept = Observation()
+                rejected.observe(kept, count).write.mode("append").partitionBy("dt").json(lake.path("quarantine", "stream"))
+                archived = kept.get["rows"]
             except Exception:
                 logging.getLogger(__name__).exception("quarantine of batch %s", batch_id)
+        totals = flagged.agg(F.count("*").alias("records"), F.count_if(F.size("errors") > 0).alias("failed"), F.count_if((F.size("errors") == 0) & (F.size("warnings") > 0)).alias("warned")).first()
+        summary = {"batch_id": batch_id, "received": totals["records"] + lost.count(), "written": written.get["rows"], "rejected_archived": archived}
+        summary |= {"rejected": summary["received"] - totals["records"] + totals["failed"], "duplicates": totals["records"] - totals["failed"] - summary["written"]}
+        summary |= quality.batch_verdict(totals["records"], totals["failed"], totals["warned"], summary["duplicates"])
+        record_metrics(spark, lake, "stream", {n: v for n, v in summary.items() if isinstance(v, (int, float)) and n != "batch_id"}, {"batch_id": str(batch_id), "verdict": summary["verdict"]})
+        logging.getLogger(__name__).info("batch %s: %s", batch_id, summary)
+        return summary
     finally:
-        decoded.unpersist()
+        flagged.unpersist()
+        lost.unpersist()
 
 
 def start(spark: SparkSession, lake: Lake, checkpoint: str, source: DataFrame | None = None, available_now: bool = True, archive: str | None = None) -> StreamingQuery:
@@ -89,6 +116,9 @@ def start(spark: SparkSession, lake: Lake, checkpoint: str, source: DataFrame |
 
 
 def continuous_silver(bronze: DataFrame, horizon: str = "2 days") -> DataFrame:
-    """Silver columns of a bronze stream, each key once within the horizon; later repeats are left to the batch job."""
-    flat = silver.clean(silver.flatten(bronze)).withWatermark("occurred_ts", horizon)
-    return silver.derive(flat.dropDuplicatesWithinWatermark(["idempotency_key"]))
+    """Silver columns of a bronze stream, each key (or natural fields, without one) once within the horizon.
+
+    Rows that come later than the horizon do not appear here; the batch job, which has no horizon, has them.
+    """
+    flat = silver.clean(silver.flatten(bronze)).withColumn("_key", silver.event_key()).withWatermark("occurred_ts", horizon)
+    return silver.derive(flat.dropDuplicatesWithinWatermark(["_key"]).drop("_key"))
