@@ -1,10 +1,11 @@
 """Removal of repeated runs of lines by winnowing.
 
-Every run of `run` lines is a window of hashed line pairs, and the smallest hash in it (the rightmost of equal ones) is its fingerprint.
-Equal runs select equal fingerprints, so a run that occurs twice has a fingerprint that occurs twice; the
-others are dropped without comparing anything else. Around each repeated fingerprint the runs that selected
-it, its extensions to both sides, are matched by position: the first in document order stays, and the lines
-of every later one are deleted.
+Of every window of `run` lines the smallest hash of neighbouring lines (the rightmost of equal ones) is selected as a
+fingerprint, with its place. Equal runs select equal fingerprints at the same place within them, so a run that occurs
+twice has a fingerprint with two places; places of other fingerprints are dropped without comparing anything else.
+Around the places that are left, the match is extended both ways, line by line up to the length of a run, and what
+agrees with an earlier place (by 128 bits of its lines) is deleted; the first in document order stays. Longer matches
+are chains of such runs, so all of their lines go.
 
 Passages (op7_passage_dedup) are stretches of any number of lines, one included, with at least LEAST_WORDS
 words. Their windows are the shortest such stretches from each line and up to each line: equal passages are
@@ -35,31 +36,45 @@ def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     return stored(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(key).alias("key"), lines.alias("lines")), "lines", compression="zstd")
 
 
-def winnowed_runs(lines: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
-    """Each run of lines: row_id, key, first and last line, run_a and run_b (its hash, 128 bits), and its fingerprint with its place."""
-    hashed = lines.filter(F.size("lines") >= run).select("row_id", "key", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
+def line_hashes(lines: DataFrame, run: int = RUN) -> DataFrame:
+    """row_id, key, and two independent hashes (h, g) of every line, 128 bits together, of rows that have a run at all. Stored once."""
+    hashes = [F.transform("lines", lambda x: F.xxhash64(x)).alias("h"), F.transform("lines", lambda x: F.xxhash64(F.lit(7), x)).alias("g")]
+    return stored(lines.filter(F.size("lines") >= run).select("row_id", "key", *hashes), "line-hashes", compression="zstd")
+
+
+def fingerprints(hashed: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
+    """Window minima: fingerprint and place of the smallest hash of `gram` neighbours in each window of `run` lines."""
     grams = F.transform(F.sequence(F.lit(0), F.size("h") - gram), lambda i: F.struct(F.xxhash64(F.slice("h", i + 1, gram)).alias("hash"), (-i).alias("back")))
-    place = hashed.withColumn("g", grams)
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size("h") - run),
-        lambda i: F.struct(i.alias("first"), F.xxhash64(F.slice("h", i + 1, run)).alias("run_a"), F.xxhash64(F.lit(run), F.slice("h", i + 1, run)).alias("run_b"), F.array_min(F.slice("g", i + 1, run - gram + 1)).alias("f")),
-    )
-    flat = place.select("row_id", "key", F.explode(runs).alias("r"))
-    return flat.select("row_id", "key", "r.first", (F.col("r.first") + run - 1).alias("last"), "r.run_a", "r.run_b", F.col("r.f.hash").alias("fingerprint"), (-F.col("r.f.back")).alias("place"))
+    minima = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("h") - run), lambda i: F.array_min(F.slice("grams", i + 1, run - gram + 1))))
+    return hashed.select("row_id", "h", grams.alias("grams")).select("row_id", F.explode(minima).alias("f")).select("row_id", F.col("f.hash").alias("fingerprint"), (-F.col("f.back")).alias("place"))
+
+
+def extended(hashed: DataFrame, places: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
+    """The matches around each place extended both ways: every run of lines that holds it, as row_id, key, first, last, run_a and run_b (its 128 bits)."""
+    reach = lambda p: F.sequence(F.greatest(F.lit(0), p - (run - gram)), F.least(p, F.size("h") - run))
+    firsts = F.array_distinct(F.flatten(F.transform("places", reach)))
+    rows = hashed.join(places.groupBy("row_id").agg(F.collect_list("place").alias("places")), "row_id").select("row_id", "key", "h", "g", F.explode(firsts).alias("first"))
+    return rows.select("row_id", "key", "first", (F.col("first") + run - 1).alias("last"), *[F.xxhash64(F.slice(c, F.col("first") + 1, run)).alias(name) for c, name in (("h", "run_a"), ("g", "run_b"))])
+
+
+def shared_places(places: DataFrame) -> DataFrame:
+    """Places (row_id, fingerprint, place, and more columns) whose fingerprint has another place too."""
+    twice = places.select("fingerprint", "row_id", "place").distinct().groupBy("fingerprint").count().filter("count > 1").select("fingerprint")
+    return places.join(twice, "fingerprint", "left_semi")
 
 
 def later_runs(runs: DataFrame) -> DataFrame:
-    """row_id, first and last line of the runs that occurred before. runs: as of winnowed_runs, stored."""
-    twice = runs.select("fingerprint", "row_id", "place").distinct().groupBy("fingerprint").count().filter("count > 1").select("fingerprint")
-    met = stored(runs.join(twice, "fingerprint", "left_semi"), "met", compression="zstd")
-    first = met.groupBy("run_a", "run_b").agg(F.min(F.struct("key", "row_id", "first")).alias("one"), F.count("*").alias("n")).filter("n > 1")
-    later = met.join(first, ["run_a", "run_b"]).filter((F.col("row_id") != F.col("one.row_id")) | (F.col("first") != F.col("one.first")))
+    """row_id, first and last line of the runs that occurred before. runs: stored, each place once."""
+    first = runs.groupBy("run_a", "run_b").agg(F.min(F.struct("key", "row_id", "first")).alias("one"), F.count("*").alias("n")).filter("n > 1")
+    later = runs.join(first, ["run_a", "run_b"]).filter((F.col("row_id") != F.col("one.row_id")) | (F.col("first") != F.col("one.first")))
     return later.select("row_id", "first", "last")
 
 
 def repeated_lines(lines: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFrame:
     """row_id and sorted line numbers (gone) of the lines of later runs."""
-    later = later_runs(stored(winnowed_runs(lines, run, gram), "runs", compression="zstd"))
+    hashed = line_hashes(lines, run)
+    places = shared_places(stored(fingerprints(hashed, run, gram), "fingerprints", compression="zstd"))
+    later = later_runs(stored(extended(hashed, places, run, gram), "runs", compression="zstd"))
     return later.select("row_id", F.explode(F.sequence("first", "last")).alias("line")).groupBy("row_id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
@@ -73,9 +88,14 @@ def without_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """
     lines = line_table(docs, key, text)
     both = lines.join(repeated_lines(lines, run), "row_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
-    starts = F.filter("gone", lambda i: ~F.array_contains("gone", i - 1))
-    kept = F.when(F.size("gone") == 0, F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("gone", i)))
-    return both.select(F.col("key").alias(key), F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), F.size(starts).cast("long").alias("n_runs"), F.array_join(kept, "\n").alias("kept_text"))
+    begins = F.filter("gone", lambda x, i: (i == 0) | (F.get("gone", i - 1) != x - 1))
+    ends = F.filter("gone", lambda x, i: (i == F.size("gone") - 1) | (F.get("gone", i + 1) != x + 1))
+    cut = both.withColumns({"begins": begins, "ends": ends})
+    start = lambda k: F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1)
+    stop = lambda k: F.coalesce(F.get("begins", k), F.size("lines"))
+    between = F.flatten(F.transform(F.sequence(F.lit(0), F.size("begins")), lambda k: F.slice("lines", start(k) + 1, stop(k) - start(k))))
+    kept = F.when(F.size("gone") == 0, F.col("lines")).otherwise(between)
+    return cut.select(F.col("key").alias(key), F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), F.size("begins").cast("long").alias("n_runs"), F.array_join(kept, "\n").alias("kept_text"))
 
 
 class Lines:
@@ -135,7 +155,7 @@ class Lines:
 
 
 def winnowed_passages(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """The windows of `least` words of each row (row_id, key, text), in the columns of winnowed_runs."""
+    """The windows of `least` words of each row (row_id, key, text): row_id, key, first and last line, run_a and run_b (its hash), fingerprint and place."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -167,7 +187,8 @@ def without_repeated_passages(docs: DataFrame, key: str = "doc_id", text: str =
     empty tables as in without_repeated_runs.
     """
     texts = stored(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(key).alias("key"), F.col(text).alias("text")), "texts", compression="zstd")
-    later = later_runs(stored(winnowed_passages(texts, least), "passages", compression="zstd"))
+    windows = stored(winnowed_passages(texts, least), "passages", compression="zstd")
+    later = later_runs(stored(shared_places(windows), "met", compression="zstd"))
     gone = later.groupBy("row_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
