@@ -8,9 +8,13 @@ their key, sorted, and packed into blocks; a shard is written by one task and it
 
 from __future__ import annotations
 
+import json
+import os
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -18,21 +22,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import bytes_of, pieces, read_table, stored
+from eventmart.llm.common import bytes_of, pieces, read_table, scratch_folder, stored
+from eventmart.llm.words import prefix_hash, span_hash
 
 #: Block layout, little-endian: magic, documents, ids, ids of the shard before this block; then keys
 #: (int64), null marks (uint8), ids per document (uint32), control bytes and data bytes.
 HEADER = "<8sIQQ"
 MAGIC = b"TOKBLK01"
-#: Distinct words, and distinct parts of texts, that a Python worker remembers between pieces of ENCODE_BYTES.
-CACHE_WORDS, CACHE_PARTS, ENCODE_BYTES = 500_000, 200_000, 1 << 20
+#: Units of texts that a Python worker remembers between pieces, about 30 bytes each.
+REMEMBERED = 1_000_000
 #: Punctuation at the end of a part, a word of its own under the tokenizer's rule.
 TAIL = ".,;:!?*$%&#|)"
 #: Bytes of control and data after which a block is closed.
 BLOCK_BYTES = 1 << 20
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
-_tokenizers: dict[str, tuple] = {}
+_encoders: dict[str, "Encoder"] = {}
+
+# The rules of a tokenizer whose texts may be encoded in units.
+EXPECTED_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+#: Kinds of bytes: separators of parts, letters, digits, punctuation, and what makes a part one unit (beyond ASCII,
+#: control bytes, the apostrophe of contractions, and the bracket that special tokens begin with).
+BLANK, LETTER, DIGIT, MARK, ODD = range(5)
+_KIND = np.array([BLANK if b in b" \n\t" else ODD if b < 33 or b > 126 or b in b"'<" else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK for b in range(256)], np.int8)
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
 def encode_ranks(ranks: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,64 +94,132 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: np.ndarray) -> np.nda
     return out
 
 
-def _encoder(path: str):
-    """The tokenizer of a worker, its ids' kind, and what it remembers: ids as bytes of words and of parts of texts."""
-    if path not in _tokenizers:
+class Encoder:
+    """Ids of whole text columns under one tokenizer, with what a worker remembers of it.
+
+    Under EXPECTED_RULES white space is dropped and no token spans it, so a text's ids are those of its parts between
+    blanks. A part of plain ASCII is further cut where the tokenizer cuts it: runs of letters, single digits and runs
+    of punctuation. Units are remembered by the 64-bit hash of their bytes, in sorted arrays; each distinct unit is
+    encoded once. Under any other rules whole texts are encoded one by one.
+    """
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        _tokenizers[path] = (tokenizer, np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32, {}, {})
-    return _tokenizers[path]
-
-
-def _encode_words(words: list[str], path: str) -> None:
-    """Remembers the ids of words that the tokenizer's rule keeps whole: they go to its model directly, in its byte alphabet."""
-    from tokenizers import pre_tokenizers
-
-    tokenizer, kind, known, _ = _encoder(path)
-    model, spell = tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-    for word in words:
-        known[word] = np.array([t.id for t in model.tokenize(word if word.isascii() else spell(word)[0][0])], kind).tobytes()
-
-
-def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of each text. The tokenizer drops white space and no token spans it, so a text's ids are those
-    of its parts between blanks, and each distinct part is encoded once. A part that is letters and then
-    punctuation is two words of its rule; those are shared between parts and cases."""
-    tokenizer, kind, words, known = _encoder(path)
-    split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    if len(known) > CACHE_PARTS:
-        known.clear()
-    if len(words) > CACHE_WORDS:
-        words.clear()
-    new = set().union(*split).difference(known) if split else set()
-    cores, other = {}, []
-    for part in new:
-        core = part.rstrip(TAIL)
-        word = core.lower()
-        # the lower case of a capital sigma depends on its place, so words with one take the other way
-        if core.isalpha() and word.isalpha() and "\u03a3" not in core and is_normalized("NFC", core) and is_normalized("NFC", word):
-            cores[part] = (word, part[len(core) :])
-        else:
-            other.append(part)
-    words[""] = b""
-    _encode_words(list({x for pair in cores.values() for x in pair}.difference(words)), path)
-    for part, (word, tail) in cores.items():
-        known[part] = words[word] + words[tail]
-    for part, encoding in zip(other, tokenizer.encode_batch(other, add_special_tokens=False), strict=True):
-        known[part] = np.array(encoding.ids, kind).tobytes()
-    return [np.frombuffer(b"".join(map(known.__getitem__, parts)), kind) for parts in split]
+        self.tokenizer = Tokenizer.from_file(path)
+        rules = {name: json.loads(part.__getstate__()) if (part := getattr(self.tokenizer, name)) is not None else None for name in EXPECTED_RULES}
+        self.in_units = rules == EXPECTED_RULES and all(t.content[:1] == "<" and " " not in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.first, self.size, self.ids = np.zeros(1, np.uint64), np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, self.kind)
+
+    def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of a column without nulls, each text closed by end_id, and the number of ids of each text."""
+        if not self.in_units:
+            whole = [np.array([*e.ids, end_id], self.kind) for e in self.tokenizer.encode_batch(column.to_pylist(), add_special_tokens=False)]
+            return np.concatenate(whole), np.array([len(x) for x in whole])
+        data, offsets = bytes_of(column)
+        starts, ends, odd = units(data, offsets)
+        lower = _LOWER[data]
+        key = span_hash(prefix_hash(lower), starts, ends)
+        if odd.any():
+            key[odd] = ~span_hash(prefix_hash(data), starts[odd], ends[odd])
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        new = np.flatnonzero(self.keys[at] != key)
+        if len(new):
+            _, one = np.unique(key[new], return_index=True)
+            one = new[one]
+            self.remember(key[one], [bytes(data[s:e] if o else lower[s:e]).decode() for s, e, o in zip(starts[one].tolist(), ends[one].tolist(), odd[one].tolist(), strict=True)], odd[one])
+            at = np.searchsorted(self.keys, key)
+        row_end = np.searchsorted(starts, offsets[1:])  # after its last unit each text has its end id
+        first, size = (np.insert(x[at], row_end, y) for x, y in ((self.first, -1), (self.size, 1)))
+        place = np.cumsum(size) - size
+        flat = np.arange(int(size.sum())) + np.repeat(first - place, size)
+        ids = np.append(self.ids, self.kind(end_id))[flat]  # -1 is the end id
+        last = place[row_end + np.arange(len(row_end))] + 1
+        return ids, np.diff(last, prepend=0)
+
+    def remember(self, keys: np.ndarray, words: list[str], odd: np.ndarray) -> None:
+        """Adds units: sorted keys, their text, and whether they are parts with more than plain ASCII in them."""
+        plain = [w for w, o in zip(words, odd.tolist(), strict=True) if not o]
+        found = dict(zip(plain, self.of_words(plain), strict=True))
+        parts = [w for w, o in zip(words, odd.tolist(), strict=True) if o]
+        encoded = dict(zip(parts, self.of_parts(parts), strict=True))
+        lists = [encoded[w] if o else found[w] for w, o in zip(words, odd.tolist(), strict=True)]
+        size = np.array([len(x) for x in lists], np.int32)
+        where = np.searchsorted(self.keys, keys)
+        first = (np.cumsum(size) - size + len(self.ids)).astype(np.int32)
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(lists), self.kind, int(size.sum())))
+        self.keys, self.first, self.size = np.insert(self.keys, where, keys), np.insert(self.first, where, first), np.insert(self.size, where, size)
+
+    def of_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of words that the tokenizer's rules keep whole: they go to its model directly, in its byte alphabet."""
+        from tokenizers import pre_tokenizers
+
+        model, spell = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        return [[t.id for t in model.tokenize(w if w.isascii() else spell(w)[0][0])] for w in words]
+
+    def of_parts(self, parts: list[str]) -> list[list[int]]:
+        """Ids of parts with more than plain ASCII; those of letters and then punctuation are two words of the rules."""
+        split, out = {}, {}
+        for part in parts:
+            core = part.rstrip(TAIL)
+            word = core.lower()
+            # the lower case of a capital sigma depends on its place, so words with one take the other way
+            if core.isalpha() and word.isalpha() and "\u03a3" not in core and is_normalized("NFC", core) and is_normalized("NFC", word):
+                split[part] = (word, part[len(core) :])
+        words = sorted({x for pair in split.values() for x in pair if x})
+        known = dict(zip(words, self.of_words(words), strict=True)) | {"": []}
+        out = {part: known[word] + known[tail] for part, (word, tail) in split.items()}
+        other = [p for p in parts if p not in out]
+        out |= {p: e.ids for p, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True)}
+        return [out[p] for p in parts]
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the units of texts, and which are whole parts with more than plain ASCII in them."""
+    kind = _KIND[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    blank = kind == BLANK
+    begins = ~blank
+    begins[1:] &= blank[:-1] | edge[1:-1]
+    part = np.cumsum(begins) - 1  # of each byte that is not blank
+    strange = np.zeros(max(1, int(part[-1]) + 1 if len(part) else 0), bool)
+    strange[part[kind == ODD]] = True
+    cut = begins.copy()
+    if len(data):
+        inner = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        cut[1:] |= inner & ~blank[1:] & ~strange[part[1:]]
+    starts = np.flatnonzero(cut)
+    ends = np.empty(len(starts), np.int64)
+    if len(starts):
+        stop = ~blank
+        stop[:-1] &= blank[1:] | cut[1:]
+        ends = np.flatnonzero(stop) + 1
+    return starts, ends, strange[part[starts]] if len(starts) else np.zeros(0, bool)
+
+
+def _encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    encoder = _encoders[path]
+    if len(encoder.keys) > REMEMBERED or len(encoder.ids) > 4 * REMEMBERED:
+        encoder.forget()
+    return encoder
 
 
 def token_table(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
     """key and ids (little-endian 16- or 32-bit, end id included) of each row, stored once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, limit=ENCODE_BYTES):
-            ids = encode_texts(batch.column("text").to_pylist(), tokenizer)
-            ended = [np.append(x, x.dtype.type(end_id)).tobytes() for x in ids]
-            width = ids[0].dtype.itemsize
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([width] * len(ended), pa.int32()), pa.array(ended, pa.binary())], ["key", "width", "ids"])
+        for batch in pieces(batches):
+            ids, n = _encoder(tokenizer).encode(batch.column("text"), end_id)
+            width = ids.dtype.itemsize
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([width] * len(n), pa.int32()), _binaries(ids.view(np.uint8), n * width)], ["key", "width", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     return stored(rows.mapInArrow(encode, "key long, width int, ids binary"), "tokens", compression="zstd")
@@ -154,8 +245,8 @@ def id_ranks(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     return ranks
 
 
-def write_blocks(tokens: DataFrame, ranks: np.ndarray, shards: int) -> DataFrame:
-    """The stored file table: shard, block, n_tokens and the block's image, each shard in key order."""
+def write_blocks(tokens: DataFrame, ranks: np.ndarray, shards: int, folder: str) -> None:
+    """Writes the rank table (rank, id) to folder/ranks and the blocks to folder/blocks: shard, block, n_tokens and the block's image, each shard in key order."""
     bounds = tokens.agg(F.percentile_approx("key", [(k + 1) / shards for k in range(shards - 1)], 10_000).alias("b")).first()["b"] if shards > 1 else []
     bounds = np.array(sorted(set(bounds or [])), np.int64)
 
@@ -195,7 +286,10 @@ def write_blocks(tokens: DataFrame, ranks: np.ndarray, shards: int) -> DataFrame
             yield image()
 
     dealt = tokens.mapInArrow(ranked, "shard int, key long, n long, control binary, data binary").repartitionById(shards, "shard")
-    return stored(dealt.sortWithinPartitions("shard", "key").mapInArrow(pack, "shard int, block int, n_tokens long, image binary"), "token-blocks", compression="uncompressed")
+    dealt.sortWithinPartitions("shard", "key").mapInArrow(pack, "shard int, block int, n_tokens long, image binary").write.option("compression", "none").parquet(f"{folder}/blocks")
+    # one row for each id of the tokenizer
+    table = pa.table({"rank": pa.array(ranks.astype(np.int64)), "id": pa.array(np.arange(len(ranks)))})
+    tokens.sparkSession.createDataFrame(table).coalesce(1).write.parquet(f"{folder}/ranks")
 
 
 def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -204,10 +298,12 @@ def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def read_blocks(files: DataFrame, ranks: np.ndarray, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
-    """Documents of the file table: key, start, n_tokens, ids_crc32 and, if asked for, the ids."""
-    ids_of = np.empty(len(ranks), np.uint32)
-    ids_of[ranks] = np.arange(len(ranks), dtype=np.uint32)
+def read_blocks(spark: SparkSession, folder: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """Documents of a folder that write_blocks filled: key, start, n_tokens, ids_crc32 and, if asked for, the ids."""
+    files = spark.read.parquet(f"{folder}/blocks")
+    table = spark.read.parquet(f"{folder}/ranks").toPandas()  # one row for each id of the tokenizer
+    ids_of = np.empty(len(table), np.uint32)
+    ids_of[table["rank"].to_numpy()] = table["id"].to_numpy()
     # one row for each shard: the number of shards is a parameter of the writer
     totals = {r["shard"]: r["n"] for r in files.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()}
     before, seen = {}, 0
@@ -242,9 +338,11 @@ def read_blocks(files: DataFrame, ranks: np.ndarray, key: str = "doc_id", with_i
     return files.select("shard", "image").mapInArrow(decode, schema).withColumnRenamed("key", key)
 
 
-def token_output(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, shards: int | None = None) -> DataFrame:
+def token_output(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 2, shards: int | None = None, folder: str | None = None) -> DataFrame:
     """One row per row of docs, read back from the written blocks: key, start, n_tokens, ids_crc32.
 
+    folder: where the corpus stays (see write_blocks and read_blocks), by default a new one in the shared folder.
+
     Null text counts as empty and has the end id alone. Rows follow ascending key, null keys first; rows
     that share a key are neighbours in an order that is not defined. An empty table gives an empty result.
     Other columns are not read.
@@ -255,7 +353,9 @@ def token_output(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     vocabulary = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
     tokens = token_table(docs, tokenizer, key, text, end_id)
     ranks = id_ranks(tokens, vocabulary)
-    return read_blocks(write_blocks(tokens, ranks, shards or int(spark.conf.get("spark.sql.shuffle.partitions"))), ranks, key)
+    folder = folder or f"{scratch_folder(spark)}/token-corpus-{uuid.uuid4().hex}"
+    write_blocks(tokens, ranks, shards or int(spark.conf.get("spark.sql.shuffle.partitions")), folder)
+    return read_blocks(spark, folder, key)
 
 
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
