@@ -26,6 +26,11 @@ MAX_LABELLED = 20_000
 MAX_WORDS, MAX_PAIRS = 1 << 18, 1 << 17
 #: Cells of the shared counts, and the least discount.
 SHARED_BITS, LEAST_DISCOUNT = 18, 2.0
+#: Bits of a pair (its cell and 32 bits of the word before) and the odd factor that spreads them, with its inverse.
+PAIR_BITS = SHARED_BITS + 32
+SPREAD, UNSPREAD = (np.uint64(x) for x in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
+#: Pairs that a task gathers before it sends them, and pairs of a bucket on average, at most.
+HELD_PAIRS, BUCKET_PAIRS = 1 << 20, 1 << 20
 #: Words of the stretches whose mean ratio is compared besides that of the whole text.
 STRETCHES = (1, 4, 24)
 
@@ -108,18 +113,52 @@ def find(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shared_counts(docs: DataFrame, text: str) -> np.ndarray:
     """Share of each hash cell in the continuations of words over all documents: the different pairs of a word
-    before (32 bits of its hash) and a word of the cell, and one more for each cell."""
+    before (32 bits of its hash) and a word of the cell, and one more for each cell.
+
+    Pairs are spread over PAIR_BITS bits by an odd factor, which loses none, dealt to buckets by their highest bits
+    and sent sorted, as differences; a bucket counts each pair once. The number of buckets follows the text.
+    """
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    bits = max(6, int(size // (8 * BUCKET_PAIRS)).bit_length())
+    low, mask = np.uint64(PAIR_BITS - bits), np.uint64((1 << PAIR_BITS) - 1)
+
+    def packed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pair = np.unique(np.concatenate(held))
+        bucket = (pair >> low).astype(np.int64)
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        step = np.diff(pair & (np.uint64(1) << low) - np.uint64(1), prepend=np.uint64(0))
+        step[cuts] = pair[cuts] & (np.uint64(1) << low) - np.uint64(1)
+        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pair)], strict=True):
+            halves = (step[i:j].astype(np.uint32).tobytes(), (step[i:j] >> np.uint64(32)).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[i])], pa.int32()), *(pa.array([x], pa.binary()) for x in halves)], ["bucket", "low", "high"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in pieces(batches):
             w = Words(batch.column("text"))
             inner = np.flatnonzero(w.row[1:] == w.row[:-1]) if len(w) else np.zeros(0, np.int64)
-            pair = np.unique(w.hash[inner + 1] >> np.uint64(64 - SHARED_BITS) << np.uint64(32) | w.hash[inner] >> np.uint64(32))
-            yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64))], ["pair"])
-
-    different = docs.select(F.col(text).alias("text")).mapInArrow(pairs, "pair long").distinct()
+            pair = w.hash[inner + 1] >> np.uint64(64 - SHARED_BITS) << np.uint64(32) | w.hash[inner] >> np.uint64(32)
+            held.append(np.unique(pair * SPREAD & mask))
+            n += len(held[-1])
+            if n > HELD_PAIRS:
+                yield from packed(held)
+                held, n = [], 0
+        if n:
+            yield from packed(held)
+
+    def count(table: pa.Table) -> pa.Table:
+        held = []
+        for first, second in zip(table["low"].to_pylist(), table["high"].to_pylist(), strict=True):
+            held.append(np.cumsum(np.frombuffer(first, np.uint32) + (np.frombuffer(second, np.uint16).astype(np.uint64) << np.uint64(32)), dtype=np.uint64))
+        pair = np.unique(np.concatenate(held)) | np.uint64(table["bucket"][0].as_py()) << low
+        n = np.bincount((pair * UNSPREAD & mask) >> np.uint64(32), minlength=1 << SHARED_BITS)
+        used = np.flatnonzero(n)
+        return pa.table({"cell": pa.array(used.astype(np.int32)), "n": pa.array(n[used])})
+
+    sent = docs.select(F.col(text).alias("text")).mapInArrow(pairs, "bucket int, low binary, high binary")
+    counted = sent.groupBy("bucket").applyInArrow(count, "cell int, n long")
     # at most 2 ** SHARED_BITS rows
-    rows = different.groupBy(F.shiftright("pair", 32).cast("int").alias("cell")).agg(F.count("*").alias("n")).toPandas()
+    rows = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     n = np.ones(1 << SHARED_BITS)
     n[rows["cell"].to_numpy()] += rows["n"].to_numpy()
     return n / n.sum()
