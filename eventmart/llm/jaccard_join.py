@@ -28,9 +28,12 @@ from eventmart.llm.words import SPACED, Words, grams, mixed
 #: Words of an n-gram; a link needs 100 * intersection >= 75 * union.
 NGRAM, PERCENT = 5, 75
 #: n-grams of one bucket of the counting pass, on average, and the least number of buckets.
-BUCKET_GRAMS, LEAST_BUCKETS = 3_000_000, 64
-#: Cells of the frequent n-gram table, and times the mean from which a cell bypasses the buckets.
-CELL_BITS, FREQUENT = 14, 6
+BUCKET_GRAMS, LEAST_BUCKETS = 1_500_000, 64
+#: Cells of the frequent n-gram table, and times the mean from which a cell bypasses the buckets; a cell of more than
+#: BUCKET_GRAMS / FREQUENT n-grams always does, so that no bucket outgrows a task, whatever the size of the corpus.
+CELL_BITS, FREQUENT = 16, 6
+#: Sets that a task remembers as already sent.
+SENT_SETS = 100_000
 #: Sets that a task holds as Python objects at once.
 SLICE_ROWS = 128
 #: Largest set for which subsets may be enumerated.
@@ -103,6 +106,8 @@ def shared_grams(docs: DataFrame, ngram: int, frequent: np.ndarray, buckets: int
                 for i, x in enumerate(signature):
                     own[i] = x not in seen
                     seen.add(x)
+                if len(seen) > SENT_SETS:  # what is sent twice is counted once in its bucket
+                    seen.clear()
                 use = own[s.row]
                 g, row = s.grams[use], s.row[use]
                 bucket = (g % np.uint64(buckets)).astype(np.int64)
@@ -279,7 +284,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ng
     cells = {r[0]: r[1] for r in table.filter("n < 0").select(F.posexplode("cells")).groupBy("pos").agg(F.sum("col")).collect()}
     frequent = np.array([cells.get(i, 0) for i in range(1 << CELL_BITS)], np.int64)
     total = int(frequent.sum())
-    frequent[frequent <= FREQUENT * max(1, total // len(frequent))] = 0
+    frequent[frequent <= min(FREQUENT * max(1, total // len(frequent)), BUCKET_GRAMS // FREQUENT)] = 0
     buckets = max(LEAST_BUCKETS, total // BUCKET_GRAMS + 1)
     sets = candidate_sets(shared_grams(rows, ngram, frequent, buckets), classes, percent)
     labels = linked_components(sets, percent)
