@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass holds at once; a longer document is handled alone.
 PIECE_BYTES = 1 << 20
+#: Bytes that Spark puts in one Arrow batch for a Python worker, so that long texts do not meet there in thousands.
+BATCH_BYTES = 4 << 20
 
 #: A-Z and their lower-case forms: the only letters that the contracts fold.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -20,7 +23,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _own_folders: dict[str, str] = {}
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session, for the memory of both sides of every Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +48,7 @@ def scratch_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """df written once to the shared folder and read back: later stages survive a lost executor
     without repeating the work, and the lineage ends here."""
+    bounded_batches(df.sparkSession)
     path = f"{scratch_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -53,13 +63,22 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
     """The same rows in slices of at most `limit` text bytes (always one row at least), nulls as ''."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        batch = batch.set_column(at, column, batch.column(at).fill_null(""))
+        if batch.column(at).null_count:
+            batch = batch.set_column(at, column, batch.column(at).fill_null(""))
         ends = offsets_of(batch.column(at))
         begin = 0
         while begin < batch.num_rows:
             stop = max(begin + 1, int(ends.searchsorted(ends[begin] + limit, "right")) - 1)
             yield batch.slice(begin, stop - begin)
             begin = stop
+    hand_back()
+
+
+def hand_back() -> None:
+    """Returns freed memory to the system at the end of a task: Spark keeps its Python workers for later ones."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def offsets_of(column: pa.Array):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import pieces, read_table
+from eventmart.llm.common import bounded_batches, pieces, read_table
 from eventmart.llm.words import Words
 
 # Phrases whose every place counts, and the opening terms and whole notices of well-known licences.
@@ -176,6 +176,7 @@ class Scanner:
 
 def license_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """Per row of docs: key, n_words, places (label, word) of the phrases and spans (label, first, stop, coverage, labelled) of the templates."""
+    bounded_batches(docs.sparkSession)
     scanner = Scanner(templates, phrases)
     shortest = min(scanner.sizes)
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, quality, substring_dedup, token_output, toxicity
+from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, pipeline, quality, substring_dedup, token_output, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -17,7 +16,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_license_scan": license_scan.op10_license_scan,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.OP2_SQL,

@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 
-import corpus_pipeline
+from eventmart.llm import pipeline as corpus_pipeline
 from eventmart.llm import license_scan, line_dedup, toxicity
 from eventmart.llm.words import Words
 from test_llm import SCHEMA, documents

@@ -8,12 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from test_llm import documents, labelled, plain_words, prose
+from test_llm import documents, fold, labelled, plain_words, prose
 from tokenizers import Tokenizer
 
 from eventmart.llm import decontaminate, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, quality, substring_dedup, token_output, toxicity
@@ -219,7 +220,7 @@ def test_every_operator_stands_repeated_rows_null_keys_and_clashes(spark):
     passage = prose(random.Random(2), 80)
     rows = [(1, passage), (1, passage), (None, passage), (None, None), (2, ""), (2, "Cc By " * 3), (3, "word " * 20_000)]
     docs = spark.createDataFrame([(i, t, "en", None if i == 2 else "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    docs = docs.withColumns({c: F.lit(1) for c in ("key", "row_id", "digest", "n", "score", "spans", "recipe", "y", "held_out", "words", "pos", "a", "b", "count", "line", "mix_slot", "ids", "shard")})
+    docs = docs.withColumns({c: F.lit(1) for c in ("key", "row_id", "digest", "n", "score", "spans", "recipe", "y", "held_out", "words", "pos", "a", "b", "count", "line", "mix_slot", "ids", "shard", "pipeline_row", "component_id", "contaminated")})
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (3, 0, 1), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([(None, passage), ("a", None)], "item_id string, text string")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -245,3 +246,54 @@ def test_held_out_scores_of_both_classifiers_ignore_rows_that_repeat(spark):
     twice = docs.union(docs.filter("doc_id = 7"))
     got = [r.score for r in toxicity.toxicity_scores(twice, labels).filter("doc_id = 7").collect()]
     assert len(got) == 2 and np.isclose(got[0], got[1])
+
+
+def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
+    """run() against a plain pass over the documents: scores, pairs of sets, windows of words, blocks and the library's ids."""
+    rng = random.Random(12)
+    docs, labels = labelled(spark, 160)
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in docs.filter("doc_id < 160").collect()]
+    near = [(500 + i, f"{t} tail{i}", "en", "src9", 9) for i, t in ((r[0], r[1]) for r in rows[:12])]
+    item = prose(rng, 20)
+    dirty = [(600 + i, f"{prose(rng, 30)} {item} {prose(rng, 30)}", "en", "src9", 9) for i in range(3)]
+    every = [*rows, *near, *dirty, (700, None, "en", None, 0), (701, "", None, "src1", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(every, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    score = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
+    kept = sorted(((i, t) for i, t, *_ in every if score[i] < 0.3), key=lambda x: x[0])
+
+    def shingles(t):
+        w = fold(t).split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+
+    sets, root = [shingles(t) for _, t in kept], list(range(len(kept)))
+    for a, b in itertools.combinations(range(len(kept)), 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = [new if r == old else r for r in root]
+    kept = [x for k, x in enumerate(kept) if root[k] == k]
+    words = plain_words(item)
+    windows = {tuple(words[k : k + 13]) for k in range(len(words) - 12)}
+
+    def hit(t):
+        w = plain_words(t)
+        found = {q for k in range(len(w) - 12) if tuple(w[k : k + 13]) in windows for q in range(k, k + 13)}
+        return bool(found) and 20 * len(found) >= len(w)
+
+    kept = [x for x in kept if not hit(x[1])]
+    sizes = Counter({i: s or "" for i, _, _, s, _ in every}[i] for i, _ in kept)
+    places, blocks, size = mixing.plan(dict(sizes))
+    times = Counter()
+    for s, j, *_ in places:
+        times[s] += min(size, sizes[s] - j % blocks[s] * size)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 2] for i, t in kept}
+    out = corpus_pipeline.run(spark, str(tmp_path)).orderBy("start").collect()
+    assert {r.doc_id for r in out} == set(ids) and len(out) == sum(times.values())
+    assert [r.doc_id for r in out] == sorted(r.doc_id for r in out)
+    assert all(b.start == a.start + a.n_tokens for a, b in itertools.pairwise(out)) and out[0].start == 0
+    assert all((r.n_tokens, r.ids_crc32) == (len(ids[r.doc_id]), zlib.crc32(np.array(ids[r.doc_id], "<u4").tobytes())) for r in out)
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "mixing", "token_output"]

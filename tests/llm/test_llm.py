@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
+from eventmart.llm import pipeline as corpus_pipeline
 from eventmart.llm import common, decontaminate, exact_dedup, jaccard_join, license_scan, line_dedup, mixing, quality, substring_dedup, token_output, toxicity
 from eventmart.llm.components import components
 
