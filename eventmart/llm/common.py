@@ -21,6 +21,8 @@ BATCH_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _own_folders: dict[str, str] = {}
+#: Tables that each application stored and has not discarded.
+_paths: dict[str, list[str]] = {}
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -47,11 +49,29 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """df written once to the shared folder and read back: later stages survive a lost executor
-    without repeating the work, and the lineage ends here."""
+    without repeating the work, and the lineage ends here. `discard` deletes it when nothing reads it any more."""
     bounded_batches(df.sparkSession)
     path = f"{scratch_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def stored_paths(spark: SparkSession) -> list[str]:
+    """Paths of the tables that this application stored and has not discarded, oldest first."""
+    return list(_paths.get(spark.sparkContext.applicationId, []))
+
+
+def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Deletes stored tables (or their paths) that no later step reads; one that is gone already does no harm."""
+    files, known = spark._jvm.org.apache.hadoop.fs, _paths.get(spark.sparkContext.applicationId, [])
+    for path in (t if isinstance(t, str) else t.stored_path for t in tables):
+        place = files.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in known:
+            known.remove(path)
 
 
 def lowered(text):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import stored
+from eventmart.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(links: DataFrame) -> DataFrame:
     the work survives lost executors; the number of steps grows with the logarithm of the component's size.
     """
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
-    before = None
+    before, spark = None, links.sparkSession
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)"))).first()
         if now == before or not now[0]:
@@ -26,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")), "large-star")
         small = large.join(large.groupBy("hi").agg(F.min("lo").alias("m")), "hi")
         moved = small.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(small.select("hi", F.col("m").alias("lo")))
-        edges = stored(moved.distinct(), "edges")
+        old, edges = edges, stored(moved.distinct(), "edges")
+        discard(spark, old, large)
 
 
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import pieces, read_table, stored
+from eventmart.llm.common import PIECE_BYTES, discard, pieces, read_table, stored
 from eventmart.llm.components import components, joined
 from eventmart.llm.words import SPACED, Words, grams, mixed
 
@@ -98,7 +98,7 @@ def shared_grams(docs: DataFrame, ngram: int, frequent: np.ndarray, buckets: int
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=2 * PIECE_BYTES):  # fewer packs
             for begin in range(0, batch.num_rows, 60_000):
                 s = Sets(batch.column("text").slice(begin, 60_000), ngram)
                 signature = list(zip(s.a.tolist(), s.b.tolist(), strict=True))
@@ -264,7 +264,10 @@ def linked_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     far = F.coalesce(F.abs(F.col("sa") - F.col("sb")) > 1 - percent / 100 + 1e-9, F.lit(False))
     may = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & may_meet("na", "pa", "nb", "pb", percent) & ~far
     rest = x.join(y, "token").filter(may).select("a", "b").distinct()
-    return joined(labels, compared(rest.join(first, ["a", "b"], "left_anti"), sets, percent).filter("linked").select("a", "b"))
+    second = compared(rest.join(first, ["a", "b"], "left_anti"), sets, percent)
+    out = joined(labels, second.filter("linked").select("a", "b"))
+    discard(sets.sparkSession, lists, near, first, second)
+    return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:

@@ -22,7 +22,7 @@ from eventmart.llm.common import read_table
 #: Slots that a schedule is meant to have at most, whatever the number of rows.
 MAX_BLOCKS = 100_000
 #: Least rows of a block, and rows that are numbered together.
-BLOCK_ROWS, BUCKET_ROWS = 8, 5_000
+BLOCK_ROWS, BUCKET_ROWS = 8, 1_000
 #: Target weight of a source of n blocks: n ** EXPONENT, before weights are made to sum to 1.
 EXPONENT = 0.85
 #: Columns that `schedule` adds.

@@ -8,11 +8,13 @@ Both decide on each row by its number, whatever its doc_id. All but the last ret
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import read_table, stored
+from eventmart.llm.common import discard, read_table, stored, stored_paths
 from eventmart.llm.decontaminate import contamination
 from eventmart.llm.jaccard_join import near_duplicates
 from eventmart.llm.mixing import mixed_stream
@@ -23,6 +25,25 @@ from eventmart.llm.toxicity import without_toxic
 ROW = "pipeline_row"
 
 
+_left: dict[str, list[str]] = {}
+
+
+def stage(function):
+    """A stage that first deletes what the stage before it had stored: by then that one's result is written and reread."""
+
+    @wraps(function)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        discard(spark, *_left.pop(application, []))
+        before = set(stored_paths(spark))
+        out = function(spark, docs, sf_dir)
+        _left[application] = [p for p in stored_paths(spark) if p not in before]
+        return out
+
+    return begun
+
+
+@stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
@@ -32,6 +53,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows", compression="zstd")
 
 
+@stage
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     group = near_duplicates(rows, key=ROW).select(ROW, "component_id").join(rows.select(ROW, "doc_id"), ROW)
@@ -40,16 +62,19 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     found = contamination(rows, read_table(spark, sf_dir, "benchmark"), key=ROW).filter("contaminated").select(ROW)
     return rows.join(found, ROW, "left_anti").select(*docs.columns)
 
 
+@stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_stream(docs)
 
 
+@stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_output(docs, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -62,6 +87,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for n, (name, step) in enumerate(STAGES):
+        before, docs = docs, stored(step(spark, docs, sf_dir), name)
+        if n:
+            discard(spark, before)
+    discard(spark, *_left.pop(spark.sparkContext.applicationId, []))
     return docs

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import bytes_of, pieces, read_table, scratch_folder, stored
+from eventmart.llm.common import bytes_of, discard, pieces, read_table, scratch_folder, stored
 from eventmart.llm.words import prefix_hash, span_hash
 
 #: Block layout, little-endian: magic, documents, ids, ids of the shard before this block; then keys
@@ -355,6 +355,7 @@ def token_output(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     ranks = id_ranks(tokens, vocabulary)
     folder = folder or f"{scratch_folder(spark)}/token-corpus-{uuid.uuid4().hex}"
     write_blocks(tokens, ranks, shards or int(spark.conf.get("spark.sql.shuffle.partitions")), folder)
+    discard(spark, tokens)
     return read_blocks(spark, folder, key)
 
 

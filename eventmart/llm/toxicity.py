@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import pieces, read_table, stored
+from eventmart.llm.common import discard, pieces, read_table, stored
 from eventmart.llm.words import Words, grams
 
 #: Labelled rows that fit the two models and their calibration, the first in the order of a hash of their key.
@@ -220,6 +220,7 @@ def fit_models(docs: DataFrame, texts: DataFrame, text: str = "text") -> KneserN
         np.subtract.at(freed[c], at[known], np.maximum(pair_counts[c][known] - discount, 0))
     total = np.array([sums[0] or 0, sums[1] or 0], np.float64)
     word_freed = total - np.maximum(counts - discount, 0).sum(axis=1)
+    discard(docs.sparkSession, table, words)
     return KneserNey(discount, shared_counts(docs, text), key, counts, np.maximum(total, 1.0), np.maximum(word_freed, 1.0), followed, freed, pair_key[pair_order], pair_counts)
 
 
