@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import PIECE_BYTES, discard, pieces, read_table, stored
+from eventmart.llm.common import PIECE_BYTES, bytes_of, discard, hand_back, pieces, read_table, stored
 from eventmart.llm.components import components, joined
 from eventmart.llm.words import SPACED, Words, grams, mixed
 
@@ -135,29 +135,35 @@ def shared_grams(docs: DataFrame, ngram: int, frequent: np.ndarray, buckets: int
 
     def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys, and for each n-gram the number of its key and its 48 bits."""
-        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64).reshape(-1, 2)
-        distinct, number = np.unique(keys.view("V16").reshape(-1), return_inverse=True)
-        sizes = np.array([len(x) // 16 for x in table["keys"].to_pylist()])
-        bases = np.cumsum(sizes) - sizes
-        index = [np.frombuffer(x, np.uint16).astype(np.int64) + base for x, base in zip(table["idx"].to_pylist(), bases.tolist(), strict=True)]
-        h = np.frombuffer(b"".join(table["h32"].to_pylist()), np.uint32).astype(np.uint64) | np.frombuffer(b"".join(table["h16"].to_pylist()), np.uint16).astype(np.uint64) << np.uint64(32)
-        return distinct.view(np.uint64).reshape(-1, 2), number[np.concatenate(index)], h
+        (keys, ends), (index, cuts), (low, _), (high, _) = (bytes_of(table[c].combine_chunks()) for c in ("keys", "idx", "h32", "h16"))
+        distinct, number = np.unique(keys.view("V16"), return_inverse=True)
+        place = np.repeat((ends[:-1] // 16).astype(np.int32), np.diff(cuts) // 2)  # of the first key of each pack
+        place += index.view(np.uint16)
+        h = high.view(np.uint16).astype(np.uint64)
+        h <<= np.uint64(32)
+        h |= low.view(np.uint32)
+        return distinct.view(np.uint64).reshape(-1, 2), number.astype(np.int32)[place], h
 
     def count_bucket(key: tuple, table: pa.Table) -> pa.Table:
         keys, owner, h = unpack(table)
         order = np.argsort(h, kind="stable")
         h, owner = h[order], owner[order]
+        del order
         same = h[1:] == h[:-1]
         several = np.append(same, False) | np.append(False, same)
         h, owner = h[several], owner[several]
         order = np.lexsort((owner, h))
         h, owner = h[order], owner[order]
+        del order
         new = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))[: len(h)]
         h, owner = h[new], owner[new]
-        _, group, count = np.unique(h, return_inverse=True, return_counts=True)
-        count = count[group] if len(h) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+        count = np.diff(np.append(first, len(h)))
+        count = np.repeat(count, count)
         on = count > 1
-        return rows_of(keys, owner[on], h[on] << np.uint64(16) | np.uint64(key[0].as_py() & 0xFFFF), count[on].astype(np.int64))
+        out = rows_of(keys, owner[on], h[on] << np.uint64(16) | np.uint64(key[0].as_py() & 0xFFFF), count[on].astype(np.int64))
+        hand_back()
+        return out
 
     def frequent_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
