@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import bytes_of, pieces, read_table, stored
+from eventmart.llm.common import bytes_of, discard, pieces, read_table, stored
 from eventmart.llm.words import mixed, powers, prefix_hash, span_hash
 
 #: Bytes of a repeated string, and of the gram that selects its anchor.
@@ -185,19 +185,23 @@ def induced(slices: DataFrame, length: int, block: int, only: bool = False) -> D
     return slices.mapInArrow(split, "slice long, gram long, name long, first long, last long, single boolean")
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = 8) -> DataFrame:
-    """Stretches [first, last] of starts of strings that also start elsewhere: key, digest, first, last."""
+def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = 8) -> tuple[DataFrame, list[DataFrame]]:
+    """Stretches [first, last] of starts of strings that also start elsewhere: key, digest, first, last; and the stored
+    tables that they are read from. Tables that only lead to these are deleted on the way."""
+    spark = docs.sparkSession
     anchors = anchor_table(docs, length, gram)
     found = stored(anchors.join(surroundings(anchors), ["gram", "name"]), "found", compression="zstd")
+    discard(spark, anchors)
     spans = found.filter("n > 1").select("key", "digest", "first", "last")
     slices = induced_slices(docs, found.filter("induce AND (n = 1 OR id = one)").withColumn("single", F.col("n") == 1), length)
     blocks = stored(induced(slices, length, block).select(F.monotonically_increasing_id().alias("id"), "*"), "blocks", compression="zstd")
-    found = stored(blocks.join(surroundings(blocks), ["gram", "name"]), "found-blocks", compression="zstd")
-    some = found.filter("induce AND (n = 1 OR id = one)").select(F.col("slice").alias("id"), F.col("first").alias("a"), F.col("last").alias("b"))
+    met = stored(blocks.join(surroundings(blocks), ["gram", "name"]), "found-blocks", compression="zstd")
+    discard(spark, blocks)
+    some = met.filter("induce AND (n = 1 OR id = one)").select(F.col("slice").alias("id"), F.col("first").alias("a"), F.col("last").alias("b"))
     strings = stored(induced(slices.join(some, "id"), length, 1, only=True), "strings", compression="zstd")
     twice = strings.groupBy("gram", "name").count().filter("count > 1")
-    inner = found.filter("n > 1 AND single").select("slice", "first", "last").union(strings.filter("single").join(twice, ["gram", "name"]).select("slice", "first", "last"))
-    return spans.union(inner.join(slices.select("id", "key", "digest"), inner["slice"] == slices["id"]).select("key", "digest", "first", "last"))
+    inner = met.filter("n > 1 AND single").select("slice", "first", "last").union(strings.filter("single").join(twice, ["gram", "name"]).select("slice", "first", "last"))
+    return spans.union(inner.join(slices.select("id", "key", "digest"), inner["slice"] == slices["id"]).select("key", "digest", "first", "last")), [found, slices, met, strings]
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, with_text: bool = False) -> DataFrame:
@@ -208,7 +212,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     all of its strings. An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
-    spans = stored(repeated_starts(rows, length, gram).groupBy("key", "digest").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans", compression="zstd")
+    starts, read = repeated_starts(rows, length, gram)
+    spans = stored(starts.groupBy("key", "digest").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans", compression="zstd")
+    discard(docs.sparkSession, *read)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
