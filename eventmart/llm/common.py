@@ -6,10 +6,10 @@ import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass holds at once; a longer document is handled alone.
@@ -20,6 +20,9 @@ BATCH_BYTES = 4 << 20
 #: A-Z and their lower-case forms: the only letters that the contracts fold.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Parts over which the rows of one group are dealt.
+GROUP_PARTS = 256
+
 _own_folders: dict[str, str] = {}
 #: Tables that each application stored and has not discarded.
 _paths: dict[str, list[str]] = {}
@@ -74,6 +77,20 @@ def discard(spark: SparkSession, *tables: DataFrame | str) -> None:
             known.remove(path)
 
 
+def with_totals(rows: DataFrame, by: list[str], place: list[str], totals: dict[str, tuple[Column, Callable]], where: str = "true") -> DataFrame:
+    """rows with totals of their groups (equal `by`, no nulls), of groups that `where` holds for.
+
+    The rows of a group are dealt over GROUP_PARTS by a hash of the columns `place`, totalled by part, and met by the
+    totals of their group in each part: a group of a third of all rows goes through many tasks. totals: name ->
+    (total of a part, function that makes the group's total of those). rows: stored, so that `place` stays the same.
+    """
+    dealt = rows.withColumn("group_part", F.pmod(F.xxhash64(*place), F.lit(GROUP_PARTS)))
+    parts = dealt.groupBy(*by, "group_part").agg(*[total.alias(name) for name, (total, _) in totals.items()])
+    group = Window.partitionBy(*by)
+    whole = parts.select(*by, "group_part", *[combine(name).over(group).alias(name) for name, (_, combine) in totals.items()])
+    return dealt.join(whole.filter(where), [*by, "group_part"]).drop("group_part")
+
+
 def lowered(text):
     """Text with A-Z folded and nothing else; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

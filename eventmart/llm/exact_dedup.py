@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import lowered, read_table, stored
+from eventmart.llm.common import lowered, read_table, stored, with_totals
 
 #: A chunk ends after the first line end or sentence end beyond `least` characters, or at `most`.
 CHUNK = r"(?s).{{{least},{most}}}?(?:\n|[.!?] )|.{{1,{most}}}"
@@ -51,8 +51,8 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     recipes = chunk_recipes(docs, key, text)
     column = "recipe" if verified(recipes) else "digests"
     rows = recipes.select("row_id", "key", "text_sha256", F.col(column).alias("recipe"))
-    groups = rows.groupBy("recipe").agg(F.max(F.struct("key", "row_id")).alias("top"), F.count("*").alias("group_size"))
-    return rows.join(groups, "recipe").select(
+    totals = {"top": (F.max(F.struct("key", "row_id")), F.max), "group_size": (F.count("*"), F.sum)}
+    return with_totals(rows, ["recipe"], ["row_id"], totals).select(
         F.col("key").alias(key),
         F.col("top.key").alias("keep_id"),
         "group_size",
