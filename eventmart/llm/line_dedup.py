@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import bytes_of, pieces, read_table, stored
+from eventmart.llm.common import bytes_of, pieces, read_table, stored, with_totals
 from eventmart.llm.words import SPACED, mixed, prefix_hash, span_hash
 
 #: Lines of a repeated run, and of a hashed gram within it.
@@ -65,8 +65,8 @@ def shared_places(places: DataFrame) -> DataFrame:
 
 def later_runs(runs: DataFrame) -> DataFrame:
     """row_id, first and last line of the runs that occurred before. runs: stored, each place once."""
-    first = runs.groupBy("run_a", "run_b").agg(F.min(F.struct("key", "row_id", "first")).alias("one"), F.count("*").alias("n")).filter("n > 1")
-    later = runs.join(first, ["run_a", "run_b"]).filter((F.col("row_id") != F.col("one.row_id")) | (F.col("first") != F.col("one.first")))
+    totals = {"one": (F.min(F.struct("key", "row_id", "first")), F.min), "n": (F.count("*"), F.sum)}
+    later = with_totals(runs, ["run_a", "run_b"], ["row_id", "first"], totals, "n > 1").filter((F.col("row_id") != F.col("one.row_id")) | (F.col("first") != F.col("one.first")))
     return later.select("row_id", "first", "last")
 
 
