@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import bytes_of, pieces, read_table, stored, with_totals
-from eventmart.llm.words import SPACED, mixed, prefix_hash, span_hash
+from eventmart.llm.words import SPACED, Sequences, mixed, string_hash
 
 #: Lines of a repeated run, and of a hashed gram within it.
 RUN, GRAM = 3, 2
@@ -100,7 +100,7 @@ def without_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "tex
 
 class Lines:
     """The lines of a column without nulls. starts, ends: bytes of each line; rows: first line of each row (one more
-    than rows); before, after: words of the column before and up to the end of each line; hash: prefix hash of the bytes."""
+    than rows); before, after: words of the column before and up to the end of each line; a, b: two independent hashes of each."""
 
     def __init__(self, column: pa.Array):
         data, offsets = bytes_of(column)
@@ -117,7 +117,7 @@ class Lines:
         inner[offsets] = False
         words = np.concatenate([[0], np.cumsum(spaced & ~inner[:-1])])
         self.before, self.after = words[self.starts], words[self.ends]
-        self.hash = prefix_hash(data)
+        self.a, self.b = (string_hash(data, self.starts, self.ends, seed) for seed in (1, 2))
 
     @property
     def row(self) -> np.ndarray:
@@ -139,8 +139,8 @@ class Lines:
 
     def fingerprints(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Smallest hash of a pair of neighbours in each window (the rightmost of equal ones) and its line; of one line, its own."""
-        value, place = span_hash(self.hash, self.starts[first], self.ends[first]), first.copy()
-        pair = span_hash(self.hash, self.starts[:-1], np.maximum(self.ends[1:], self.starts[:-1]))
+        value, place = mixed(~self.a[first]), first.copy()
+        pair = mixed(mixed(self.a[:-1]) + self.a[1:])
         order = np.lexsort((-np.arange(len(pair)), pair))
         least = np.zeros(len(pair), np.int64)
         least[order] = np.arange(len(pair))
@@ -155,7 +155,7 @@ class Lines:
 
 
 def winnowed_passages(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """The windows of `least` words of each row (row_id, key, text): row_id, key, first and last line, run_a and run_b (its hash), fingerprint and place."""
+    """The windows of `least` words of each row (row_id, key, text): row_id, key, first and last line, run_a and run_b (two independent hashes of its lines), fingerprint and place."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -163,10 +163,7 @@ def winnowed_passages(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
             first, last = x.windows(least)
             row = x.row[first]
             value, place = x.fingerprints(first, last)
-            begin, stop = x.starts[first], x.ends[last]
-            # the second hash is one of the lines, each by its own hash and place
-            lines = prefix_sums(mixed(span_hash(x.hash, x.starts, x.ends) ^ np.uint64(0x243F6A8885A308D3)))
-            columns = [span_hash(x.hash, begin, stop).view(np.int64), mixed(lines[last + 1] - lines[first] + mixed((last - first).astype(np.uint64))).view(np.int64), value.view(np.int64)]
+            columns = [Sequences(h, seed).hash(first, last + 1).view(np.int64) for seed, h in ((1, x.a), (2, x.b))] + [value.view(np.int64)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id").take(pa.array(row)), batch.column("key").take(pa.array(row)), *(pa.array((c - x.rows[row]).astype(np.int32)) for c in (first, last)), *map(pa.array, columns), pa.array((place - x.rows[row]).astype(np.int32))],
                 ["row_id", "key", "first", "last", "run_a", "run_b", "fingerprint", "place"],
@@ -176,10 +173,6 @@ def winnowed_passages(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     return texts.mapInArrow(scan, f"row_id long, key {kind}, first int, last int, run_a long, run_b long, fingerprint long, place int")
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-
-
 def without_repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
     """One row per row of docs: key, n_lines, n_removed, n_runs (stretches of removed lines), kept_text.
 

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import bytes_of, discard, pieces, read_table, scratch_folder, stored
-from eventmart.llm.words import prefix_hash, span_hash
+from eventmart.llm.words import same_strings, string_hash
 
 #: Block layout, little-endian: magic, documents, ids, ids of the shard before this block; then keys
 #: (int64), null marks (uint8), ids per document (uint32), control bytes and data bytes.
 HEADER = "<8sIQQ"
 MAGIC = b"TOKBLK01"
-#: Units of texts that a Python worker remembers between pieces, about 30 bytes each.
+#: Units of texts that a Python worker remembers between pieces, about 60 bytes each.
 REMEMBERED = 1_000_000
 #: Punctuation at the end of a part, a word of its own under the tokenizer's rule.
 TAIL = ".,;:!?*$%&#|)"
@@ -99,8 +99,9 @@ class Encoder:
 
     Under EXPECTED_RULES white space is dropped and no token spans it, so a text's ids are those of its parts between
     blanks. A part of plain ASCII is further cut where the tokenizer cuts it: runs of letters, single digits and runs
-    of punctuation. Units are remembered by the 64-bit hash of their bytes, in sorted arrays; each distinct unit is
-    encoded once. Under any other rules whole texts are encoded one by one.
+    of punctuation. Units are remembered by the 64-bit hash of their bytes, in sorted arrays, with the bytes themselves:
+    what is taken from memory has been compared with them, and a unit whose hash another one has is encoded each time
+    that it comes. Under any other rules whole texts are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -114,7 +115,9 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        # one entry to begin with, of no unit: its size is below that of any
         self.keys, self.first, self.size, self.ids = np.zeros(1, np.uint64), np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, self.kind)
+        self.spelled, self.begin, self.length = np.zeros(0, np.uint8), np.zeros(1, np.int64), np.full(1, -1, np.int64)
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of a column without nulls, each text closed by end_id, and the number of ids of each text."""
@@ -124,36 +127,60 @@ class Encoder:
         data, offsets = bytes_of(column)
         starts, ends, odd = units(data, offsets)
         lower = _LOWER[data]
-        key = span_hash(prefix_hash(lower), starts, ends)
+        key = string_hash(lower, starts, ends)
         if odd.any():
-            key[odd] = ~span_hash(prefix_hash(data), starts[odd], ends[odd])
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        new = np.flatnonzero(self.keys[at] != key)
+            key[odd] = ~string_hash(data, starts[odd], ends[odd])
+        new = np.flatnonzero(self.keys[self.find(key)] != key)
         if len(new):
             _, one = np.unique(key[new], return_index=True)
             one = new[one]
-            self.remember(key[one], [bytes(data[s:e] if o else lower[s:e]).decode() for s, e, o in zip(starts[one].tolist(), ends[one].tolist(), odd[one].tolist(), strict=True)], odd[one])
-            at = np.searchsorted(self.keys, key)
+            self.remember(key[one], [bytes(data[s:e] if o else lower[s:e]) for s, e, o in zip(starts[one].tolist(), ends[one].tolist(), odd[one].tolist(), strict=True)], odd[one])
+        at = self.find(key)
+        other = np.flatnonzero(~self.same(data, lower, starts, ends, odd, at))
         row_end = np.searchsorted(starts, offsets[1:])  # after its last unit each text has its end id
-        first, size = (np.insert(x[at], row_end, y) for x, y in ((self.first, -1), (self.size, 1)))
+        first, size, known = self.first[at], self.size[at], self.ids
+        if len(other):  # their hashes are those of other units
+            lists = self.ids_of([bytes(data[s:e] if o else lower[s:e]).decode() for s, e, o in zip(starts[other].tolist(), ends[other].tolist(), odd[other].tolist(), strict=True)], odd[other])
+            size[other] = [len(x) for x in lists]
+            first[other] = len(known) + np.cumsum(size[other]) - size[other]
+            known = np.append(known, np.fromiter(chain.from_iterable(lists), self.kind))
+        first, size = (np.insert(x, row_end, y) for x, y in ((first, -1), (size, 1)))
         place = np.cumsum(size) - size
         flat = np.arange(int(size.sum())) + np.repeat(first - place, size)
-        ids = np.append(self.ids, self.kind(end_id))[flat]  # -1 is the end id
+        ids = np.append(known, self.kind(end_id))[flat]  # -1 is the end id
         last = place[row_end + np.arange(len(row_end))] + 1
         return ids, np.diff(last, prepend=0)
 
-    def remember(self, keys: np.ndarray, words: list[str], odd: np.ndarray) -> None:
-        """Adds units: sorted keys, their text, and whether they are parts with more than plain ASCII in them."""
+    def find(self, key: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+
+    def same(self, data: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Whether each unit is the remembered one at `at`, by its bytes."""
+        out = self.length[at] == ends - starts
+        for source, these in ((lower, out & ~odd), (data, out & odd)):
+            on = np.flatnonzero(these)
+            out[on] = same_strings(source, starts[on], self.spelled, self.begin[at[on]], self.length[at[on]])
+        return out
+
+    def ids_of(self, words: list[str], odd: np.ndarray) -> list[list[int]]:
+        """Ids of units; odd: which are parts with more than plain ASCII in them."""
         plain = [w for w, o in zip(words, odd.tolist(), strict=True) if not o]
         found = dict(zip(plain, self.of_words(plain), strict=True))
         parts = [w for w, o in zip(words, odd.tolist(), strict=True) if o]
         encoded = dict(zip(parts, self.of_parts(parts), strict=True))
-        lists = [encoded[w] if o else found[w] for w, o in zip(words, odd.tolist(), strict=True)]
-        size = np.array([len(x) for x in lists], np.int32)
+        return [encoded[w] if o else found[w] for w, o in zip(words, odd.tolist(), strict=True)]
+
+    def remember(self, keys: np.ndarray, units: list[bytes], odd: np.ndarray) -> None:
+        """Adds units: sorted keys, their bytes, and whether they are parts with more than plain ASCII in them."""
+        lists = self.ids_of([u.decode() for u in units], odd)
+        size, length = np.array([len(x) for x in lists], np.int32), np.array([len(u) for u in units], np.int64)
         where = np.searchsorted(self.keys, keys)
         first = (np.cumsum(size) - size + len(self.ids)).astype(np.int32)
+        begin = np.cumsum(length) - length + len(self.spelled)
         self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(lists), self.kind, int(size.sum())))
+        self.spelled = np.append(self.spelled, np.frombuffer(b"".join(units), np.uint8))
         self.keys, self.first, self.size = np.insert(self.keys, where, keys), np.insert(self.first, where, first), np.insert(self.size, where, size)
+        self.begin, self.length = np.insert(self.begin, where, begin), np.insert(self.length, where, length)
 
     def of_words(self, words: list[str]) -> list[list[int]]:
         """Ids of words that the tokenizer's rules keep whole: they go to its model directly, in its byte alphabet."""
@@ -207,7 +234,7 @@ def _encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     encoder = _encoders[path]
-    if len(encoder.keys) > REMEMBERED or len(encoder.ids) > 4 * REMEMBERED:
+    if len(encoder.keys) > REMEMBERED or len(encoder.ids) > 4 * REMEMBERED or len(encoder.spelled) > 16 * REMEMBERED:
         encoder.forget()
     return encoder
 
