@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import earliest, money, named, share
-from eventmart.operators.ranking import ntile
+from eventmart.operators.ranking import ntiles
 from eventmart.operators.silver import signed_total
 from eventmart.plans.scratch import materialized
 
@@ -89,8 +89,7 @@ def customer_rfm(silver: DataFrame, order_table: DataFrame | None = None) -> Dat
         F.datediff("as_of", "last_order_at").alias("recency_days"), share(F.col("refunded_orders"), F.col("orders")).alias("refund_rate_pct"),
     )
     buyers = materialized(buyers, "buyers")
-    for column, name in ((F.desc("recency_days"), "r_score"), (F.asc("orders"), "f_score"), (F.asc("monetary"), "m_score")):
-        buyers = ntile(buyers, 5, [column, F.asc("customer_id")], name)
+    buyers = ntiles(buyers, 5, {"r_score": -F.col("recency_days"), "f_score": F.col("orders"), "m_score": F.col("monetary")}, "customer_id")
     # fixed values: score bounds of the segments
     score = F.col("r_score") + F.col("f_score") + F.col("m_score")
     segment = F.when(score >= 13, "champion").when(score >= 10, "loyal").when(score >= 7, "potential").when(F.col("r_score") <= 2, "at_risk").otherwise("hibernating")
@@ -118,7 +117,6 @@ def product_daily(silver: DataFrame, top_n: int | None = None) -> DataFrame:
 
 def anomalies(silver: DataFrame, threshold: float = 5000.0) -> DataFrame:
     """Events with at least one suspicious trait; two or more make the severity high."""
-    before = F.lag("occurred_ts").over(Window.partitionBy("session_id", F.when(F.col("session_id").isNull(), F.col("idempotency_key"))).orderBy("occurred_ts", "event_sequence", "idempotency_key"))
     gap = F.unix_timestamp("occurred_ts") - F.unix_timestamp("_before")
     reasons = named(
         high_amount=F.col("net_amount") > threshold,
@@ -129,7 +127,11 @@ def anomalies(silver: DataFrame, threshold: float = 5000.0) -> DataFrame:
         rapid_fire=kinds("order_placed") & (gap < 5),
         missing_price=F.col("product_price").isNull(),
     )
-    marked = silver.withColumn("_before", F.when(F.col("session_id").isNotNull(), before)).withColumn("reasons", reasons).filter(F.size("reasons") > 0)
+    # events without a session have none before them; the others are looked at by session alone, so that a layout by session serves
+    before = F.lag("occurred_ts").over(Window.partitionBy("session_id").orderBy("occurred_ts", "event_sequence", "idempotency_key"))
+    alone = silver.filter("session_id IS NULL").withColumn("_before", F.lit(None).cast("timestamp"))
+    timed = silver.filter("session_id IS NOT NULL").withColumn("_before", before).union(alone)
+    marked = timed.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
     return marked.select(
         "partition_date", "occurred_ts", "event_type", "idempotency_key", "session_id", "customer_id", "product_id", "order_id", "quantity", "discount_pct", "net_amount", "channel", "reasons",
         F.when(F.size("reasons") >= 2, "high").otherwise("low").alias("severity"),

@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 from pyspark.storagelevel import StorageLevel
 
 from eventmart.functions.columns import iso
+from eventmart.functions.observed import totals
 from eventmart.operators import gold, quality, silver
 from eventmart.plans.paths import GOLD, Lake, gold_tables
+from eventmart.session import job
 from eventmart.sources import partner
 
+#: Columns that silver is laid out by, and the one of its buckets.
+LAYOUT, BY_SESSION = ["partition_date", "partition_hour"], "session_id"
 METRICS = "stage string, name string, value double, unit string, dims map<string,string>"
 
 
@@ -22,15 +29,62 @@ def write_table(df: DataFrame, path: str, *partitions: str, mode: str = "overwri
     seen = Observation()
     writer = (df.hint("rebalance", *partitions) if partitions else df).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     (writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions) if partitions else writer).parquet(path)
-    return seen.get["rows"]
+    return totals(seen, "rows")["rows"]
+
+
+def silver_table(spark: SparkSession, lake: Lake, schema: T.StructType | None = None, buckets: int | None = None) -> str:
+    """Name of a table over silver's folder that knows its layout: days, hours and buckets by session.
+
+    The table holds no data of its own and is made anew for each session from what the folder says. schema: of a folder
+    that has no files yet, which gets `buckets` (by default as many as the session has shuffle partitions). How many a folder has
+    is kept beside it; without that note it is read without buckets.
+    """
+    path = lake.path("silver", "events")
+    note = f"{lake.path('silver')}/_layout"
+    try:
+        kept = int(spark.read.text(note).first()[0])
+    except AnalysisException:
+        kept = 0
+    if schema is not None and not kept and not partner.children(spark, path):
+        kept = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.range(1).select(F.lit(str(kept)).alias("value")).coalesce(1).write.mode("overwrite").text(note)
+    columns = schema if schema is not None else spark.read.parquet(path).schema
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    name = f"silver_events_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*[f for f in columns if f.name not in LAYOUT], *[f for f in columns if f.name in LAYOUT]])
+    cluster = f"CLUSTERED BY ({BY_SESSION}) SORTED BY ({BY_SESSION}) INTO {kept} BUCKETS" if kept else ""
+    spark.sql(f"CREATE TABLE {name} ({shape}) USING parquet PARTITIONED BY ({', '.join(LAYOUT)}) {cluster} LOCATION '{path}'")
+    spark.catalog.recoverPartitions(name)
+    return name
+
+
+def write_silver(df: DataFrame, lake: Lake, buckets: int | None = None) -> int:
+    """Replaces the days and hours that df has; the rows written. Rows of a session go to one task, those without one to all."""
+    spark, seen = df.sparkSession, Observation()
+    name = silver_table(spark, lake, df.schema, buckets)
+    columns = spark.table(name).columns
+    dealt = df.repartition(F.coalesce(BY_SESSION, "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string")))
+    dealt.observe(seen, F.count(F.lit(1)).alias("rows")).select(*columns).write.mode("overwrite").insertInto(name)
+    return totals(seen, "rows")["rows"]
+
+
+def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver with its layout: what is grouped or ordered by session needs no exchange."""
+    return spark.table(silver_table(spark, lake))
+
+
+def metric_rows(spark: SparkSession, stage: str, values: dict[str, float], dims: dict[str, str] | None = None) -> DataFrame:
+    return spark.createDataFrame([(stage, n, float(v), "count", dims or {}) for n, v in values.items()], METRICS).coalesce(1)
 
 
 def record_metrics(spark: SparkSession, lake: Lake, stage: str, values: dict[str, float], dims: dict[str, str] | None = None) -> None:
     """Run counters as rows of quality/metrics."""
-    rows = [(stage, n, float(v), "count", dims or {}) for n, v in values.items()]
-    spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").parquet(lake.path("quality", "metrics"))
+    metric_rows(spark, stage, values, dims).write.mode("append").parquet(lake.path("quality", "metrics"))
 
 
+@job
 def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, channel: str = "web", archive: bool = True) -> dict[str, int]:
     """Partner drops to bronze, rejected records to quarantine with the names of the checks they fail.
 
@@ -50,7 +104,7 @@ def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, cha
         count = F.count(F.lit(1)).alias("rows")
         partner.write_ndjson(good.observe(seen["accepted"], count), lake.path("bronze"), "dt", "hour")
         partner.write_ndjson(bad.drop("hour").observe(seen["rejected"], count), lake.path("quarantine", "landing"), "dt")
-        counts = {n: o.get["rows"] for n, o in seen.items()} | {"files": files}
+        counts = {n: totals(o, "rows")["rows"] for n, o in seen.items()} | {"files": files}
     finally:
         records.unpersist()
     day = datetime.now(timezone.utc).strftime("%Y-%m-%d")
@@ -59,6 +113,7 @@ def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, cha
     return counts
 
 
+@job
 def refine(spark: SparkSession, lake: Lake, process_date: str | None = None, lookback_days: int = 0, thresholds: dict | None = None, stop_on_breach: bool = False) -> dict:
     """Bronze to silver (only the days of the window are replaced), with the summary row and its verdict."""
     first = process_date and str(date.fromisoformat(process_date) - timedelta(days=lookback_days))
@@ -66,7 +121,7 @@ def refine(spark: SparkSession, lake: Lake, process_date: str | None = None, loo
     flat = silver.flatten(bronze)
     table = silver.to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_table(table, lake.path("silver", "events"), "partition_date", "partition_hour")
+        write_silver(table, lake)
         facts = quality.summary(bronze, silver.clean(flat), table)
         row = facts.first().asDict()
         outcome, breaches = quality.verdict(row, thresholds)
@@ -83,10 +138,33 @@ def refine(spark: SparkSession, lake: Lake, process_date: str | None = None, loo
     return row | {"verdict": outcome, "breaches": breaches}
 
 
+def late_days(spark: SparkSession, lake: Lake) -> list[str]:
+    """Days of the events that came too late for the stream."""
+    found = partner.children(spark, f"{lake.path('silver', 'stream')}/zone=late")
+    return [p.rpartition("=")[2] for p in found]
+
+
+@job
+def refine_late(spark: SparkSession, lake: Lake) -> dict[str, dict]:
+    """Refines from bronze the days of events that came too late for the stream, and clears them; what `refine` returns, by day.
+
+    A day that is ended on the way is refined again the next time, with the same result.
+    """
+    out = {}
+    for day in late_days(spark, lake):
+        out[day] = refine(spark, lake, day)
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{lake.path('silver', 'stream')}/zone=late/partition_date={day}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return out
+
+
+@job
 def build_gold(spark: SparkSession, lake: Lake, process_date: str | None = None, lookback_days: int = 0, tables: list[str] | None = None, top_n: int | None = None, threshold: float = 5000.0) -> dict[str, int]:
-    """The chosen gold tables over the window of silver partitions; rows written of each."""
-    events = spark.read.parquet(lake.path("silver", "events"))
-    events = silver.window(events, process_date, lookback_days, F.to_date("partition_date")).persist(StorageLevel.MEMORY_AND_DISK)
+    """The chosen gold tables over the window of silver partitions; rows written of each.
+
+    Each table reads the columns that it needs from silver; by its layout, sessions and anomalies are made without an exchange of events.
+    """
+    events = silver.window(read_silver(spark, lake), process_date, lookback_days, F.to_date("partition_date"))
     built = {
         "sessions": lambda: gold.sessions(events),
         "funnel_daily": lambda: gold.funnel_daily(events),
@@ -95,10 +173,7 @@ def build_gold(spark: SparkSession, lake: Lake, process_date: str | None = None,
         "product_daily": lambda: gold.product_daily(events, top_n),
         "anomalies": lambda: gold.anomalies(events, threshold),
     }
-    try:
-        rows = {n: write_table(built[n](), lake.path("gold", n), *([GOLD[n]] if GOLD[n] else [])) for n in gold_tables(tables)}
-    finally:
-        events.unpersist()
+    rows = {n: write_table(built[n](), lake.path("gold", n), *([GOLD[n]] if GOLD[n] else [])) for n in gold_tables(tables)}
     if rows:
         record_metrics(spark, lake, "gold", rows)
     return rows

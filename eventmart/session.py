@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import wraps
+
 from pyspark.sql import SparkSession
 
 #: Constraint propagation is off: over the many aliases of an event record it takes longer than the jobs (22 of 27 s of planning).
@@ -20,3 +24,26 @@ def configured(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def settings(spark: SparkSession) -> Iterator[SparkSession]:
+    """SETTINGS for a while; afterwards the session has what it had before."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    try:
+        yield configured(spark)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def job(function):
+    """A function (spark, ...) that does its work before it returns, under SETTINGS whatever the session has: its results
+    do not depend on the caller's time zone."""
+
+    @wraps(function)
+    def run(spark: SparkSession, *args, **options):
+        with settings(spark):
+            return function(spark, *args, **options)
+
+    return run

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,19 +62,41 @@ def first_wins(sources: list[DataFrame], key: str) -> DataFrame:
     for rank, df in enumerate(sources):
         one = df.withColumn("_rank", F.lit(rank))
         ranked = one if ranked is None else ranked.unionByName(one, allowMissingColumns=True)
-    order = Window.partitionBy(key).orderBy("_rank", F.xxhash64(*[c for c in ranked.columns if c != "_rank"]))
+    order = Window.partitionBy(key).orderBy("_rank", F.xxhash64(*[c for c in ranked.columns if not c.startswith("_")]))
     return ranked.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "_rank")
 
 
 def load(spark: SparkSession, paths: list[str], kind: str = "products") -> tuple[DataFrame | None, dict[str, str]]:
     """(catalog, outcome of each path); a source that cannot be read is skipped."""
+    got, outcome = load_counted(spark, paths, kind, count=False)
+    return got, {path: o["status"] for path, o in outcome.items()}
+
+
+def load_counted(spark: SparkSession, paths: list[str], kind: str = "products", count: bool = True) -> tuple[DataFrame | None, dict[str, dict]]:
+    """(catalog, outcome of each path: status, rows read, usable and taken); a source that cannot be read is skipped.
+
+    taken: rows that the catalog has from this source, the others being unusable or known from an earlier one. All
+    sources are counted in one pass over them.
+    """
     shape, key = (products, "product_id") if kind == "products" else (customers, "customer_id")
-    got, outcome = [], {}
+    got, counted, outcome = [], [], {}
     for path in paths:
         try:
-            got.append(shape(read_catalog(spark, path)))
-            outcome[path] = "read"
+            raw = read_catalog(spark, path)
+            rows = shape(raw)
         except AnalysisException as e:
             logging.getLogger(__name__).warning("catalog source %s: %s", path, e)
-            outcome[path] = "skipped"
-    return (first_wins(got, key) if got else None), outcome
+            outcome[path] = {"status": "skipped", "rows": 0, "usable": 0, "taken": 0}
+            continue
+        got.append(rows)
+        counted += [raw.select(F.lit(path).alias("path"), F.lit("rows").alias("what")), rows.select(F.lit(path).alias("path"), F.lit("usable").alias("what"))]
+        outcome[path] = {"status": "read", "rows": 0, "usable": 0, "taken": 0}
+    if not got:
+        return None, outcome
+    marked = first_wins([rows.withColumn("_path", F.lit(path)) for rows, path in zip(got, [p for p, o in outcome.items() if o["status"] == "read"], strict=True)], key)
+    if not count:
+        return marked.drop("_path"), outcome
+    counted.append(marked.select(F.col("_path").alias("path"), F.lit("taken").alias("what")))
+    for path, what, n in reduce(DataFrame.union, counted).groupBy("path", "what").count().collect():  # three rows for each source
+        outcome[path][what] = n
+    return marked.drop("_path"), outcome

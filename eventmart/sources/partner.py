@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 import re
 import uuid
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from eventmart.functions.columns import event_time, iso, named
 from eventmart.operators.quality import json_errors
@@ -29,26 +31,68 @@ CHECKS = {
 NUMBERS = {"price": "decimal(18,6)", "unit_price": "decimal(18,6)", "quantity": "int", "discount_pct": "decimal(9,4)"}
 
 
+#: Folders of the landing zone that hold no drops: what was ingested, and the queue's files.
+NO_DROPS = ("archive", "queue")
+#: Threads that read the header lines of drops.
+HEADER_READERS = 16
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What stands right in a folder, hidden names left out; nothing where there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    found = [s.getPath() for s in system.listStatus(place)]
+    return sorted(p.toString() for p in found if not p.getName().startswith((".", "_")))
+
+
+def literal(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def list_drops(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files that wait in a drop folder, by format; empty and other files, the archive and the queue are passed over.
+    """Files that wait in a drop folder, by format; empty and other files are passed over.
 
-    The driver holds the names of the files, not what is in them. A folder that does not exist has none.
+    The archive and the queue are not looked into, so what was ingested before costs nothing; Spark lists the rest. The
+    driver holds the names of the files, not what is in them. A folder that does not exist has none.
     """
+    waiting = [c for c in children(spark, path) if c.rpartition("/")[2] not in NO_DROPS]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    found = sorted(r.path for r in files.load([literal(c) for c in waiting]).filter("length > 0").select("path").collect()) if waiting else []
+    found = [f for f in found if not set(f.rpartition(path.rstrip("/") + "/")[2].split("/")[:-1]) & set(NO_DROPS)]
+    return {kind: [f for f in found if f.lower().endswith(ends)] for kind, ends in (("csv", (".csv",)), ("json", (".json", ".ndjson", ".jsonl")))}
+
+
+def header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The column names in the first line of a CSV file; nothing more of it is read."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
     try:
-        found = [r.path for r in files.load(path).filter("length > 0").select("path").collect()]
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        found = []
-    inner = lambda f: f.rpartition(path.rstrip("/") + "/")[2]
-    waiting = sorted(f for f in found if not re.search(r"(^|/)(archive|queue)/", inner(f)))
-    return {kind: [f for f in waiting if f.lower().endswith(ends)] for kind, ends in (("csv", (".csv",)), ("json", (".json", ".ndjson", ".jsonl")))}
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([line.lstrip("\ufeff")]), ())) if line else ()
+
+
+def by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files by their column names and the order of these."""
+    with ThreadPool(HEADER_READERS) as pool:
+        headers = pool.map(lambda p: header(spark, p), paths)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for names, path in zip(headers, paths, strict=True):
+        out.setdefault(names, []).append(path)
+    return out
 
 
 def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    """Header and text cells only."""
-    return spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("escape", '"').csv(list(paths))
+    """Text cells of CSV files, columns by name: files of one header go to one reader, and what a file lacks is null."""
+    groups = by_header(spark, list(paths))
+    # names that differ in case are one column
+    parts = [spark.read.option("header", True).option("escape", '"').csv([literal(f) for f in files]) for _, files in sorted(groups.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_events(spark: SparkSession, *paths: str, glob: str = "*") -> DataFrame:
@@ -65,7 +109,7 @@ def read_bronze(spark: SparkSession, path: str, first: str | None = None, last:
 def read_json_drops(spark: SparkSession, *paths: str) -> DataFrame:
     """Event records of NDJSON drops with `unparsed`: numbers that a declared schema would turn into nulls without a word."""
     types = F.filter(json_errors("value"), lambda c: c.startswith("invalid_type:") & ~c.endswith("occurred_at"))
-    return spark.read.text(list(paths)).select(F.from_json("value", EVENT).alias("r"), F.transform(types, lambda c: F.substring_index(c, ".", -1)).alias("unparsed")).select("r.*", "unparsed")
+    return spark.read.text([literal(p) for p in paths]).select(F.from_json("value", EVENT).alias("r"), F.transform(types, lambda c: F.substring_index(c, ".", -1)).alias("unparsed")).select("r.*", "unparsed")
 
 
 def read_drops(spark: SparkSession, path: str, channel: str = "web", drops: dict[str, list[str]] | None = None) -> DataFrame:
