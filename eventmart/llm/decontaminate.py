@@ -23,8 +23,8 @@ from eventmart.llm.words import Words
 
 #: Words of a window; a shorter item is one window.
 WINDOW = 13
-#: Candidate diagonals that one pass compares.
-COMPARED = 500
+#: Words that one pass compares.
+COMPARED = 1 << 20
 #: Bits of the vocabulary sets that are sent to the scan.
 VOCABULARY_BITS = 20
 
@@ -129,32 +129,47 @@ def phrase_matches(index: DataFrame, items: DataFrame, windows: DataFrame | None
     needed = windows.select("item_row", F.col("rarest.off").alias("off"), F.col("second.off").alias("other")).distinct()
     met = hits.join(needed, ["item_row", "off"]).select("row_id", "item_row", "diag", F.coalesce("other", "off").alias("off"))
     candidates = met.join(hits, ["row_id", "item_row", "diag", "off"], "left_semi").select("row_id", "item_row", "diag").distinct()
-    end = F.col("diag") + F.size("words")
-    terms = F.filter(F.arrays_zip("pos", "terms"), lambda t: (t["pos"] >= F.col("diag")) & (t["pos"] < end))
-    # of the document only the stretch that the item covers goes on, and of the item only what stands beside it
-    near = candidates.join(index.select("row_id", "pos", "terms"), "row_id").join(items.select("item_row", "item", "words", "m"), "item_row").select("row_id", "item", "m", "diag", "words", terms.alias("t"))
-    low, high = F.array_min("t.pos") - F.col("diag"), F.array_max("t.pos") - F.col("diag")
-    cut = near.filter(F.size("t") >= F.col("m")).select("row_id", "item", "m", (F.col("diag") + low).alias("base"), F.slice("words", low + 1, high - low + 1).alias("words"), F.col("t.pos").alias("pos"), F.col("t.terms").alias("terms"))
+    # a document's terms go on once for each item that it may hold, however many diagonals they meet on
+    grouped = candidates.groupBy("row_id", "item_row").agg(F.array_sort(F.collect_list("diag")).alias("diags"))
+    near = grouped.join(index.select("row_id", "pos", "terms"), "row_id").join(items.select("item_row", "item", "words", "m"), "item_row").select("row_id", "item", "m", "diags", "words", "pos", "terms")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, COMPARED) for b in batches for i in range(0, b.num_rows, COMPARED)):
-            words, n_words = batch.column("words"), batch.column("words").value_lengths().to_numpy()
-            pos, n = batch.column("pos").flatten().to_numpy().astype(np.int64), batch.column("pos").value_lengths().to_numpy()
-            row = np.repeat(np.arange(len(n)), n)
-            word = pos - batch.column("base").to_numpy()[row] + (np.cumsum(n_words) - n_words)[row]
-            same = pc.equal(batch.column("terms").flatten(), words.flatten().take(pa.array(word))).to_numpy(zero_copy_only=False)
-            # runs of equal words at neighbouring positions
-            at, row = pos[same], row[same]
-            new = np.ones(len(at), bool)
-            new[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
-            first = np.flatnonzero(new)
-            size = np.diff(np.append(first, len(at)))
-            long = size >= batch.column("m").to_numpy()[row[first]]
-            first, size = first[long], size[long]
-            of = pa.array(row[first])
-            yield pa.RecordBatch.from_arrays([batch.column("row_id").take(of), batch.column("item").take(of), pa.array(at[first].astype(np.int32)), pa.array((at[first] + size).astype(np.int32))], ["row_id", "item", "first", "stop"])
-
-    return cut.mapInArrow(compare, "row_id long, item string, first int, stop int")
+        for batch in batches:
+            for k in range(batch.num_rows):
+                m, diags, pos = batch.column("m")[k].as_py(), _values(batch, "diags", k).to_numpy(), _values(batch, "pos", k).to_numpy()
+                words = _values(batch, "words", k)
+                known = pc.unique(words)
+                wanted, terms = (pc.index_in(x, known).fill_null(-1).to_numpy() for x in (words, _values(batch, "terms", k)))
+                found = []
+                step = max(1, COMPARED // len(wanted))
+                for i in range(0, len(diags), step):
+                    found.append(runs_on(diags[i : i + step], pos, terms, wanted, m))
+                first, size = (np.concatenate(x) for x in zip(*found, strict=True))
+                if len(first):
+                    of = pa.array(np.full(len(first), k))
+                    yield pa.RecordBatch.from_arrays([batch.column("row_id").take(of), batch.column("item").take(of), pa.array(first.astype(np.int32)), pa.array((first + size).astype(np.int32))], ["row_id", "item", "first", "stop"])
+
+    return near.mapInArrow(compare, "row_id long, item string, first int, stop int")
+
+
+def _values(batch: pa.RecordBatch, name: str, row: int) -> pa.Array:
+    return batch.column(name)[row].values
+
+
+def runs_on(diags: np.ndarray, pos: np.ndarray, terms: np.ndarray, wanted: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """First places and sizes of the runs of at least m equal words at neighbouring positions, on each diagonal. pos: sorted
+    positions of the document's terms; terms, wanted: numbers of its words and of the item's."""
+    low, high = np.searchsorted(pos, diags), np.searchsorted(pos, diags + len(wanted))
+    n = high - low
+    row = np.repeat(np.arange(len(diags)), n)
+    at = np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n)
+    same = terms[at] == wanted[pos[at] - diags[row]]
+    at, row = pos[at[same]].astype(np.int64), row[same]
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(at)))
+    return at[first[size >= m]], size[size >= m]
 
 
 def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 5, least: float = 1.0) -> DataFrame:

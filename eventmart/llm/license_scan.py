@@ -10,6 +10,7 @@ runs of words that licences use at all are streamed; any other word returns the
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,14 +165,36 @@ class Scanner:
             else:
                 chains.append([k, word, word + size, place + size, size, told])
                 near.append(chains[-1])
-        labelled: list[list] = []
-        for c in sorted(chains, key=lambda c: (-c[4], -c[4] / self.sizes[c[0]], c)):
+        labelled: set[int] = set()
+        stretches: dict[str, dict[str, Stretches]] = {}  # of what is labelled, by family and label
+        for i, c in sorted(enumerate(chains), key=lambda x: (-x[1][4], -x[1][4] / self.sizes[x[1][0]], x[1])):
             k = c[0]
             tells = c[5] > 0 or self.telling[k][-1] == 0
             if tells and c[4] >= LEAST_COVERAGE * self.sizes[k] and c[5] >= LEAST_COVERAGE * self.telling[k][-1]:
-                if not any(self.family[o[0]] == self.family[k] and self.labels[o[0]] != self.labels[k] and o[1] < c[2] and c[1] < o[2] for o in labelled):
-                    labelled.append(c)
-        return [{"label": self.labels[c[0]], "first": c[1], "stop": c[2], "coverage": c[4] / self.sizes[c[0]], "labelled": any(c is o for o in labelled)} for c in chains]
+                own = stretches.setdefault(self.family[k], {})
+                if not any(other.meets(c[1], c[2]) for label, other in own.items() if label != self.labels[k]):
+                    labelled.add(i)
+                    own.setdefault(self.labels[k], Stretches()).add(c[1], c[2])
+        return [{"label": self.labels[c[0]], "first": c[1], "stop": c[2], "coverage": c[4] / self.sizes[c[0]], "labelled": i in labelled} for i, c in enumerate(chains)]
+
+
+class Stretches:
+    """A set of word places as sorted stretches that do not touch."""
+
+    def __init__(self):
+        self.firsts: list[int] = []
+        self.stops: list[int] = []
+
+    def meets(self, first: int, stop: int) -> bool:
+        """Whether any place of [first, stop) is in the set."""
+        at = bisect_right(self.stops, first)
+        return at < len(self.firsts) and self.firsts[at] < stop
+
+    def add(self, first: int, stop: int) -> None:
+        a, b = bisect_left(self.stops, first), bisect_right(self.firsts, stop)
+        if a < b:
+            first, stop = min(first, self.firsts[a]), max(stop, self.stops[b - 1])
+        self.firsts[a:b], self.stops[a:b] = [first], [stop]
 
 
 def license_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES) -> DataFrame:

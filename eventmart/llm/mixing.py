@@ -17,10 +17,12 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import read_table
+from eventmart.llm.common import read_table, stored
 
 #: Slots that a schedule is meant to have at most, whatever the number of rows.
 MAX_BLOCKS = 100_000
+#: Slots beyond which a schedule, which the driver holds, is refused: weights under some 1 / MOST_SLOTS or as many sources ask for more.
+MOST_SLOTS = 2 * MAX_BLOCKS
 #: Least rows of a block, and rows that are numbered together.
 BLOCK_ROWS, BUCKET_ROWS = 8, 1_000
 #: Target weight of a source of n blocks: n ** EXPONENT, before weights are made to sum to 1.
@@ -76,11 +78,15 @@ def plan(rows: dict[str, int], weights: dict[str, float] | None = None, block_ro
     if block_rows is None and slots > MAX_BLOCKS:
         size = ceil(size * slots / MAX_BLOCKS)
         share, blocks = sized(size)
+        slots = max(blocks[s] / share[s] for s in rows)
+    if slots > MOST_SLOTS:
+        small = sorted(share, key=lambda s: share[s] / blocks[s])[:5]
+        raise ValueError(f"a schedule of {ceil(slots)} blocks is beyond {MOST_SLOTS}: the sources {small} have too small weights, or there are too many")
     return earliest_deadline_first(share, blocks), blocks, size
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """rows (mix_source, mix_key, ...) with mix_row: 0, 1, ... within the source, in the order of a hash of the key and the row's place.
+    """rows (mix_source, mix_key, ...; stored) with mix_row: 0, 1, ... within the source, in the order of a hash of the key and the row's place.
 
     Rows are numbered within buckets of a source; the buckets' counts give the offsets. A source, or a key, of any
     number of rows is so spread over many tasks.
@@ -96,12 +102,14 @@ def numbered(rows: DataFrame) -> DataFrame:
     return placed.withColumn("mix_row", F.col("mix_row") + F.col("mix_offset")).drop("mix_bucket", "mix_offset", "mix_hash")
 
 
-def placed_rows(docs: DataFrame, key: str, source: str, weights: dict[str, float] | None = None, block_rows: int | None = None, exponent: float = EXPONENT) -> DataFrame:
+def placed_rows(docs: DataFrame, key: str, source: str, weights: dict[str, float] | None = None, block_rows: int | None = None, exponent: float = EXPONENT, in_files: bool = False) -> DataFrame:
     """row (a struct of the columns of docs), mix_key and COLUMNS; a row for each time that a row of docs is passed over."""
     spark = docs.sparkSession
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("mix_key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("mix_source"))
-    # one row for each source: the driver holds their weights anyway
-    sizes = {r[0]: r[1] for r in rows.groupBy("mix_source").count().collect()}
+    # places of rows are asked for more than once, so rows that are not in files already are stored
+    rows = rows if in_files else stored(rows, "mixed", compression="zstd")
+    # one row for each source: the driver holds their weights anyway, and no schedule has more sources than MOST_SLOTS
+    sizes = {r[0]: r[1] for r in rows.groupBy("mix_source").count().limit(MOST_SLOTS + 1).collect()}
     places, blocks, size = plan(sizes, weights, block_rows, exponent)
     passes: dict[str, int] = dict.fromkeys(blocks, 0)
     for s, j, *_ in places:
@@ -118,7 +126,8 @@ def schedule(docs: DataFrame, key: str = "doc_id", source: str = "source", **opt
     """docs with mix_source, mix_epoch, mix_block, mix_release, mix_deadline and mix_slot, a row for each time it is passed over.
 
     options: weights (target of each source, by default from its blocks; a source without one is refused),
-    block_rows, exponent. A null source is the source ''. Every row appears at least once; of repeated rows, and of
+    block_rows, exponent, in_files (docs are read from files as they are, so they are not stored for their numbers). Weights
+    that ask for more than MOST_SLOTS blocks are refused. A null source is the source ''. Every row appears at least once; of repeated rows, and of
     rows with one key or none, each appears as often as its place says. Where docs has a column of one of these
     names, the added one has an underscore more. An empty table gives an empty result.
     """
@@ -136,4 +145,4 @@ def mixed_stream(docs: DataFrame, key: str = "doc_id", source: str = "source", *
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schedule(read_table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return schedule(read_table(spark, sf_dir, "documents").select("doc_id", "source"), in_files=True)

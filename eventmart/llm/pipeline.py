@@ -21,6 +21,8 @@ from eventmart.llm.mixing import mixed_stream
 from eventmart.llm.token_output import token_output
 from eventmart.llm.toxicity import without_toxic
 
+#: Setting of the session that names a new folder for the token corpus; without it, it lies in the shared folder.
+CORPUS = "eventmart.corpus.folder"
 #: Column of a row's number within a stage.
 ROW = "pipeline_row"
 
@@ -71,12 +73,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed_stream(docs)
+    return mixed_stream(docs, in_files=True)  # a stage's documents are the files of the one before
 
 
 @stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_output(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return token_output(docs, public_tokenizers.path("word_bpe_49k.json"), folder=spark.conf.get(CORPUS, None))
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicate), ("decontamination", decontamination), ("mixing", mixing), ("token_output", tokens)]
@@ -86,6 +88,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; the corpus itself is in the folder that CORPUS names (see token_output.read_blocks)."""
     docs = read_table(spark, sf_dir, "documents")
     for n, (name, step) in enumerate(STAGES):
         before, docs = docs, stored(step(spark, docs, sf_dir), name)

@@ -141,8 +141,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
             cut = pa.array(bounds.astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.ListArray.from_arrays(cut, pa.array(number)), pa.ListArray.from_arrays(cut, pa.array(values))], ["y", "number", "x"])
 
-    # the sample has MAX_LABELLED rows at most, so it can be broadcast and its features gathered
-    got = rows.join(F.broadcast(sample.withColumnRenamed(key, "key")), "key").orderBy("key", F.xxhash64("text", "n_chars")).select("text", "n_chars", "y").mapInArrow(extract, "y int, number array<int>, x array<float>").toArrow().combine_chunks()
+    # the sample has MAX_LABELLED rows at most, so it can be broadcast and its features gathered; of rows that repeat a
+    # labelled key one is taken, by its hash, before anything is shuffled
+    met = rows.join(F.broadcast(sample.withColumnRenamed(key, "key")), "key")
+    one = met.groupBy("key").agg(F.min("y").alias("y"), F.min_by(F.struct("text", "n_chars"), F.struct(F.xxhash64("text", "n_chars"), "text", "n_chars")).alias("d")).select("key", "y", "d.*")
+    got = one.orderBy("key").select("text", "n_chars", "y").mapInArrow(extract, "y int, number array<int>, x array<float>").toArrow().combine_chunks()
     y = got.column("y").to_numpy().astype(np.float64)
     prior = float(y.mean()) if len(y) else 0.0
     model = None

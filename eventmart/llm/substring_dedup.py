@@ -213,7 +213,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
     starts, read = repeated_starts(rows, length, gram)
-    spans = stored(starts.groupBy("key", "digest").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans", compression="zstd")
+    # rows that repeat a text have its stretches once
+    spans = stored(starts.distinct().groupBy("key", "digest").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans", compression="zstd")
     discard(docs.sparkSession, *read)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,10 +41,15 @@ def held_out(key: str, folds: int, remainder: int):
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, keep, key: str, text: str, limit: int) -> DataFrame:
-    """text and y of at most `limit` labelled rows with keep, stored; the label rows are few enough to broadcast by that limit."""
+    """text and y of at most `limit` labelled rows with keep, stored; the label rows are few enough to broadcast by that limit.
+
+    Of rows that repeat a labelled key one is taken, by its text's hash; they are reduced before they are shuffled.
+    """
     rows = labels.filter(F.col(label).isNotNull() & keep).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     sample = stored(rows.orderBy(F.xxhash64(key), key).limit(limit), "labels")
-    return stored(docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select("text", "y"), "labelled")
+    met = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key)
+    one = met.groupBy(key).agg(F.min("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return stored(one.select("text", "y"), "labelled")
 
 
 @dataclass
