@@ -115,8 +115,11 @@ def product_daily(silver: DataFrame, top_n: int | None = None) -> DataFrame:
     return ranked if top_n is None else ranked.filter(F.col("revenue_rank") <= top_n)
 
 
-def anomalies(silver: DataFrame, threshold: float = 5000.0) -> DataFrame:
-    """Events with at least one suspicious trait; two or more make the severity high."""
+def anomalies(silver: DataFrame, threshold: float = 5000.0, by_session: bool = False) -> DataFrame:
+    """Events with at least one suspicious trait; two or more make the severity high.
+
+    by_session: silver is stored by session, so that its sessions need no exchange; it is then read once more for events without one.
+    """
     gap = F.unix_timestamp("occurred_ts") - F.unix_timestamp("_before")
     reasons = named(
         high_amount=F.col("net_amount") > threshold,
@@ -127,10 +130,14 @@ def anomalies(silver: DataFrame, threshold: float = 5000.0) -> DataFrame:
         rapid_fire=kinds("order_placed") & (gap < 5),
         missing_price=F.col("product_price").isNull(),
     )
-    # events without a session have none before them; the others are looked at by session alone, so that a layout by session serves
-    before = F.lag("occurred_ts").over(Window.partitionBy("session_id").orderBy("occurred_ts", "event_sequence", "idempotency_key"))
-    alone = silver.filter("session_id IS NULL").withColumn("_before", F.lit(None).cast("timestamp"))
-    timed = silver.filter("session_id IS NOT NULL").withColumn("_before", before).union(alone)
+    time = ["occurred_ts", "event_sequence", "idempotency_key"]
+    none = F.lit(None).cast("timestamp")  # events without a session have none before them
+    if by_session:
+        before = F.lag("occurred_ts").over(Window.partitionBy("session_id").orderBy(*time))
+        timed = silver.filter("session_id IS NOT NULL").withColumn("_before", before).union(silver.filter("session_id IS NULL").withColumn("_before", none))
+    else:
+        before = F.lag("occurred_ts").over(Window.partitionBy("session_id", F.when(F.col("session_id").isNull(), F.col("idempotency_key"))).orderBy(*time))
+        timed = silver.withColumn("_before", F.when(F.col("session_id").isNotNull(), before).otherwise(none))
     marked = timed.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
     return marked.select(
         "partition_date", "occurred_ts", "event_type", "idempotency_key", "session_id", "customer_id", "product_id", "order_id", "quantity", "discount_pct", "net_amount", "channel", "reasons",

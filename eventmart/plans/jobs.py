@@ -171,7 +171,7 @@ def build_gold(spark: SparkSession, lake: Lake, process_date: str | None = None,
         "orders": lambda: gold.orders(events),
         "customer_rfm": lambda: gold.customer_rfm(events),
         "product_daily": lambda: gold.product_daily(events, top_n),
-        "anomalies": lambda: gold.anomalies(events, threshold),
+        "anomalies": lambda: gold.anomalies(events, threshold, by_session=True),
     }
     rows = {n: write_table(built[n](), lake.path("gold", n), *([GOLD[n]] if GOLD[n] else [])) for n in gold_tables(tables)}
     if rows:

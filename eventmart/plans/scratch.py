@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
+from contextlib import suppress
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+#: Tables that each application stored and has not deleted.
+_kept: dict[str, list[str]] = {}
 _own_folders: dict[str, str] = {}
 
 
@@ -25,5 +29,26 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
         folder = _own_folders.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="spark-")
         _own_folders[spark.sparkContext.applicationId] = folder
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    kept = _kept.setdefault(spark.sparkContext.applicationId, [])
+    if not kept:
+        atexit.register(_at_end, spark, kept)
+    kept.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables that this application stored here, when nothing that was made of them is still to be read; their
+    number. What is left when the application ends is deleted then."""
+    kept, files = _kept.get(spark.sparkContext.applicationId, []), spark._jvm.org.apache.hadoop.fs
+    n = len(kept)
+    while kept:
+        place = files.Path(kept.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return n
+
+
+def _at_end(spark: SparkSession, kept: list[str]) -> None:
+    with suppress(Exception):  # the session may be gone already
+        if kept and spark.sparkContext._jsc is not None:
+            clear(spark)

@@ -47,8 +47,13 @@ def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver as the jobs keep it: one stored table, from which each gold table of a query is made."""
-    return materialized(silver.to_silver(accepted(spark, sf_dir)), "silver")
+    """Silver; what is made of it in one pass reads only the columns that it needs, down to the export."""
+    return silver.to_silver(accepted(spark, sf_dir))
+
+
+def kept_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver stored, as the jobs keep it, for what reads it more than once."""
+    return materialized(events(spark, sf_dir), "silver")
 
 
 def _lifted(df: DataFrame) -> DataFrame:
@@ -86,7 +91,7 @@ def _products(s: SparkSession, d: str) -> DataFrame:
 
 
 def _rfm(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    e = events(s, d)
+    e = kept_events(s, d)
     return gold.customer_rfm(e), gold.sessions(e)
 
 
@@ -129,7 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_sessions": lambda s, d: gold.sessions(events(s, d)),
     "gold_funnel_daily": lambda s, d: gold.funnel_daily(events(s, d)),
     "gold_orders": lambda s, d: gold.orders(events(s, d)),
-    "gold_customer_rfm": lambda s, d: gold.customer_rfm(events(s, d)),
+    "gold_customer_rfm": lambda s, d: gold.customer_rfm(kept_events(s, d)),
     "gold_product_daily": lambda s, d: gold.product_daily(events(s, d)),
     "gold_product_top3": lambda s, d: gold.product_daily(events(s, d), 3),
     "gold_anomalies": lambda s, d: gold.anomalies(events(s, d)),
@@ -142,9 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_anomalies_recent": lambda s, d: serve.anomalies_recent(_kept(gold.anomalies(events(s, d)))),
     "q_revenue_month": lambda s, d: serve.revenue_month(_kept(serve.revenue_daily(events(s, d)))),
     "q_funnel_leaks": lambda s, d: serve.funnel_leaks(_kept(gold.funnel_daily(events(s, d)))),
-    "q_segment_value": lambda s, d: serve.segment_value(gold.customer_rfm(events(s, d))),
+    "q_segment_value": lambda s, d: serve.segment_value(gold.customer_rfm(kept_events(s, d))),
     "q_viewed_not_bought": lambda s, d: serve.viewed_not_bought(_products(s, d), min_views=10),
-    "q_reconcile_orders": lambda s, d: serve.reconcile_orders(_kept(gold.orders(e := events(s, d))), e),
+    "q_reconcile_orders": lambda s, d: serve.reconcile_orders(_kept(gold.orders(e := kept_events(s, d))), e),
     "q_session_quality": lambda s, d: serve.session_quality(_kept(gold.sessions(events(s, d)))),
     "q_anomaly_triage": lambda s, d: serve.anomaly_triage(_kept(gold.anomalies(events(s, d)))),
 }

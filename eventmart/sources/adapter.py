@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as the session has cores, if its files give fewer: what follows costs more than to deal the rows anew."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.toJavaRDD().getNumPartitions() < cores else df
+
+
 def pick(index, *values: str):
     """The value at index."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
@@ -20,7 +26,7 @@ def pick(index, *values: str):
 def flat_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each event, one more for each replay (every 20th event, an hour later, renamed) and for
     each second line of an order, with broken cells at fixed places."""
-    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")).withColumn("ts", F.col("ts").cast("timestamp"))
     n = F.col("event_id")
     kind = (
         F.when(F.col("event_type") == "view", F.when(n % 6 == 0, "product_searched").otherwise("product_viewed"))

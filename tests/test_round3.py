@@ -234,8 +234,8 @@ def test_sessions_and_anomalies_need_no_exchange(spark, tmp_path):
     laid = jobs.read_silver(spark, lake)
     assert laid.count() == plain.count() == 60
     assert exchanges(gold.sessions(plain)) >= 1 and exchanges(gold.anomalies(plain)) >= 1
-    for build in (gold.sessions, gold.anomalies):
-        made = build(laid)
+    for build, by in ((gold.sessions, {}), (gold.anomalies, {"by_session": True})):
+        made = build(laid, **by)
         assert exchanges(made.drop("distinct_products")) == 0 and exchanges(made) == 0
         assert sorted(map(str, made.collect())) == sorted(map(str, build(plain).select(*made.columns).collect()))
     # one day again replaces that day alone, in its buckets
