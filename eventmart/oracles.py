@@ -193,6 +193,16 @@ ORACLES = {
     "q_session_quality": SILVER + SESSIONS + f" SELECT converted, count(*) AS sessions, round(avg(duration_seconds), 1) AS avg_seconds, round(avg(events), 1) AS avg_events, round(avg(distinct_products), 1) AS avg_products_seen, {r2('avg(revenue)')} AS avg_revenue FROM g_sessions WHERE {_SINCE.format(t='g_sessions', n=30)} GROUP BY converted",
     "q_anomaly_triage": SILVER + ANOMALIES + RECENT + " SELECT day, severity, reasons, events, amount_at_risk FROM v_recent WHERE CAST(day AS DATE) >= (SELECT max(CAST(day AS DATE)) FROM v_recent) - 7 ORDER BY amount_at_risk DESC NULLS LAST, day DESC, severity, reasons LIMIT 25",
 }
+# what the jobs and the stream leave, on other ways to the same rows
+ORACLES |= {
+    "drops_lifted": ORACLES["lift_flat"],
+    "job_quarantine": ORACLES["bronze_rejects"],
+    "job_silver_events": ORACLES["silver_events"],
+    "job_gold_sessions": ORACLES["gold_sessions"],
+    "job_gold_anomalies": ORACLES["gold_anomalies"],
+    "stream_bronze": FLAGS + " SELECT idempotency_key, event_id, occurred_at, name AS product_name, net AS net_amount, strftime(occurred_ts, '%Y-%m-%d') AS dt, strftime(occurred_ts, '%H') AS hour FROM q WHERE len(errors) = 0 QUALIFY row_number() OVER (PARTITION BY idempotency_key ORDER BY ingested_at) = 1",
+    "catalog_customers": "SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CASE WHEN c_custkey % 4 <> 1 AND c_custkey % 5 = 0 THEN 'unknown' ELSE lower(c_mktsegment) END AS segment, CASE WHEN c_custkey % 4 = 1 THEN n_name END AS country, CASE WHEN c_custkey % 4 <> 1 THEN c_name END AS city FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
+}
 
 
 def oracle_sql() -> dict[str, str]:

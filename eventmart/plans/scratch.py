@@ -15,13 +15,8 @@ _kept: dict[str, list[str]] = {}
 _own_folders: dict[str, str] = {}
 
 
-def materialized(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet to the folder of spark.checkpoint.dir and read back.
-
-    What is read several times is so computed once, survives lost executors, and plans of later steps begin here. A
-    local session without that folder gets one of its own.
-    """
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new place in the folder of spark.checkpoint.dir, deleted by `clear`. A local session without that folder gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
@@ -33,8 +28,17 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     if not kept:
         atexit.register(_at_end, spark, kept)
     kept.append(path)
+    return path
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet to the shared folder and read back.
+
+    What is read several times is so computed once, survives lost executors, and plans of later steps begin here.
+    """
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clear(spark: SparkSession) -> int:

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart.operators import gold, load, quality, silver
-from eventmart.plans import serve
-from eventmart.plans.scratch import materialized
+from eventmart.plans import jobs, serve
+from eventmart.plans.paths import Lake
+from eventmart.plans.scratch import materialized, new_path
 from eventmart.session import configured
 from eventmart.sources import catalog, partner
 from eventmart.sources.adapter import flat_export, table
+from eventmart.sources.schema import EVENT
+from eventmart.streaming import ingest
 from eventmart.streaming.ingest import normalize
 
 #: The time at which the test data is judged.
@@ -114,6 +118,56 @@ def _normalized(s: SparkSession, d: str) -> DataFrame:
     return out.select(partner.identity().alias("idempotency_key"), "event_id", "event_type", "channel", "occurred_at", F.col("product.name").alias("product_name"), F.col("order.amount").alias("amount"), "ingested_at")
 
 
+def _dropped(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake whose landing zone holds the export as partner drops: CSV files under two headers of other names and order, and NDJSON."""
+    lake, export = Lake(new_path(configured(spark), "lake")), materialized(flat_export(spark, sf_dir), "export")
+    part = F.pmod(F.xxhash64("occurred_at", "customer_id", "product_id"), F.lit(3))
+    export.filter(part == 0).write.option("header", True).option("escape", '"').csv(lake.path("landing", "one"))
+    renamed = export.filter(part == 1).withColumnsRenamed({"product_id": "sku", "product_name": "title", "segment": "customer_segment"})
+    renamed.select(*sorted(renamed.columns)).write.option("header", True).option("escape", '"').csv(lake.path("landing", "two"))
+    partner.lift_flat(export.filter(part == 2)).drop("unparsed").write.json(lake.path("landing", "three"))
+    return lake
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> Lake:
+    """That lake after the landing job; arrival times are those of the export."""
+    lake = _dropped(spark, sf_dir)
+    jobs.land(spark, lake, F.col("ingested_at"))
+    return lake
+
+
+def _refined(spark: SparkSession, sf_dir: str, *tables: str) -> Lake:
+    """After the jobs that follow, up to the chosen gold tables."""
+    lake = _landed(spark, sf_dir)
+    jobs.refine(spark, lake)
+    jobs.build_gold(spark, lake, tables=list(tables))
+    return lake
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of the queue path: the export's records as messages, a hundred to an envelope, in the order of their arrival."""
+    lake, records = Lake(new_path(configured(spark), "lake")), bronze(spark, sf_dir).drop("unparsed")
+    body = records.select("ingested_at", "idempotency_key", F.struct(F.col("idempotency_key").alias("messageId"), F.to_json(F.struct(*records.columns)).alias("body")).alias("m"))
+    packed = body.groupBy(F.substring("ingested_at", 1, 15).alias("at"), F.pmod(F.xxhash64("idempotency_key"), F.lit(8)).alias("part")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ingested_at", "idempotency_key", "m"))), lambda x: x["m"]).alias("Records"))
+    lines = packed.select(F.to_json(F.struct("Records")).alias("value"), F.struct("at").alias(ingest.ARRIVAL))
+    ingest.write_batch(lines, 0, lake)
+    schema = T.StructType([*EVENT, T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType())])
+    out = spark.read.schema(schema).json(lake.path("bronze"))
+    return out.select("idempotency_key", "event_id", "occurred_at", F.col("product.name").alias("product_name"), F.col("order.net_amount").alias("net_amount"), "dt", "hour")
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources of the customer table: the second one, with other names and blank segments, adds what the first lacks."""
+    people = table(configured(spark), sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    first = people.filter("c_custkey % 4 = 1").select(F.col("c_custkey").alias("customer_id"), F.lower("c_mktsegment").alias("segment"), F.col("n_name").alias("country"))
+    second = people.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 5 != 0, F.lower("c_mktsegment")).otherwise(" ").alias("customer_segment"), F.col("c_name").alias("city"))
+    return catalog.first_wins([catalog.customers(first), catalog.customers(second)], "customer_id")
+
+
+def _gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(_refined(spark, sf_dir, name).path("gold", name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lift_flat": lambda s, d: _lifted(bronze(s, d)),
     "event_identity": lambda s, d: bronze(s, d).select("idempotency_key", "event_id", "ingested_at"),
@@ -152,6 +206,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_reconcile_orders": lambda s, d: serve.reconcile_orders(_kept(gold.orders(e := kept_events(s, d))), e),
     "q_session_quality": lambda s, d: serve.session_quality(_kept(gold.sessions(events(s, d)))),
     "q_anomaly_triage": lambda s, d: serve.anomaly_triage(_kept(gold.anomalies(events(s, d)))),
+    "drops_lifted": lambda s, d: _lifted(partner.read_drops(s, _dropped(s, d).path("landing"))),
+    "job_quarantine": lambda s, d: s.read.schema("idempotency_key string, ingested_at string, failed_checks array<string>, dt string").json(_landed(s, d).path("quarantine", "landing")).drop("dt"),
+    "job_silver_events": lambda s, d: jobs.read_silver(s, _refined(s, d)),
+    "job_gold_sessions": lambda s, d: _gold(s, d, "sessions"),
+    "job_gold_anomalies": lambda s, d: _gold(s, d, "anomalies"),
+    "stream_bronze": _streamed,
+    "catalog_customers": _customers,
 }
 
 
