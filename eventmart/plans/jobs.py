@@ -9,7 +9,6 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 from pyspark.storagelevel import StorageLevel
 
 from eventmart.functions.columns import iso
@@ -41,10 +40,7 @@ def silver_table(spark: SparkSession, lake: Lake, schema: T.StructType | None =
     """
     path = lake.path("silver", "events")
     note = f"{lake.path('silver')}/_layout"
-    try:
-        kept = int(spark.read.text(note).first()[0])
-    except AnalysisException:
-        kept = 0
+    kept = int(spark.read.text(note).first()[0]) if partner.children(spark, note) else 0
     if schema is not None and not kept and not partner.children(spark, path):
         kept = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.range(1).select(F.lit(str(kept)).alias("value")).coalesce(1).write.mode("overwrite").text(note)
