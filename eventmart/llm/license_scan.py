@@ -4,7 +4,7 @@ One automaton holds the words of every template and phrase. Each text is streame
 each word it is in the state of the longest licence passage that ends there. Long matches of a template are
 chained in order, over small gaps, into spans with the share of the template's words that they cover. A span
 has its label if it covers enough of the words that tell the licence, those in no template of another family
-(labels that begin alike, as cc-by and cc-by-nc); of overlapping spans of one family the fullest has it. Only
+(labels that begin alike, as cc-by and cc-by-nc, and those of the GNU licences); of overlapping spans of one family the fullest has it. Only
 runs of words that licences use at all are streamed; any other word returns the automaton to its root.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import bounded_batches, pieces, read_table
+from eventmart.llm.license_texts import FAMILIES, NOTICES
 from eventmart.llm.words import Words
 
 # Phrases whose every place counts, and the opening terms and whole notices of well-known licences.
@@ -44,6 +45,7 @@ TEMPLATES += [
     ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE'),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/"),
 ]
+TEMPLATES += NOTICES
 
 #: Words of the shortest match that counts for a template, and the longest gap within a chain.
 LEAST_MATCH, LARGEST_GAP = 4, 12
@@ -119,7 +121,7 @@ class Scanner:
         sequences = [number[a:b].tolist() for a, b in zip(w.rows[:-1], w.rows[1:], strict=True)]
         self.labels, self.sizes = [label for label, _ in templates] + list(phrases.values()), [len(s) for s in sequences]
         self.first_phrase = len(templates)
-        self.family = [label.split("-")[0] for label in self.labels]
+        self.family = [FAMILIES.get(first, first) for first in (label.split("-")[0] for label in self.labels)]
         #: of each template, how many of its first words tell its licence
         self.telling = []
         for k in range(self.first_phrase):
