@@ -22,10 +22,10 @@ def read_dataset(spark: SparkSession, path: str, columns: list[str]) -> DataFram
     return df.select(*columns)
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", schema: str | None = None, **options: str) -> None:
-    """Batched JDBC write; an overwrite truncates the table and keeps its definition."""
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", schema: str | None = None, truncate: bool = True, **options: str) -> None:
+    """Batched JDBC write; an overwrite truncates the table and keeps its definition, unless it is told to make the table anew."""
     writer = df.write.format("jdbc").mode(mode).options(url=url, dbtable=f"{schema}.{table}" if schema else table, batchsize="10000", numPartitions="8", **options)
-    (writer.option("truncate", "true") if mode == "overwrite" else writer).save()
+    (writer.option("truncate", "true") if mode == "overwrite" and truncate else writer).save()
 
 
 @dataclass
@@ -35,6 +35,7 @@ class Target:
     mode: str = "overwrite"  # or append, or merge: the rows whose key the table lacks
     optional: bool = True
     columns: list[str] | None = None  # that the dataset must have, where they are not those of a warehouse table
+    path: str | None = None  # of the dataset, where it is not below the lake's root
 
 
 # Datasets of the lake and the warehouse tables they load.
@@ -162,7 +163,7 @@ NAMED_KEYS = 5
 def key_faults(df: DataFrame, table: str) -> str | None:
     """What is wrong with the keys of a warehouse table: the first few that occur more than once or are not whole; None if nothing is."""
     key = warehouse.KEYS.get(table)
-    if not key:
+    if not key or not set(key) <= set(df.columns):  # a target may choose columns without it
         return None
     none = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))
     bad = df.groupBy(*key).count().filter((F.col("count") > 1) | none).orderBy(*key).limit(NAMED_KEYS).collect()
@@ -182,7 +183,8 @@ def load_tables(spark: SparkSession, lake: str, write, targets: list[Target] = T
     outcome: dict[str, dict] = {}
     for target in targets:
         try:
-            df = read_dataset(spark, f"{lake}/{target.dataset}", target.columns) if target.columns else spark.read.parquet(f"{lake}/{target.dataset}")
+            path = target.path or f"{lake}/{target.dataset}"
+            df = read_dataset(spark, path, target.columns) if target.columns else spark.read.parquet(path)
             df = warehouse.shaped(df, target.table) if target.table in warehouse.TABLES and not target.columns else df
             if df.isEmpty():
                 outcome[target.table] = {"status": "skipped", "rows": 0, "reason": "empty"}
@@ -210,7 +212,12 @@ def newest(df: DataFrame, key: list[str], by: str = "ingested_at") -> DataFrame:
 
 def new_rows(staging: DataFrame, target: DataFrame, key: str = "idempotency_key", by: str = "ingested_at") -> DataFrame:
     """Rows of staging to append: the newest of each key that the target lacks; null keys are left out."""
-    return newest(staging, [key], by).join(target.select(key), key, "left_anti").select(*staging.columns)
+    return absent_rows(staging, target, [key], by)
+
+
+def absent_rows(staging: DataFrame, target: DataFrame, key: list[str], by: str = "ingested_at") -> DataFrame:
+    """The same for a key of several columns."""
+    return newest(staging, key, by).join(target.select(*key), key, "left_anti").select(*staging.columns)
 
 
 def repeated_keys(df: DataFrame, *key: str) -> DataFrame:

@@ -204,6 +204,15 @@ ORACLES |= {
     "catalog_customers": "SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CASE WHEN c_custkey % 4 <> 1 AND c_custkey % 5 = 0 THEN 'unknown' ELSE lower(c_mktsegment) END AS segment, CASE WHEN c_custkey % 4 = 1 THEN n_name END AS country, CASE WHEN c_custkey % 4 <> 1 THEN c_name END AS city FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
 }
 
+_ONE_TABLE = "event_type, product_id, product_name, product_price, customer_id, occurred_at, partition_date, partition_hour, price_category"
+_LOADED = [("fact_events", "merge", "s", "0"), ("fact_sessions", "overwrite", "g_sessions", "0"), ("fact_orders", "append", "g_orders", "0"), ("customer_segments", "overwrite", "g_rfm", "0"), ("fact_anomalies", "overwrite", "g_anomalies", "0")]
+ORACLES |= {
+    "load_outcome": SILVER + SESSIONS + ORDERS + RFM + ANOMALIES + "".join(f" SELECT '{t}' AS table_name, 'loaded' AS status, '{mode}' AS mode, count(*) AS n_rows, count(*) AS inserted, CAST({again} AS BIGINT) AS inserted_again FROM {of} UNION ALL" for t, mode, of, again in _LOADED) + " SELECT 'gone', 'skipped', NULL, 0, 0, 0",
+    "load_one_table": SILVER + f" SELECT {_ONE_TABLE} FROM (SELECT {_SILVER_COLUMNS} FROM s)",
+    "load_customer_rfm": ORACLES["gold_customer_rfm"],
+    "catalog_counts": "WITH a AS (SELECT p_partkey, p_name IS NOT NULL AND p_retailprice >= 0 AS fit FROM part WHERE p_partkey % 3 <> 0), b AS (SELECT p_partkey, p_partkey % 7 <> 0 AND p_name IS NOT NULL AND p_retailprice >= 0 AS fit FROM part), n AS (SELECT 'first' AS source, count(*) AS rows, count(*) FILTER (WHERE fit) AS usable, count(DISTINCT p_partkey) FILTER (WHERE fit) AS taken FROM a UNION ALL SELECT 'second', count(*), count(*) FILTER (WHERE fit), count(DISTINCT p_partkey) FILTER (WHERE fit AND p_partkey NOT IN (SELECT p_partkey FROM a WHERE fit)) FROM b) SELECT *, rows - usable AS dropped, usable - taken AS repeated FROM n",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.operators import gold, load, quality, silver
-from eventmart.plans import jobs, serve
+from eventmart.plans import jobs, loads, serve
 from eventmart.plans.paths import Lake
 from eventmart.plans.scratch import materialized, new_path
 from eventmart.session import configured
@@ -77,12 +77,16 @@ def _merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.new_rows(staging, staging.filter("partition_date <= '2024-01-10'")).select("idempotency_key", "event_type", "partition_date", "ingested_at", "product_name", "net_amount")
 
 
-def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _part_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Two sources of the part table: the second one, with comma decimals and other names, adds what the first lacks."""
     part = table(configured(spark), sf_dir, "part")
     first = part.filter("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_type").alias("category"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
     second = part.select(F.col("p_partkey").alias("sku"), F.when(F.col("p_partkey") % 7 != 0, F.upper("p_name")).alias("title"), F.col("p_brand").alias("brand"), F.replace(F.col("p_retailprice").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(",")).alias("product_price"))
-    return catalog.first_wins([catalog.products(first), catalog.products(second)], "product_id")
+    return {"first": first, "second": second}
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.resolved(_part_sources(spark, sf_dir)).drop("_source")
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -164,6 +168,35 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.first_wins([catalog.customers(first), catalog.customers(second)], "customer_id")
 
 
+#: A load's configuration in the names of older lakes too: merged events, tables by their own mode, chosen columns.
+LOAD = {
+    "RDS_WRITE_MODE": "overwrite",
+    "RDS_TABLES": [
+        {"dataset": "processed", "table": "fact_events", "mode": "merge"}, {"dataset": "curated/sessions", "table": "fact_sessions"}, {"dataset": "gold/orders", "table": "fact_orders", "mode": "append"},
+        {"dataset": "gold/customer_rfm", "table": "customer_segments", "required_columns": ["customer_id", "rfm_segment", "monetary"]}, {"dataset": "gold/anomalies", "table": "fact_anomalies"}, {"dataset": "gold/gone", "table": "gone"},
+    ],
+}
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of a load after the jobs, and what a merge repeated by the same load inserts."""
+    lake = _refined(spark, sf_dir, "sessions", "orders", "customer_rfm", "anomalies")
+    loader = loads.FolderLoader(new_path(spark, "warehouse"))
+    outcome = loads.load_warehouse(spark, lake, loader, LOAD)
+    got = dict(loader.inserted)
+    loads.load_warehouse(spark, lake, loader, {"RDS_TABLES": LOAD["RDS_TABLES"][:1]})
+    again = loader.inserted["fact_events"]
+    rows = [(t, o["status"], o.get("mode"), o["rows"], got.get(t, 0), again if t == "fact_events" else 0) for t, o in outcome.items()]
+    return spark.createDataFrame(rows, "table_name string, status string, mode string, n_rows long, inserted long, inserted_again long")
+
+
+def _loaded(spark: SparkSession, sf_dir: str, config: dict, table: str) -> DataFrame:
+    """A table as a load has left it."""
+    lake, folder = _refined(spark, sf_dir, "customer_rfm"), new_path(spark, "warehouse")
+    loads.load_warehouse(spark, lake, loads.FolderLoader(folder), config)
+    return spark.read.parquet(f"{folder}/{table}")
+
+
 def _gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(_refined(spark, sf_dir, name).path("gold", name))
 
@@ -213,6 +246,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_gold_anomalies": lambda s, d: _gold(s, d, "anomalies"),
     "stream_bronze": _streamed,
     "catalog_customers": _customers,
+    "catalog_counts": lambda s, d: catalog.source_counts(_part_sources(s, d)),
+    "load_outcome": _loads,
+    "load_one_table": lambda s, d: _loaded(s, d, {"RDS_TABLE": "events"}, "events"),
+    "load_customer_rfm": lambda s, d: _loaded(s, d, {"RDS_TABLES": [{"dataset": "gold/customer_rfm", "table": "dim_customer_rfm", "mode": "overwrite"}]}, "dim_customer_rfm"),
 }
 
 

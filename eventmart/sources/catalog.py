@@ -66,37 +66,58 @@ def first_wins(sources: list[DataFrame], key: str) -> DataFrame:
     return ranked.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "_rank")
 
 
+SHAPES = {"products": (products, "product_id"), "customers": (customers, "customer_id")}
+
+
+def resolved(sources: dict[str, DataFrame], kind: str = "products") -> DataFrame:
+    """The catalog of sources as they were read, the earliest first, with the name of each row's source in `_source`."""
+    shape, key = SHAPES[kind]
+    return first_wins([shape(raw).withColumn("_source", F.lit(name)) for name, raw in sources.items()], key)
+
+
+def source_counts(sources: dict[str, DataFrame], kind: str = "products") -> DataFrame:
+    """One row for each source that has rows: source, rows read, usable, taken (in the catalog from here), dropped (not usable), repeated
+    (usable, but known from an earlier row). All sources are counted in one pass over them."""
+    shape, _ = SHAPES[kind]
+    seen = [df.select(F.lit(name).alias("source"), F.lit(what).alias("what")) for name, raw in sources.items() for what, df in (("rows", raw), ("usable", shape(raw)))]
+    seen.append(resolved(sources, kind).select("_source", F.lit("taken").alias("what")))
+    counts = reduce(DataFrame.union, seen).groupBy("source").agg(*[F.count_if(F.col("what") == w).alias(w) for w in ("rows", "usable", "taken")])
+    return counts.withColumns({"dropped": F.col("rows") - F.col("usable"), "repeated": F.col("usable") - F.col("taken")})
+
+
 def load(spark: SparkSession, paths: list[str], kind: str = "products") -> tuple[DataFrame | None, dict[str, str]]:
     """(catalog, outcome of each path); a source that cannot be read is skipped."""
     got, outcome = load_counted(spark, paths, kind, count=False)
     return got, {path: o["status"] for path, o in outcome.items()}
 
 
-def load_counted(spark: SparkSession, paths: list[str], kind: str = "products", count: bool = True) -> tuple[DataFrame | None, dict[str, dict]]:
+def load_counted(spark: SparkSession, paths: list[str], kind: str = "products", count: bool = True, given: dict[str, DataFrame] | None = None) -> tuple[DataFrame | None, dict[str, dict]]:
     """(catalog, outcome of each path: status, rows read, usable and taken); a source that cannot be read is skipped.
 
-    taken: rows that the catalog has from this source, the others being unusable or known from an earlier one. All
-    sources are counted in one pass over them.
+    taken: rows that the catalog has from this source, the others being unusable or known from an earlier one. given: sources by
+    name that are tables already; they come before the paths, as rows in a configuration do.
     """
-    shape, key = (products, "product_id") if kind == "products" else (customers, "customer_id")
-    got, counted, outcome = [], [], {}
-    for path in paths:
+    sources, outcome = {}, {}
+    for name in [*(given or {}), *paths]:
         try:
-            raw = read_catalog(spark, path)
-            rows = shape(raw)
+            raw = given[name] if given and name in given else read_catalog(spark, name)
+            SHAPES[kind][0](raw)
         except AnalysisException as e:
-            logging.getLogger(__name__).warning("catalog source %s: %s", path, e)
-            outcome[path] = {"status": "skipped", "rows": 0, "usable": 0, "taken": 0}
+            logging.getLogger(__name__).warning("catalog source %s: %s", name, e)
+            outcome[name] = {"status": "skipped", "rows": 0, "usable": 0, "taken": 0}
             continue
-        got.append(rows)
-        counted += [raw.select(F.lit(path).alias("path"), F.lit("rows").alias("what")), rows.select(F.lit(path).alias("path"), F.lit("usable").alias("what"))]
-        outcome[path] = {"status": "read", "rows": 0, "usable": 0, "taken": 0}
-    if not got:
+        sources[name] = raw
+        outcome[name] = {"status": "read", "rows": 0, "usable": 0, "taken": 0}
+    if not sources:
         return None, outcome
-    marked = first_wins([rows.withColumn("_path", F.lit(path)) for rows, path in zip(got, [p for p, o in outcome.items() if o["status"] == "read"], strict=True)], key)
-    if not count:
-        return marked.drop("_path"), outcome
-    counted.append(marked.select(F.col("_path").alias("path"), F.lit("taken").alias("what")))
-    for path, what, n in reduce(DataFrame.union, counted).groupBy("path", "what").count().collect():  # three rows for each source
-        outcome[path][what] = n
-    return marked.drop("_path"), outcome
+    if count:
+        for r in source_counts(sources, kind).collect():  # a row for each source
+            outcome[r.source] |= {"rows": r.rows, "usable": r.usable, "taken": r.taken}
+    return resolved(sources, kind).drop("_source"), outcome
+
+
+def statistics(outcome: dict[str, dict]) -> dict:
+    """Totals of the outcomes of `load_counted`: sources_used, rows_read, rows_dropped, duplicates_removed, resolved."""
+    total = {what: sum(o[what] for o in outcome.values()) for what in ("rows", "usable", "taken")}
+    used = [name for name, o in outcome.items() if o["status"] == "read"]
+    return {"sources_used": used, "rows_read": total["rows"], "rows_dropped": total["rows"] - total["usable"], "duplicates_removed": total["usable"] - total["taken"], "resolved": total["taken"]}
