@@ -57,11 +57,14 @@ def silver_table(spark: SparkSession, lake: Lake, schema: T.StructType | None =
 
 
 def write_silver(df: DataFrame, lake: Lake, buckets: int | None = None) -> int:
-    """Replaces the days and hours that df has; the rows written. Rows of a session go to one task, those without one to all."""
+    """Replaces the days and hours that df has; the rows written. Rows of a session go to one task, those without one to all.
+
+    There are as many tasks as shuffle partitions, however little they write: the work goes by files (hours and buckets), not by bytes.
+    """
     spark, seen = df.sparkSession, Observation()
     name = silver_table(spark, lake, df.schema, buckets)
     columns = spark.table(name).columns
-    dealt = df.repartition(F.coalesce(BY_SESSION, "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string")))
+    dealt = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.coalesce(BY_SESSION, "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string")))
     dealt.observe(seen, F.count(F.lit(1)).alias("rows")).select(*columns).write.mode("overwrite").insertInto(name)
     return totals(seen, "rows")["rows"]
 
