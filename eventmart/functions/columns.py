@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +48,8 @@ def earliest(column: str, of: str = "true") -> Column:
 def named(**checks: Column) -> Column:
     """Names of the conditions that hold, in order."""
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), for which value is computed once however often use names it, wherever the expression comes to stand."""
+    return F.transform(F.array(value), use)[0]

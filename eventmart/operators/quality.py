@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import named
+from eventmart.functions.columns import named, once
 from eventmart.functions.columns import event_time as strict_time
 from eventmart.sources import schema as S
 
@@ -45,8 +45,7 @@ def schema_codes() -> Column:
 
 def vocabulary_codes() -> Column:
     """Codes of values outside the controlled vocabularies; empty values pass."""
-    fields = {"order.currency": S.CURRENCIES, "order.payment_method": S.PAYMENT_METHODS, "event_type": S.EVENT_TYPES, "channel": S.CHANNELS, "device.type": S.DEVICE_TYPES, "customer.segment": S.CUSTOMER_SEGMENTS}
-    return named(**{f"unknown_value:{f}": _has(f) & ~_known(f, v) for f, v in fields.items()})
+    return named(**{f"unknown_value:{f}": _has(f) & ~_known(f, v) for f, v in VOCABULARIES.items()})
 
 
 def schema_errors(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -54,33 +53,49 @@ def schema_errors(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def json_errors(column: str = "body", strict: bool = False) -> Column:
-    """The codes of a record still in JSON text, with the type codes that a declared schema would hide."""
-    v = F.try_parse_json(column)
-    kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))
-    objects = {b: F.coalesce(kind(f"$.{b}"), F.lit("VOID")) for b in ("product", "customer", "order", "session", "device", "geo")}
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    text = F.try_variant_get(v, "$.occurred_at", "string")
-    at = F.coalesce(kind("$.occurred_at"), F.lit("VOID"))
+    """The codes of a record still in JSON text, with the type codes that a declared schema would hide.
+
+    The text is parsed once for each record, and each field is then taken from it once.
+    """
+    return once(F.try_parse_json(column), lambda v: once(_json_facts(v, strict), lambda r: _json_codes(r, strict)))
+
+
+# Parts of a record that are objects, fields that a record must have, bounded numbers (least, most, type) and vocabularies.
+OBJECTS = ("product", "customer", "order", "session", "device", "geo")
+NEEDED = ("occurred_at", "event_type", "product", "customer")
+BOUNDED = {"product.price": (0.0, float(S.MAX_PRICE), "double"), "order.quantity": (1, S.MAX_QUANTITY, "int"), "order.discount_pct": (0.0, 100.0, "double"), "order.net_amount": (0.0, None, "double")}
+VOCABULARIES = {"order.currency": S.CURRENCIES, "order.payment_method": S.PAYMENT_METHODS, "event_type": S.EVENT_TYPES, "channel": S.CHANNELS, "device.type": S.DEVICE_TYPES, "customer.segment": S.CUSTOMER_SEGMENTS}
+
+
+def _json_facts(v: Column, strict: bool) -> Column:
+    """What the codes are made of, as a struct: kinds ("kind:" and a path) and texts ("text:" and a path) of a record's fields."""
+    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant")), F.lit("VOID"))
+    texts = dict.fromkeys([*NEEDED, "product.product_id", *BOUNDED, *(VOCABULARIES if strict else ())])
+    return F.struct(
+        F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("is_object"),
+        *[kind(path).alias(f"kind:{path}") for path in (*OBJECTS, "occurred_at")],
+        *[F.try_variant_get(v, f"$.{path}", "string").alias(f"text:{path}") for path in texts],
+    )
+
+
+def _json_codes(r: Column, strict: bool) -> Column:
+    is_object, kind, text = r["is_object"], (lambda path: r[f"kind:{path}"]), (lambda path: r[f"text:{path}"])
     codes: dict[str, Column] = {"not_a_dict": ~is_object}
-    for f in ("occurred_at", "event_type", "product", "customer"):
-        value = F.try_variant_get(v, f"$.{f}", "string")
-        codes[f"missing:{f}"] = is_object & (value.isNull() | value.isin("", "{}", "[]"))
-    for b, k in objects.items():
-        codes[f"not_an_object:{b}"] = is_object & (k != "VOID") & ~k.startswith("OBJECT")
-    codes["invalid_format:occurred_at"] = (at == "STRING") & (text != "") & event_time(text).isNull()
-    codes["invalid_type:occurred_at"] = is_object & ~at.isin("STRING", "VOID")
-    product = objects["product"].startswith("OBJECT")
-    identity = F.try_variant_get(v, "$.product.product_id", "string")
-    codes["missing:product.product_id"] = product & F.coalesce(identity == "", identity.isNull())
-    for path, low, high, cast in (("product.price", 0.0, float(S.MAX_PRICE), "double"), ("order.quantity", 1, S.MAX_QUANTITY, "int"), ("order.discount_pct", 0.0, 100.0, "double"), ("order.net_amount", 0.0, None, "double")):
-        raw = F.try_variant_get(v, f"$.{path}", "string")
-        value = raw.try_cast(cast)
-        codes[f"invalid_type:{path}"] = raw.isNotNull() & value.isNull()
+    for f in NEEDED:
+        codes[f"missing:{f}"] = is_object & (text(f).isNull() | text(f).isin("", "{}", "[]"))
+    for b in OBJECTS:
+        codes[f"not_an_object:{b}"] = is_object & (kind(b) != "VOID") & ~kind(b).startswith("OBJECT")
+    at = text("occurred_at")
+    codes["invalid_format:occurred_at"] = (kind("occurred_at") == "STRING") & (at != "") & event_time(at).isNull()
+    codes["invalid_type:occurred_at"] = is_object & ~kind("occurred_at").isin("STRING", "VOID")
+    codes["missing:product.product_id"] = kind("product").startswith("OBJECT") & F.coalesce(text("product.product_id") == "", text("product.product_id").isNull())
+    for path, (low, high, cast) in BOUNDED.items():
+        value = text(path).try_cast(cast)
+        codes[f"invalid_type:{path}"] = text(path).isNotNull() & value.isNull()
         codes[f"out_of_range:{path}"] = value.isNotNull() & ((value < low) if high is None else ~value.between(low, high))
     if strict:
-        for path, values in (("order.currency", S.CURRENCIES), ("order.payment_method", S.PAYMENT_METHODS), ("event_type", S.EVENT_TYPES), ("channel", S.CHANNELS), ("device.type", S.DEVICE_TYPES), ("customer.segment", S.CUSTOMER_SEGMENTS)):
-            raw = F.try_variant_get(v, f"$.{path}", "string")
-            codes[f"unknown_value:{path}"] = raw.isNotNull() & (raw != "") & ~raw.isin(values)
+        for path, values in VOCABULARIES.items():
+            codes[f"unknown_value:{path}"] = text(path).isNotNull() & (text(path) != "") & ~text(path).isin(values)
     return named(**codes)
 
 
