@@ -18,8 +18,10 @@ from eventmart.plans.paths import GOLD, Lake, gold_tables
 from eventmart.session import job
 from eventmart.sources import partner
 
-#: Columns that silver is laid out by, and the one of its buckets.
+#: Columns that silver is laid out by, and the one of its buckets. Folders begun before have the second one too, and keep it.
 LAYOUT, BY_SESSION = ["partition_date", "partition_hour"], "session_id"
+#: Rows of a bucket of silver when its folder is begun, where there are more than one for each core.
+BUCKET_ROWS = 500_000
 METRICS = "stage string, name string, value double, unit string, dims map<string,string>"
 
 
@@ -31,40 +33,52 @@ def write_table(df: DataFrame, path: str, *partitions: str, mode: str = "overwri
     return totals(seen, "rows")["rows"]
 
 
+def silver_buckets(spark: SparkSession, lake: Lake) -> int:
+    """How many buckets silver's folder has, which is kept beside it; 0 without that note."""
+    note = f"{lake.path('silver')}/_layout"
+    return int(spark.read.text(note).first()[0]) if partner.children(spark, note) else 0
+
+
 def silver_table(spark: SparkSession, lake: Lake, schema: T.StructType | None = None, buckets: int | None = None) -> str:
-    """Name of a table over silver's folder that knows its layout: days, hours and buckets by session.
+    """Name of a table over silver's folder that knows its layout: days and buckets by session.
 
     The table holds no data of its own and is made anew for each session from what the folder says. schema: of a folder
-    that has no files yet, which gets `buckets` (by default as many as the session has shuffle partitions). How many a folder has
-    is kept beside it; without that note it is read without buckets.
+    that has no files yet, which gets `buckets` (by default as many as the session has shuffle partitions). Without the note of
+    their number a folder is read without buckets.
     """
-    path = lake.path("silver", "events")
-    note = f"{lake.path('silver')}/_layout"
-    kept = int(spark.read.text(note).first()[0]) if partner.children(spark, note) else 0
-    if schema is not None and not kept and not partner.children(spark, path):
+    path, kept = lake.path("silver", "events"), silver_buckets(spark, lake)
+    days = partner.children(spark, path)
+    if schema is not None and not kept and not days:
         kept = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.range(1).select(F.lit(str(kept)).alias("value")).coalesce(1).write.mode("overwrite").text(note)
+        spark.range(1).select(F.lit(str(kept)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{lake.path('silver')}/_layout")
     columns = schema if schema is not None else spark.read.parquet(path).schema
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
     name = f"silver_events_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*[f for f in columns if f.name not in LAYOUT], *[f for f in columns if f.name in LAYOUT]])
+    by_hour = any(f"/{LAYOUT[1]}=" in c for day in days[:1] for c in partner.children(spark, day))
+    layout = LAYOUT if by_hour else LAYOUT[:1]
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*[f for f in columns if f.name not in layout], *[f for f in columns if f.name in layout]])
     cluster = f"CLUSTERED BY ({BY_SESSION}) SORTED BY ({BY_SESSION}) INTO {kept} BUCKETS" if kept else ""
-    spark.sql(f"CREATE TABLE {name} ({shape}) USING parquet PARTITIONED BY ({', '.join(LAYOUT)}) {cluster} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({shape}) USING parquet PARTITIONED BY ({', '.join(layout)}) {cluster} LOCATION '{path}'")
     spark.catalog.recoverPartitions(name)
     return name
 
 
 def write_silver(df: DataFrame, lake: Lake, buckets: int | None = None) -> int:
-    """Replaces the days and hours that df has; the rows written. Rows of a session go to one task, those without one to all.
+    """Replaces the days that df has; the rows written. Rows of a session go to one task, those without one to all.
 
-    There are as many tasks as shuffle partitions, however little they write: the work goes by files (hours and buckets), not by bytes.
+    A folder that is begun gets `buckets`, by default one for each core or for each BUCKET_ROWS rows, if those are more, and no more
+    than shuffle partitions. There is a task for each bucket, so that a day has few files more than buckets: the work goes by rows, not by files.
     """
     spark, seen = df.sparkSession, Observation()
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = silver_buckets(spark, lake)
+    if not kept and not buckets and not partner.children(spark, lake.path("silver", "events")):
+        buckets = min(most, max(spark.sparkContext.defaultParallelism, -(-df.count() // BUCKET_ROWS)))
     name = silver_table(spark, lake, df.schema, buckets)
     columns = spark.table(name).columns
-    dealt = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.coalesce(BY_SESSION, "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string")))
+    dealt = df.repartition(kept or buckets or most, F.coalesce(BY_SESSION, "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string")))
     dealt.observe(seen, F.count(F.lit(1)).alias("rows")).select(*columns).write.mode("overwrite").insertInto(name)
     return totals(seen, "rows")["rows"]
 
