@@ -11,6 +11,14 @@ from eventmart.operators.silver import signed_total
 from eventmart.plans.scratch import materialized
 
 
+# Columns of silver that orders are made of, and those of customers.
+ORDER_COLUMNS = [
+    "idempotency_key", "event_type", "occurred_ts", "order_id", "customer_id", "session_id", "channel", "device_type", "customer_country", "currency", "payment_method", "campaign", "product_id", "quantity",
+    "gross_amount", "discount_amount", "net_amount",
+]
+CUSTOMER_COLUMNS = [*ORDER_COLUMNS, "customer_segment"]
+
+
 def kinds(*names: str) -> Column:
     return F.col("event_type").isin(*names)
 

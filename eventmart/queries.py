@@ -55,9 +55,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.to_silver(accepted(spark, sf_dir))
 
 
-def kept_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver stored, as the jobs keep it, for what reads it more than once."""
-    return materialized(events(spark, sf_dir), "silver")
+def kept_events(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """The columns of silver that are read more than once, stored; the others are neither shuffled nor written."""
+    return materialized(events(spark, sf_dir).select(*columns), "silver")
 
 
 def _lifted(df: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def _products(s: SparkSession, d: str) -> DataFrame:
 
 
 def _rfm(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    e = kept_events(s, d)
+    e = kept_events(s, d, [*gold.CUSTOMER_COLUMNS, "utm_source", "signed_net_amount"])
     return gold.customer_rfm(e), gold.sessions(e)
 
 
@@ -221,7 +221,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_sessions": lambda s, d: gold.sessions(events(s, d)),
     "gold_funnel_daily": lambda s, d: gold.funnel_daily(events(s, d)),
     "gold_orders": lambda s, d: gold.orders(events(s, d)),
-    "gold_customer_rfm": lambda s, d: gold.customer_rfm(kept_events(s, d)),
+    "gold_customer_rfm": lambda s, d: gold.customer_rfm(kept_events(s, d, gold.CUSTOMER_COLUMNS)),
     "gold_product_daily": lambda s, d: gold.product_daily(events(s, d)),
     "gold_product_top3": lambda s, d: gold.product_daily(events(s, d), 3),
     "gold_anomalies": lambda s, d: gold.anomalies(events(s, d)),
@@ -234,9 +234,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_anomalies_recent": lambda s, d: serve.anomalies_recent(_kept(gold.anomalies(events(s, d)))),
     "q_revenue_month": lambda s, d: serve.revenue_month(_kept(serve.revenue_daily(events(s, d)))),
     "q_funnel_leaks": lambda s, d: serve.funnel_leaks(_kept(gold.funnel_daily(events(s, d)))),
-    "q_segment_value": lambda s, d: serve.segment_value(gold.customer_rfm(kept_events(s, d))),
+    "q_segment_value": lambda s, d: serve.segment_value(gold.customer_rfm(kept_events(s, d, gold.CUSTOMER_COLUMNS))),
     "q_viewed_not_bought": lambda s, d: serve.viewed_not_bought(_products(s, d), min_views=10),
-    "q_reconcile_orders": lambda s, d: serve.reconcile_orders(_kept(gold.orders(e := kept_events(s, d))), e),
+    "q_reconcile_orders": lambda s, d: serve.reconcile_orders(_kept(gold.orders(e := kept_events(s, d, gold.ORDER_COLUMNS))), e),
     "q_session_quality": lambda s, d: serve.session_quality(_kept(gold.sessions(events(s, d)))),
     "q_anomaly_triage": lambda s, d: serve.anomaly_triage(_kept(gold.anomalies(events(s, d)))),
     "drops_lifted": lambda s, d: _lifted(partner.read_drops(s, _dropped(s, d).path("landing"))),
