@@ -63,18 +63,26 @@ def json_errors(column: str = "body", strict: bool = False) -> Column:
 # Parts of a record that are objects, fields that a record must have, bounded numbers (least, most, type) and vocabularies.
 OBJECTS = ("product", "customer", "order", "session", "device", "geo")
 NEEDED = ("occurred_at", "event_type", "product", "customer")
+#: A field that needed objects mostly hold.
+FIRST = {"product": "product_id", "customer": "customer_id"}
 BOUNDED = {"product.price": (0.0, float(S.MAX_PRICE), "double"), "order.quantity": (1, S.MAX_QUANTITY, "int"), "order.discount_pct": (0.0, 100.0, "double"), "order.net_amount": (0.0, None, "double")}
 VOCABULARIES = {"order.currency": S.CURRENCIES, "order.payment_method": S.PAYMENT_METHODS, "event_type": S.EVENT_TYPES, "channel": S.CHANNELS, "device.type": S.DEVICE_TYPES, "customer.segment": S.CUSTOMER_SEGMENTS}
 
 
 def _json_facts(v: Column, strict: bool) -> Column:
-    """What the codes are made of, as a struct: kinds ("kind:" and a path) and texts ("text:" and a path) of a record's fields."""
-    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant")), F.lit("VOID"))
+    """What the codes are made of, as a struct: kinds ("kind:" and a path) and texts ("text:" and a path) of a record's fields.
+
+    Objects are told by a cast that asks for none of their fields, and those that hold FIRST are not written out as text:
+    to print their schemas and texts takes several times as long as to parse the record.
+    """
+    get = lambda path, kind: F.try_variant_get(v, path, kind)
+    is_object = lambda path: get(path, "struct<>").isNotNull()
+    scalar = lambda path: F.coalesce(F.schema_of_variant(get(path, "variant")), F.lit("VOID"))
     texts = dict.fromkeys([*NEEDED, "product.product_id", *BOUNDED, *(VOCABULARIES if strict else ())])
     return F.struct(
-        F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("is_object"),
-        *[kind(path).alias(f"kind:{path}") for path in (*OBJECTS, "occurred_at")],
-        *[F.try_variant_get(v, f"$.{path}", "string").alias(f"text:{path}") for path in texts],
+        is_object("$").alias("is_object"),
+        *[F.when(is_object(f"$.{path}"), "OBJECT").otherwise(scalar(f"$.{path}")).alias(f"kind:{path}") for path in (*OBJECTS, "occurred_at")],
+        *[(F.when(get(f"$.{path}.{FIRST[path]}", "variant").isNotNull(), "OBJECT").otherwise(get(f"$.{path}", "string")) if path in FIRST else get(f"$.{path}", "string")).alias(f"text:{path}") for path in texts],
     )
 
 
