@@ -13,6 +13,7 @@ import os
 import struct
 import uuid
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from itertools import chain
 from unicodedata import is_normalized
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import bytes_of, discard, pieces, read_table, scratch_folder, stored
-from eventmart.llm.words import same_strings, string_hash
+from eventmart.llm.words import mixed, same_strings, string_hash
 
 #: Block layout, little-endian: magic, documents, ids, ids of the shard before this block; then keys
 #: (int64), null marks (uint8), ids per document (uint32), control bytes and data bytes.
@@ -36,9 +37,15 @@ TAIL = ".,;:!?*$%&#|)"
 #: Bytes of control and data after which a block is closed.
 BLOCK_BYTES = 1 << 20
 
+#: Slots of remembered units to begin with.
+LEAST_SLOTS = 1 << 16
+
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _encoders: dict[str, "Encoder"] = {}
 
+#: Masks of the first 0 to 8 bytes of a number.
+_FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
 # The rules of a tokenizer whose texts may be encoded in units.
 EXPECTED_RULES = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -55,6 +62,10 @@ EXPECTED_RULES = {
 #: control bytes, the apostrophe of contractions, and the bracket that special tokens begin with).
 BLANK, LETTER, DIGIT, MARK, ODD = range(5)
 _KIND = np.array([BLANK if b in b" \n\t" else ODD if b < 33 or b > 126 or b in b"'<" else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK for b in range(256)], np.int8)
+#: The byte alphabet of byte-level tokenizers: printable bytes of Latin-1 stand for themselves, the others for the characters from U+0100 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_ALPHABET = "".join(chr(b) if b in _PRINTED else chr(256 + _OTHERS.index(b)) for b in range(256))
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
@@ -99,9 +110,9 @@ class Encoder:
 
     Under EXPECTED_RULES white space is dropped and no token spans it, so a text's ids are those of its parts between
     blanks. A part of plain ASCII is further cut where the tokenizer cuts it: runs of letters, single digits and runs
-    of punctuation. Units are remembered by the 64-bit hash of their bytes, in sorted arrays, with the bytes themselves:
-    what is taken from memory has been compared with them, and a unit whose hash another one has is encoded each time
-    that it comes. Under any other rules whole texts are encoded one by one.
+    of punctuation. Units are remembered by a 64-bit key in a table of open addresses. The key of a
+    plain unit of up to 8 bytes is the unit; for others it is a hash, and what is taken from memory has been compared by its
+    bytes. A unit whose key another one has is encoded each time that it comes. Under any other rules whole texts are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -117,7 +128,8 @@ class Encoder:
     def forget(self) -> None:
         # one entry to begin with, of no unit: its size is below that of any
         self.keys, self.first, self.size, self.ids = np.zeros(1, np.uint64), np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, self.kind)
-        self.spelled, self.begin, self.length = np.zeros(0, np.uint8), np.zeros(1, np.int64), np.full(1, -1, np.int64)
+        self.spelled, self.begin, self.length, self.short = np.zeros(0, np.uint8), np.zeros(1, np.int64), np.full(1, -1, np.int64), np.zeros(1, bool)
+        self.slots = np.zeros(LEAST_SLOTS, np.int32)
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of a column without nulls, each text closed by end_id, and the number of ids of each text."""
@@ -127,16 +139,18 @@ class Encoder:
         data, offsets = bytes_of(column)
         starts, ends, odd = units(data, offsets)
         lower = _LOWER[data]
-        key = string_hash(lower, starts, ends)
-        if odd.any():
-            key[odd] = ~string_hash(data, starts[odd], ends[odd])
-        new = np.flatnonzero(self.keys[self.find(key)] != key)
+        key, short = unit_keys(data, lower, starts, ends, odd)
+        at = self.find(key)
+        new = np.flatnonzero(self.keys[at] != key)
         if len(new):
             _, one = np.unique(key[new], return_index=True)
             one = new[one]
-            self.remember(key[one], [bytes(data[s:e] if o else lower[s:e]) for s, e, o in zip(starts[one].tolist(), ends[one].tolist(), odd[one].tolist(), strict=True)], odd[one])
-        at = self.find(key)
-        other = np.flatnonzero(~self.same(data, lower, starts, ends, odd, at))
+            self.remember(key[one], [bytes(data[s:e] if o else lower[s:e]) for s, e, o in zip(starts[one].tolist(), ends[one].tolist(), odd[one].tolist(), strict=True)], odd[one], short[one])
+            at[new] = self.find(key[new])
+        # a short unit is its key; others are compared with what is remembered
+        other = np.flatnonzero(short != self.short[at])
+        long = np.flatnonzero(~short & ~self.short[at])
+        other = np.sort(np.append(other, long[~self.same(data, lower, starts[long], ends[long], odd[long], at[long])]))
         row_end = np.searchsorted(starts, offsets[1:])  # after its last unit each text has its end id
         first, size, known = self.first[at], self.size[at], self.ids
         if len(other):  # their hashes are those of other units
@@ -152,7 +166,29 @@ class Encoder:
         return ids, np.diff(last, prepend=0)
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        return np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        """The entry of each key; where it has none, entry 0 (whose key is 0, so that only a key of 0 meets it by its value)."""
+        mask = len(self.slots) - 1
+        slot = (key >> np.uint64(20)).astype(np.int64) & mask
+        at = self.slots[slot]
+        open_ = np.flatnonzero((at != 0) & (self.keys[at] != key))
+        while len(open_):  # another key has the slot: the next one
+            slot[open_] = (slot[open_] + 1) & mask
+            at[open_] = self.slots[slot[open_]]
+            open_ = open_[(at[open_] != 0) & (self.keys[at[open_]] != key[open_])]
+        return at
+
+    def place(self, entries: np.ndarray) -> None:
+        """Puts entries, which have no slot yet, to the first free slot from that of their key; at most half of the slots are taken."""
+        if 2 * len(self.keys) > len(self.slots):
+            self.slots = np.zeros(max(2 * len(self.slots), 1 << (4 * len(self.keys) - 1).bit_length()), np.int32)
+            entries = np.arange(1, len(self.keys))
+        mask = len(self.slots) - 1
+        slot = (self.keys[entries] >> np.uint64(20)).astype(np.int64) & mask
+        while len(entries):
+            free = np.flatnonzero(self.slots[slot] == 0)
+            self.slots[slot[free]] = entries[free]  # of those that want one slot, one has it
+            left = np.flatnonzero(self.slots[slot] != entries)
+            entries, slot = entries[left], (slot[left] + 1) & mask
 
     def same(self, data: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Whether each unit is the remembered one at `at`, by its bytes."""
@@ -170,24 +206,22 @@ class Encoder:
         encoded = dict(zip(parts, self.of_parts(parts), strict=True))
         return [encoded[w] if o else found[w] for w, o in zip(words, odd.tolist(), strict=True)]
 
-    def remember(self, keys: np.ndarray, units: list[bytes], odd: np.ndarray) -> None:
-        """Adds units: sorted keys, their bytes, and whether they are parts with more than plain ASCII in them."""
+    def remember(self, keys: np.ndarray, units: list[bytes], odd: np.ndarray, short: np.ndarray) -> None:
+        """Adds units: their keys, each once, their bytes, whether they are parts with more than plain ASCII in them, and whether their keys are exact."""
         lists = self.ids_of([u.decode() for u in units], odd)
         size, length = np.array([len(x) for x in lists], np.int32), np.array([len(u) for u in units], np.int64)
-        where = np.searchsorted(self.keys, keys)
-        first = (np.cumsum(size) - size + len(self.ids)).astype(np.int32)
-        begin = np.cumsum(length) - length + len(self.spelled)
+        entries = np.arange(len(self.keys), len(self.keys) + len(keys))
+        self.first = np.append(self.first, (np.cumsum(size) - size + len(self.ids)).astype(np.int32))
+        self.begin = np.append(self.begin, np.cumsum(length) - length + len(self.spelled))
         self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(lists), self.kind, int(size.sum())))
         self.spelled = np.append(self.spelled, np.frombuffer(b"".join(units), np.uint8))
-        self.keys, self.first, self.size = np.insert(self.keys, where, keys), np.insert(self.first, where, first), np.insert(self.size, where, size)
-        self.begin, self.length = np.insert(self.begin, where, begin), np.insert(self.length, where, length)
+        self.keys, self.size, self.length, self.short = np.append(self.keys, keys), np.append(self.size, size), np.append(self.length, length), np.append(self.short, short)
+        self.place(entries)
 
     def of_words(self, words: list[str]) -> list[list[int]]:
         """Ids of words that the tokenizer's rules keep whole: they go to its model directly, in its byte alphabet."""
-        from tokenizers import pre_tokenizers
-
-        model, spell = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        return [[t.id for t in model.tokenize(w if w.isascii() else spell(w)[0][0])] for w in words]
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(w if w.isascii() else charmap_decode(w.encode(), "strict", _ALPHABET)[0])] for w in words]
 
     def of_parts(self, parts: list[str]) -> list[list[int]]:
         """Ids of parts with more than plain ASCII; those of letters and then punctuation are two words of the rules."""
@@ -230,6 +264,21 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, strange[part[starts]] if len(starts) else np.zeros(0, bool)
 
 
+def unit_keys(data: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key of each unit, and which are exact: those of plain ASCII of up to 8 bytes, none of them zero, are their bytes, mixed
+    by a bijection. The others are hashes, which may be the key of another unit."""
+    size = ends - starts
+    short = ~odd & (size <= 8)
+    padded = np.concatenate([lower, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(lower) + 1,), "<u8", padded, 0, (1,))  # the number that begins at each byte
+    key = mixed(words[starts].astype(np.uint64) & _FIRST[np.minimum(size, 8)])
+    for source, these, turn in ((lower, ~short & ~odd, False), (data, odd, True)):
+        on = np.flatnonzero(these)
+        found = string_hash(source, starts[on], ends[on])
+        key[on] = ~found if turn else found
+    return key, short
+
+
 def _encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
