@@ -40,11 +40,18 @@ BLOCK_BYTES = 1 << 20
 #: Slots of remembered units to begin with.
 LEAST_SLOTS = 1 << 16
 
-_LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
+#: First byte of U+00C0 to U+00FF in UTF-8.
+LATIN = 0xC3
+#: In place of the length of a unit whose key is exact.
+EXACT = -1
+
+#: The four lengths of each control byte, as one number.
+_LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8).view("<u4")[:, 0]
 _encoders: dict[str, "Encoder"] = {}
 
 #: Masks of the first 0 to 8 bytes of a number.
 _FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+_FIRST_4 = _FIRST[:5].astype(np.uint32)
 
 # The rules of a tokenizer whose texts may be encoded in units.
 EXPECTED_RULES = {
@@ -58,15 +65,15 @@ EXPECTED_RULES = {
     },
 }
 
-#: Kinds of bytes: separators of parts, letters, digits, punctuation, and what makes a part one unit (beyond ASCII,
+#: Kinds of bytes: separators of parts, letters, digits, punctuation, and what makes a part one unit (beyond ASCII but for letters after LATIN,
 #: control bytes, the apostrophe of contractions, and the bracket that special tokens begin with).
 BLANK, LETTER, DIGIT, MARK, ODD = range(5)
-_KIND = np.array([BLANK if b in b" \n\t" else ODD if b < 33 or b > 126 or b in b"'<" else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK for b in range(256)], np.int8)
+_KIND = bytes([BLANK if b in b" \n\t" else ODD if b < 33 or b > 126 or b in b"'<" else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK for b in range(256)])
 #: The byte alphabet of byte-level tokenizers: printable bytes of Latin-1 stand for themselves, the others for the characters from U+0100 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
 _ALPHABET = "".join(chr(b) if b in _PRINTED else chr(256 + _OTHERS.index(b)) for b in range(256))
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_LOWER = bytes([b + 32 if 65 <= b <= 90 else b for b in range(256)])
 
 
 def encode_ranks(ranks: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,42 +81,49 @@ def encode_ranks(ranks: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
     n: values of each document. A control byte holds four two-bit lengths, and each document begins a new one.
     """
-    size = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros(int(-(-n // 4).sum()) * 4, np.uint8)
-    codes[_padded(n)] = size - 1
+    size = (ranks > 0xFF).astype(np.uint8)
+    for limit in (0xFFFF, 0xFFFFFF):
+        size += ranks > limit
+    used = _used(n)
+    codes = np.zeros(len(used), np.uint8)
+    codes[used] = size
     quads = codes.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    ends = np.cumsum(size)
-    at = ends - size
-    data = np.zeros(int(size.sum()), np.uint8)
-    for k in range(4):
-        on = np.flatnonzero(size > k) if k else slice(None)
-        data[at[on] + k] = ranks[on] >> np.uint32(8 * k) & np.uint32(0xFF)
-    return control, data, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])])
-
-
-def _padded(n: np.ndarray) -> np.ndarray:
-    """Place of each value when every document begins at a multiple of four."""
+    size += 1
+    ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    at = ends[:-1]
+    data = np.empty(int(ends[-1]), np.uint8)
+    data[at] = ranks.astype(np.uint8)
+    for k in range(1, int(size.max(initial=1))):
+        on = np.flatnonzero(size > k)
+        data[at[on] + k] = (ranks[on] >> np.uint32(8 * k)).astype(np.uint8)
+    return control, data, np.diff(ends[np.concatenate([[0], np.cumsum(n)])])
+
+
+def _used(n: np.ndarray) -> np.ndarray:
+    """Which places have a value when every document begins at a multiple of four."""
     width = -(-n // 4) * 4
-    return np.arange(int(n.sum())) + np.repeat(np.cumsum(width) - width - (np.cumsum(n) - n), n)
+    ends, out = np.cumsum(width), np.ones(int(width.sum()), bool)
+    for k in range(1, 4):
+        out[ends[width - n >= k] - k] = False
+    return out
 
 
 def decode_ranks(control: np.ndarray, data: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The values that encode_ranks wrote."""
-    size = _LENGTHS[control].reshape(-1)[_padded(n)].astype(np.int64)
-    at = np.cumsum(size) - size
-    out = np.zeros(len(size), np.uint32)
-    for k in range(4):
-        on = np.flatnonzero(size > k) if k else slice(None)
-        out[on] |= data[at[on] + k].astype(np.uint32) << np.uint32(8 * k)
-    return out
+    size = _LENGTHS[control].view(np.uint8)[_used(n)]
+    at = np.cumsum(size, dtype=np.int64) - size
+    padded = np.concatenate([data, np.zeros(4, np.uint8)])
+    numbers = np.ndarray((len(data) + 1,), "<u4", padded, 0, (1,))  # the number that begins at each byte
+    return numbers[at] & _FIRST_4[size]
 
 
 class Encoder:
     """Ids of whole text columns under one tokenizer, with what a worker remembers of it.
 
     Under EXPECTED_RULES white space is dropped and no token spans it, so a text's ids are those of its parts between
-    blanks. A part of plain ASCII is further cut where the tokenizer cuts it: runs of letters, single digits and runs
+    blanks. A part of plain characters (printable ASCII and the letters U+00C0 to U+00FF, which compose with none of them) is further
+    cut where the tokenizer cuts it: runs of letters, single digits and runs
     of punctuation. Units are remembered by a 64-bit key in a table of open addresses. The key of a
     plain unit of up to 8 bytes is the unit; for others it is a hash, and what is taken from memory has been compared by its
     bytes. A unit whose key another one has is encoded each time that it comes. Under any other rules whole texts are encoded one by one.
@@ -126,47 +140,60 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        # one entry to begin with, of no unit: its size is below that of any
-        self.keys, self.first, self.size, self.ids = np.zeros(1, np.uint64), np.zeros(1, np.int32), np.zeros(1, np.int32), np.zeros(0, self.kind)
-        self.spelled, self.begin, self.length, self.short = np.zeros(0, np.uint8), np.zeros(1, np.int64), np.full(1, -1, np.int64), np.zeros(1, bool)
+        # entry 0 is no unit; entries: first id, number of ids, first byte, number of bytes (EXACT where the key is exact)
+        self.keys, self.entries, self.ids, self.spelled = np.zeros(1, np.uint64), np.zeros((1, 4), np.int32), np.zeros(1, self.kind), np.zeros(0, np.uint8)
+        self.rooms = {}
         self.slots = np.zeros(LEAST_SLOTS, np.int32)
 
+    def append(self, name: str, more: np.ndarray) -> None:
+        """Adds to an array of the memory, which is the used part of a larger one: what is there is seldom copied."""
+        have = getattr(self, name)
+        used, need = len(have), len(have) + len(more)
+        if need > len(self.rooms.get(name, ())):
+            self.rooms[name] = np.empty((need + need // 2, *have.shape[1:]), have.dtype)
+            self.rooms[name][:used] = have
+        self.rooms[name][used:need] = more
+        setattr(self, name, self.rooms[name][:need])
+
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of a column without nulls, each text closed by end_id, and the number of ids of each text."""
         if not self.in_units:
             whole = [np.array([*e.ids, end_id], self.kind) for e in self.tokenizer.encode_batch(column.to_pylist(), add_special_tokens=False)]
             return np.concatenate(whole), np.array([len(x) for x in whole])
         data, offsets = bytes_of(column)
-        starts, ends, odd = units(data, offsets)
-        lower = _LOWER[data]
-        key, short = unit_keys(data, lower, starts, ends, odd)
+        text, starts, ends, odd = units(data, offsets)
+        key, short = unit_keys(data, text, starts, ends, odd)
         at = self.find(key)
-        new = np.flatnonzero(self.keys[at] != key)
+        new = np.flatnonzero(at == 0)
         if len(new):
             _, one = np.unique(key[new], return_index=True)
             one = new[one]
-            self.remember(key[one], [bytes(data[s:e] if o else lower[s:e]) for s, e, o in zip(starts[one].tolist(), ends[one].tolist(), odd[one].tolist(), strict=True)], odd[one], short[one])
+            self.remember(key[one], _spellings(text, starts[one], ends[one]), odd[one], short[one])
             at[new] = self.find(key[new])
+        found = self.entries.take(at, 0)
         # a short unit is its key; others are compared with what is remembered
-        other = np.flatnonzero(short != self.short[at])
-        long = np.flatnonzero(~short & ~self.short[at])
-        other = np.sort(np.append(other, long[~self.same(data, lower, starts[long], ends[long], odd[long], at[long])]))
+        right = found[:, 3] == np.where(short, EXACT, ends - starts)
+        long = np.flatnonzero(right & ~short)
+        right[long] = same_strings(text, starts[long], self.spelled, found[long, 2].astype(np.int64), found[long, 3].astype(np.int64))
+        other = np.flatnonzero(~right)
         row_end = np.searchsorted(starts, offsets[1:])  # after its last unit each text has its end id
-        first, size, known = self.first[at], self.size[at], self.ids
+        first, size, known = found[:, 0], found[:, 1], self.ids
         if len(other):  # their hashes are those of other units
-            lists = self.ids_of([bytes(data[s:e] if o else lower[s:e]).decode() for s, e, o in zip(starts[other].tolist(), ends[other].tolist(), odd[other].tolist(), strict=True)], odd[other])
+            lists = self.ids_of(_spellings(text, starts[other], ends[other]), odd[other])
             size[other] = [len(x) for x in lists]
             first[other] = len(known) + np.cumsum(size[other]) - size[other]
             known = np.append(known, np.fromiter(chain.from_iterable(lists), self.kind))
-        first, size = (np.insert(x, row_end, y) for x, y in ((first, -1), (size, 1)))
-        place = np.cumsum(size) - size
-        flat = np.arange(int(size.sum())) + np.repeat(first - place, size)
-        ids = np.append(known, self.kind(end_id))[flat]  # -1 is the end id
-        last = place[row_end + np.arange(len(row_end))] + 1
+        first, size = np.insert(first, row_end, 0), np.insert(size, row_end, 1)
+        stop = np.cumsum(size, dtype=np.int64)
+        flat = np.repeat(first - (stop - size), size)
+        flat += np.arange(len(flat))
+        ids = known.take(flat)
+        last = stop[row_end + np.arange(len(row_end))]
+        ids[last - 1] = end_id
         return ids, np.diff(last, prepend=0)
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        """The entry of each key; where it has none, entry 0 (whose key is 0, so that only a key of 0 meets it by its value)."""
+        """The entry of each key, 0 where it has none."""
         mask = len(self.slots) - 1
         slot = (key >> np.uint64(20)).astype(np.int64) & mask
         at = self.slots[slot]
@@ -190,41 +217,31 @@ class Encoder:
             left = np.flatnonzero(self.slots[slot] != entries)
             entries, slot = entries[left], (slot[left] + 1) & mask
 
-    def same(self, data: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Whether each unit is the remembered one at `at`, by its bytes."""
-        out = self.length[at] == ends - starts
-        for source, these in ((lower, out & ~odd), (data, out & odd)):
-            on = np.flatnonzero(these)
-            out[on] = same_strings(source, starts[on], self.spelled, self.begin[at[on]], self.length[at[on]])
-        return out
-
-    def ids_of(self, words: list[str], odd: np.ndarray) -> list[list[int]]:
-        """Ids of units; odd: which are parts with more than plain ASCII in them."""
-        plain = [w for w, o in zip(words, odd.tolist(), strict=True) if not o]
-        found = dict(zip(plain, self.of_words(plain), strict=True))
-        parts = [w for w, o in zip(words, odd.tolist(), strict=True) if o]
-        encoded = dict(zip(parts, self.of_parts(parts), strict=True))
-        return [encoded[w] if o else found[w] for w, o in zip(words, odd.tolist(), strict=True)]
-
-    def remember(self, keys: np.ndarray, units: list[bytes], odd: np.ndarray, short: np.ndarray) -> None:
-        """Adds units: their keys, each once, their bytes, whether they are parts with more than plain ASCII in them, and whether their keys are exact."""
-        lists = self.ids_of([u.decode() for u in units], odd)
-        size, length = np.array([len(x) for x in lists], np.int32), np.array([len(u) for u in units], np.int64)
-        entries = np.arange(len(self.keys), len(self.keys) + len(keys))
-        self.first = np.append(self.first, (np.cumsum(size) - size + len(self.ids)).astype(np.int32))
-        self.begin = np.append(self.begin, np.cumsum(length) - length + len(self.spelled))
-        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(lists), self.kind, int(size.sum())))
-        self.spelled = np.append(self.spelled, np.frombuffer(b"".join(units), np.uint8))
-        self.keys, self.size, self.length, self.short = np.append(self.keys, keys), np.append(self.size, size), np.append(self.length, length), np.append(self.short, short)
-        self.place(entries)
-
-    def of_words(self, words: list[str]) -> list[list[int]]:
+    def ids_of(self, spelled: list[bytes], odd: np.ndarray) -> list[list[int]]:
+        """Ids of units; odd: which are parts with more than plain characters in them."""
+        flags = odd.tolist()
+        words = iter(self.of_words([u for u, o in zip(spelled, flags, strict=True) if not o]))
+        parts = iter(self.of_parts([u.decode() for u, o in zip(spelled, flags, strict=True) if o]))
+        return [next(parts if o else words) for o in flags]
+
+    def remember(self, keys: np.ndarray, spelled: list[bytes], odd: np.ndarray, short: np.ndarray) -> None:
+        """Adds units: their keys, each once, their bytes, whether they are parts with more than plain characters in them, and whether their keys are exact."""
+        lists = self.ids_of(spelled, odd)
+        size, length = np.fromiter(map(len, lists), np.int64, len(lists)), np.fromiter(map(len, spelled), np.int64, len(spelled))
+        new = np.arange(len(self.keys), len(self.keys) + len(keys))
+        self.append("entries", np.stack([np.cumsum(size) - size + len(self.ids), size, np.cumsum(length) - length + len(self.spelled), np.where(short, EXACT, length)], 1))
+        self.append("ids", np.fromiter(chain.from_iterable(lists), self.kind, int(size.sum())))
+        self.append("spelled", np.frombuffer(b"".join(spelled), np.uint8))
+        self.append("keys", keys)
+        self.place(new)
+
+    def of_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of words that the tokenizer's rules keep whole: they go to its model directly, in its byte alphabet."""
         tokenize = self.tokenizer.model.tokenize
-        return [[t.id for t in tokenize(w if w.isascii() else charmap_decode(w.encode(), "strict", _ALPHABET)[0])] for w in words]
+        return [[t.id for t in tokenize(w.decode() if w.isascii() else charmap_decode(w, "strict", _ALPHABET)[0])] for w in words]
 
     def of_parts(self, parts: list[str]) -> list[list[int]]:
-        """Ids of parts with more than plain ASCII; those of letters and then punctuation are two words of the rules."""
+        """Ids of parts with more than plain characters; those of letters and then punctuation are two words of the rules."""
         split, out = {}, {}
         for part in parts:
             core = part.rstrip(TAIL)
@@ -233,39 +250,54 @@ class Encoder:
             if core.isalpha() and word.isalpha() and "\u03a3" not in core and is_normalized("NFC", core) and is_normalized("NFC", word):
                 split[part] = (word, part[len(core) :])
         words = sorted({x for pair in split.values() for x in pair if x})
-        known = dict(zip(words, self.of_words(words), strict=True)) | {"": []}
+        known = dict(zip(words, self.of_words([w.encode() for w in words]), strict=True)) | {"": []}
         out = {part: known[word] + known[tail] for part, (word, tail) in split.items()}
         other = [p for p in parts if p not in out]
         out |= {p: e.ids for p, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True)}
         return [out[p] for p in parts]
 
 
-def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the units of texts, and which are whole parts with more than plain ASCII in them."""
-    kind = _KIND[data]
+def _spellings(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw = text.tobytes()
+    return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of texts, lower-cased outside odd units, starts and ends of their units, and which of these are odd: whole
+    parts with more than plain characters in them."""
+    kind, text = (np.frombuffer(bytearray(data).translate(table), np.uint8) for table in (_KIND, _LOWER))
+    lead = np.flatnonzero(data == LATIN)
+    second = data[lead + 1]
+    letter = (second != 0x97) & (second != 0xB7)  # but for the signs of multiplication and division
+    kind[lead[letter]] = kind[lead[letter] + 1] = LETTER
+    text[lead[letter & (second < 0x9F)] + 1] += 32
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     blank = kind == BLANK
-    begins = ~blank
-    begins[1:] &= blank[:-1] | edge[1:-1]
-    part = np.cumsum(begins) - 1  # of each byte that is not blank
-    strange = np.zeros(max(1, int(part[-1]) + 1 if len(part) else 0), bool)
-    strange[part[kind == ODD]] = True
-    cut = begins.copy()
-    if len(data):
-        inner = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
-        cut[1:] |= inner & ~blank[1:] & ~strange[part[1:]]
-    starts = np.flatnonzero(cut)
-    ends = np.empty(len(starts), np.int64)
-    if len(starts):
-        stop = ~blank
-        stop[:-1] &= blank[1:] | cut[1:]
-        ends = np.flatnonzero(stop) + 1
-    return starts, ends, strange[part[starts]] if len(starts) else np.zeros(0, bool)
+    cut = ~blank
+    cut[1:] &= blank[:-1] | edge[1:-1]  # where parts begin
+    strange = np.flatnonzero(kind == ODD)
+    if len(strange):
+        part = np.searchsorted(np.flatnonzero(cut), strange, "right") - 1
+        part = part[np.diff(part, prepend=-1) > 0]
+        starts, ends = (x[part] for x in _spans(cut, blank))
+        size = ends - starts
+        inside = np.arange(int(size.sum())) + np.repeat(starts - (np.cumsum(size) - size), size)
+        kind[inside], text[inside] = ODD, data[inside]
+    cut[1:] |= ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) & ~blank[1:]
+    starts, ends = _spans(cut, blank)
+    return text, starts, ends, kind[starts] == ODD
+
+
+def _spans(cut: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of stretches that begin at cuts and end before a cut or a blank."""
+    stop = ~blank
+    stop[:-1] &= blank[1:] | cut[1:]
+    return np.flatnonzero(cut), np.flatnonzero(stop) + 1
 
 
 def unit_keys(data: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key of each unit, and which are exact: those of plain ASCII of up to 8 bytes, none of them zero, are their bytes, mixed
+    """A 64-bit key of each unit, and which are exact: those of plain characters of up to 8 bytes, none of them zero, are their bytes, mixed
     by a bijection. The others are hashes, which may be the key of another unit."""
     size = ends - starts
     short = ~odd & (size <= 8)
@@ -306,10 +338,9 @@ def id_ranks(tokens: DataFrame, vocabulary: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            if batch.num_rows:  # one tokenizer, so one width
-                ids, width = bytes_of(batch.column("ids"))[0], batch.column("width")[0].as_py()
-                total += np.bincount(ids.view(f"<u{width}"), minlength=vocabulary)
+        for batch in pieces(batches, "ids"):
+            ids, width = bytes_of(batch.column("ids"))[0], batch.column("width")[0].as_py()  # one tokenizer, so one width
+            total += np.bincount(ids.view(f"<u{width}"), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["id", "n"])
 
@@ -327,9 +358,7 @@ def write_blocks(tokens: DataFrame, ranks: np.ndarray, shards: int, folder: str)
     bounds = np.array(sorted(set(bounds or [])), np.int64)
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches, "ids"):
             keys = batch.column("key")
             shard = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)).astype(np.int32)
             raw, ends = bytes_of(batch.column("ids"))
