@@ -32,6 +32,9 @@ from eventmart.llm.words import Words
 BEST = 10
 #: Bytes of text of a segment, and terms of the queries that are answered in one pass over the index.
 SEGMENT_BYTES, BLOCK_TERMS = 8 << 20, 200_000
+#: Options of the segments' files: a row group for each segment. Else a writer holds the first hundred rows before it looks at their size, and
+#: a reader takes all segments of a row group at once.
+SEGMENT_FILES = {"compression": "zstd", "parquet.block.row.count.limit": "1"}
 #: Lists count as short, from the shortest on, while they together have at most 1 / SHORT of a segment's documents.
 SHORT = 4
 #: Documents that one step of the walk looks at.
@@ -81,7 +84,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = f"documents long, terms long, keys array<{kind}>, n array<int>, hashes array<long>, bounds array<int>, docs array<int>, tfs array<int>"
-    return stored(rows.mapInArrow(scan, schema), "segments", compression="zstd")
+    return stored(rows.mapInArrow(scan, schema), "segments", **SEGMENT_FILES)
 
 
 def counted(hash: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
