@@ -197,7 +197,11 @@ NULLABLE = ["customer_id", "session_id", "product_name", "category", "product_pr
 
 def summary(raw: DataFrame, cleaned: DataFrame, silver: DataFrame) -> DataFrame:
     """One row about a silver batch: raw, cleaned and silver rows, rows dropped and duplicated, retention, nulls, types, days."""
-    total = raw.agg(F.count("*").alias("raw_records")).crossJoin(cleaned.agg(F.count("*").alias("clean_records")))
+    return summary_of(raw.agg(F.count("*").alias("raw_records")).crossJoin(cleaned.agg(F.count("*").alias("clean_records"))), silver)
+
+
+def summary_of(total: DataFrame, silver: DataFrame) -> DataFrame:
+    """The same of rows counted before: one row of raw_records and clean_records."""
     facts = silver.agg(F.count("*").alias("processed_records"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NULLABLE], F.countDistinct("partition_date").alias("days"))
     kinds = silver.groupBy("event_type").count().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("event_type", "count")))).alias("events_by_type"))
     n = F.col("processed_records")

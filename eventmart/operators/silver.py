@@ -27,10 +27,14 @@ def flatten(df: DataFrame) -> DataFrame:
     )
 
 
+def usable() -> Column:
+    """Flat events with a product and a time."""
+    return (F.length(F.trim("product_id")) > 0) & F.col("occurred_ts").isNotNull()
+
+
 def clean(df: DataFrame) -> DataFrame:
     """Drops rows without product or time; resets quantities and discounts out of range; cuts long names."""
-    kept = df.filter((F.length(F.trim("product_id")) > 0) & F.col("occurred_ts").isNotNull())
-    return kept.withColumns({
+    return df.filter(usable()).withColumns({
         "quantity": F.when(F.col("quantity").between(1, MAX_QUANTITY), F.col("quantity")).otherwise(1),
         "discount_pct": F.when(F.col("discount_pct").between(0, 100), F.col("discount_pct")).otherwise(0.0),
         "product_name": F.substring("product_name", 1, MAX_TEXT),
@@ -62,9 +66,27 @@ def event_key() -> Column:
     return F.coalesce("idempotency_key", F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in NATURAL_KEY]))
 
 
-def deduplicate(df: DataFrame) -> DataFrame:
-    """The latest arrival of each event; rows without a key are told apart by their natural fields."""
-    latest = Window.partitionBy(event_key()).orderBy(F.desc_nulls_last("ingested_at"), F.xxhash64(*df.columns))
+def deal_key() -> Column:
+    """What flat events are dealt by: their session; those without one by what else tells them apart."""
+    return F.coalesce("session_id", "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string"))
+
+
+def copies(flat: DataFrame) -> DataFrame:
+    """One row: raw, clean, days (of clean events) and torn, the keys whose copies differ in what they are dealt by or in their day.
+
+    Keys are met by hashes, so what is shuffled is small; two keys of one hash count as torn.
+    """
+    day, ok = F.to_date("occurred_ts"), F.coalesce(usable(), F.lit(False))
+    marks = flat.select(ok.alias("ok"), F.when(ok, F.xxhash64(event_key())).alias("key"), F.when(ok, day).alias("day"), F.xxhash64(event_key(), deal_key(), day).alias("a"), F.hash(deal_key()).alias("b"))
+    by_key = marks.groupBy("ok", "key").agg(F.count("*").alias("n"), *[f(c).alias(f"{name}_{c}") for c in "ab" for name, f in (("min", F.min), ("max", F.max))], F.min("day").alias("day"))
+    torn = F.col("ok") & ((F.col("min_a") != F.col("max_a")) | (F.col("min_b") != F.col("max_b")))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return by_key.agg(total("n").alias("raw"), total(F.when(F.col("ok"), F.col("n"))).alias("clean"), F.collect_set(F.date_format("day", "yyyy-MM-dd")).alias("days"), F.count_if(torn).alias("torn"))
+
+
+def deduplicate(df: DataFrame, *together: str) -> DataFrame:
+    """The latest arrival of each event; rows without a key are told apart by their natural fields. together: columns that all copies of an event agree in."""
+    latest = Window.partitionBy(*together, event_key()).orderBy(F.desc_nulls_last("ingested_at"), F.xxhash64(*[c for c in df.columns if c not in together]))
     return df.withColumn("_arrival", F.row_number().over(latest)).filter("_arrival = 1").drop("_arrival")
 
 
@@ -76,6 +98,12 @@ def to_silver(bronze: DataFrame, process_date: str | None = None, lookback_days:
     return flatten(window(bronze, process_date, lookback_days)).transform(clean).transform(deduplicate).transform(derive).select(*SILVER)
 
 
+def dealt_silver(bronze: DataFrame, tasks: int) -> DataFrame:
+    """Silver of a bronze table without torn keys (see `copies`), dealt over so many tasks by `deal_key`: one exchange serves the deduplication and the layout."""
+    dealt = clean(flatten(bronze)).withColumn("_deal", deal_key()).repartition(tasks, "_deal")
+    return deduplicate(dealt, "_deal").transform(derive).select(*SILVER)
+
+
 def window(df: DataFrame, process_date: str | None, lookback_days: int = 0, day=None) -> DataFrame:
     """Rows of a processing window by day column (by default the day of occurred_at)."""
     if process_date is None:

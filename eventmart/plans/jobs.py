@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from eventmart.functions.columns import iso
 from eventmart.functions.observed import totals
 from eventmart.operators import gold, quality, silver
 from eventmart.plans.paths import GOLD, Lake, gold_tables
+from eventmart.plans.scratch import discard
 from eventmart.session import job
 from eventmart.sources import partner
 
@@ -65,21 +66,26 @@ def silver_table(spark: SparkSession, lake: Lake, schema: T.StructType | None =
     return name
 
 
-def write_silver(df: DataFrame, lake: Lake, buckets: int | None = None) -> int:
+def silver_tasks(spark: SparkSession, lake: Lake, rows: Callable[[], int], buckets: int | None = None) -> tuple[int, int | None]:
+    """Tasks that write silver, and the buckets (those given, else by `rows()`) of a folder that is begun with them; None for other folders."""
+    most, kept = int(spark.conf.get("spark.sql.shuffle.partitions")), silver_buckets(spark, lake)
+    if kept or partner.children(spark, lake.path("silver", "events")):
+        return kept or buckets or most, None
+    begun = buckets or min(most, max(spark.sparkContext.defaultParallelism, -(-rows() // BUCKET_ROWS)))
+    return begun, begun
+
+
+def write_silver(df: DataFrame, lake: Lake, buckets: int | None = None, dealt: bool = False) -> int:
     """Replaces the days that df has; the rows written. Rows of a session go to one task, those without one to all.
 
     A folder that is begun gets `buckets`, by default one for each core or for each BUCKET_ROWS rows, if those are more, and no more
-    than shuffle partitions. There is a task for each bucket, so that a day has few files more than buckets: the work goes by rows, not by files.
+    than shuffle partitions. dealt: df is in such tasks already. There is a task for each bucket, so that a day has few files more than buckets: the work goes by rows, not by files.
     """
     spark, seen = df.sparkSession, Observation()
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept = silver_buckets(spark, lake)
-    if not kept and not buckets and not partner.children(spark, lake.path("silver", "events")):
-        buckets = min(most, max(spark.sparkContext.defaultParallelism, -(-df.count() // BUCKET_ROWS)))
-    name = silver_table(spark, lake, df.schema, buckets)
+    tasks, begun = silver_tasks(spark, lake, df.count, buckets)
+    name = silver_table(spark, lake, df.schema, begun)
     columns = spark.table(name).columns
-    dealt = df.repartition(kept or buckets or most, F.coalesce(BY_SESSION, "idempotency_key", F.xxhash64("occurred_at", "product_id", "customer_id").cast("string")))
-    dealt.observe(seen, F.count(F.lit(1)).alias("rows")).select(*columns).write.mode("overwrite").insertInto(name)
+    (df if dealt else df.repartition(tasks, silver.deal_key())).observe(seen, F.count(F.lit(1)).alias("rows")).select(*columns).write.mode("overwrite").insertInto(name)
     return totals(seen, "rows")["rows"]
 
 
@@ -101,6 +107,7 @@ def record_metrics(spark: SparkSession, lake: Lake, stage: str, values: dict[str
 def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, channel: str = "web", archive: bool = True) -> dict[str, int]:
     """Partner drops to bronze, rejected records to quarantine with the names of the checks they fail.
 
+    Drops are read once: both kinds of records are written to a stage of this run's own and moved to the zones when it is complete.
     The files that were read are then moved to landing/archive, whether their records were accepted or not, so that no run
     reads them again. Where no file waits there is nothing to do.
     """
@@ -110,16 +117,18 @@ def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, cha
         record_metrics(spark, lake, "landing", {"files": 0})
         return {"accepted": 0, "rejected": 0, "files": 0, "archived": 0}
     now = ingested_at if ingested_at is not None else iso(F.current_timestamp())
-    records = partner.with_partitions(partner.add_identity(partner.read_drops(spark, lake.path("landing"), channel, drops), "landing", now)).persist(StorageLevel.MEMORY_AND_DISK)
+    records = partner.with_partitions(partner.add_identity(partner.read_drops(spark, lake.path("landing"), channel, drops), "landing", now))
+    name = f"landing-{uuid.uuid4().hex}"
+    stage = lake.path("quality", "stages", name)
     try:
-        good, bad = partner.split_on_checks(records)
-        seen = {"accepted": Observation(), "rejected": Observation()}
-        count = F.count(F.lit(1)).alias("rows")
-        partner.write_ndjson(good.observe(seen["accepted"], count), lake.path("bronze"), "dt", "hour")
-        partner.write_ndjson(bad.drop("hour").observe(seen["rejected"], count), lake.path("quarantine", "landing"), "dt")
-        counts = {n: totals(o, "rows")["rows"] for n, o in seen.items()} | {"files": files}
+        counts = partner.write_judged(records, stage) | {"files": files}
+        for zone, place in (("bronze", lake.path("bronze")), ("quarantine", lake.path("quarantine", "landing"))):
+            for day in partner.children(spark, f"{stage}/zone={zone}"):
+                for hour in partner.children(spark, day):
+                    dt, hh = (x.rpartition("/")[2] for x in (day, hour))
+                    partner.moved(spark, hour, f"{place}/{dt}/{hh}" if zone == "bronze" else f"{place}/{dt}", name, ".json")
     finally:
-        records.unpersist()
+        discard(spark, stage)
     day = datetime.now(timezone.utc).strftime("%Y-%m-%d")
     counts["archived"] = partner.archive(spark, drops, lake.path("landing", "archive", f"dt={day}")) if archive else 0
     record_metrics(spark, lake, "landing", counts)
@@ -128,23 +137,27 @@ def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, cha
 
 @job
 def refine(spark: SparkSession, lake: Lake, process_date: str | None = None, lookback_days: int = 0, thresholds: dict | None = None, stop_on_breach: bool = False) -> dict:
-    """Bronze to silver (only the days of the window are replaced), with the summary row and its verdict."""
+    """Bronze to silver (only the days of the window are replaced), with the summary row and its verdict.
+
+    What is summed up is read from silver itself, where the days that were replaced hold the rows that were written and no others.
+    """
     first = process_date and str(date.fromisoformat(process_date) - timedelta(days=lookback_days))
     bronze = silver.window(partner.read_bronze(spark, lake.path("bronze"), first, process_date), process_date, lookback_days)
-    flat = silver.flatten(bronze)
-    table = silver.to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
+    found = silver.copies(silver.flatten(bronze)).first()
+    tasks, begun = silver_tasks(spark, lake, lambda: found["clean"])
+    table = silver.to_silver(bronze) if found["torn"] else silver.dealt_silver(bronze, tasks)
+    written = write_silver(table, lake, begun, dealt=not found["torn"])
+    # copies of torn keys may lie in several days, of which one may have nothing left, and so is not replaced
+    days = [r[0] for r in table.select("partition_date").distinct().collect()] if found["torn"] else found["days"]
+    total = spark.range(1).select(F.lit(found["raw"]).alias("raw_records"), F.lit(found["clean"]).alias("clean_records"))
+    facts = quality.summary_of(total, read_silver(spark, lake).filter(F.col("partition_date").isin(days)) if written else table.limit(0))
+    row = facts.first().asDict()
+    outcome, breaches = quality.verdict(row, thresholds)
+    done = spark.createDataFrame([row], facts.schema).withColumns({"verdict": F.lit(outcome), "breaches": F.array(*[F.lit(b) for b in breaches]).cast("array<string>"), "dt": F.coalesce(F.lit(process_date), F.date_format(F.current_date(), "yyyy-MM-dd"))})
     try:
-        write_silver(table, lake)
-        facts = quality.summary(bronze, silver.clean(flat), table)
-        row = facts.first().asDict()
-        outcome, breaches = quality.verdict(row, thresholds)
-        done = facts.withColumns({"verdict": F.lit(outcome), "breaches": F.array(*[F.lit(b) for b in breaches]).cast("array<string>"), "dt": F.coalesce(F.lit(process_date), F.date_format(F.current_date(), "yyyy-MM-dd"))})
-        try:
-            done.coalesce(1).write.mode("append").partitionBy("dt").json(lake.path("quality", "silver"))
-        except Exception:  # the table is written; its report is not worth failing for
-            logging.getLogger(__name__).exception("quality report")
-    finally:
-        table.unpersist()
+        done.coalesce(1).write.mode("append").partitionBy("dt").json(lake.path("quality", "silver"))
+    except Exception:  # the table is written; its report is not worth failing for
+        logging.getLogger(__name__).exception("quality report")
     record_metrics(spark, lake, "silver", {"processed": row["processed_records"], "dropped": row["dropped_records"]})
     if stop_on_breach:
         quality.enforce(row, thresholds)

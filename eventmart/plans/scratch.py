@@ -10,6 +10,8 @@ from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventmart.session import FREED, settings
+
 #: Tables that each application stored and has not deleted.
 _kept: dict[str, list[str]] = {}
 _own_folders: dict[str, str] = {}
@@ -31,24 +33,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialized(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet to the shared folder and read back.
+def materialized(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """df written once as Parquet to the shared folder (to a place of `new_path`, if one is given) and read back.
 
     What is read several times is so computed once, survives lost executors, and plans of later steps begin here.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path = path or new_path(df.sparkSession, name)
+    with settings(df.sparkSession, FREED):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes what stands at places of `new_path`, or in them, that no later step reads."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clear(spark: SparkSession) -> int:
     """Deletes the tables that this application stored here, when nothing that was made of them is still to be read; their
     number. What is left when the application ends is deleted then."""
-    kept, files = _kept.get(spark.sparkContext.applicationId, []), spark._jvm.org.apache.hadoop.fs
+    kept = _kept.get(spark.sparkContext.applicationId, [])
     n = len(kept)
     while kept:
-        place = files.Path(kept.pop())
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        discard(spark, kept.pop())
     return n
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from eventmart.operators import gold, load, quality, silver
 from eventmart.plans import jobs, loads, serve
 from eventmart.plans.paths import Lake
-from eventmart.plans.scratch import materialized, new_path
-from eventmart.session import configured
+from eventmart.plans.scratch import discard, materialized, new_path
+from eventmart.session import configured, settings
 from eventmart.sources import catalog, partner
 from eventmart.sources.adapter import flat_export, table
 from eventmart.sources.schema import EVENT
@@ -124,37 +124,55 @@ def _normalized(s: SparkSession, d: str) -> DataFrame:
 
 def _dropped(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake whose landing zone holds the export as partner drops: CSV files under two headers of other names and order, and NDJSON."""
-    lake, export = Lake(new_path(configured(spark), "lake")), materialized(flat_export(spark, sf_dir), "export")
+    lake, kept = Lake(new_path(configured(spark), "lake")), new_path(spark, "export")
+    export = materialized(flat_export(spark, sf_dir), "export", kept)
     part = F.pmod(F.xxhash64("occurred_at", "customer_id", "product_id"), F.lit(3))
-    export.filter(part == 0).write.option("header", True).option("escape", '"').csv(lake.path("landing", "one"))
+    export.filter(part == 0).write.option("header", True).option("escape", '"').csv(lake.path("landing", "one"), compression=partner.PACKING)
     renamed = export.filter(part == 1).withColumnsRenamed({"product_id": "sku", "product_name": "title", "segment": "customer_segment"})
-    renamed.select(*sorted(renamed.columns)).write.option("header", True).option("escape", '"').csv(lake.path("landing", "two"))
-    partner.lift_flat(export.filter(part == 2)).drop("unparsed").write.json(lake.path("landing", "three"))
+    renamed.select(*sorted(renamed.columns)).write.option("header", True).option("escape", '"').csv(lake.path("landing", "two"), compression=partner.PACKING)
+    partner.lift_flat(export.filter(part == 2)).drop("unparsed").write.json(lake.path("landing", "three"), compression=partner.PACKING)
+    discard(spark, kept)
     return lake
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> Lake:
-    """That lake after the landing job; arrival times are those of the export."""
+    """That lake after the landing job; arrival times are those of the export. The drops that it archived are read no more, and go."""
     lake = _dropped(spark, sf_dir)
     jobs.land(spark, lake, F.col("ingested_at"))
+    discard(spark, lake.path("landing"))
     return lake
 
 
 def _refined(spark: SparkSession, sf_dir: str, *tables: str) -> Lake:
-    """After the jobs that follow, up to the chosen gold tables."""
+    """After the jobs that follow, up to the chosen gold tables; bronze goes when silver is made of it."""
     lake = _landed(spark, sf_dir)
     jobs.refine(spark, lake)
+    discard(spark, lake.path("bronze"))
     jobs.build_gold(spark, lake, tables=list(tables))
     return lake
 
 
+#: Parts that the queue's envelopes are dealt over, and messages of a batch (more, if there are more than so many for each part).
+PARTS, BATCH_ROWS = 8, 2_000_000
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze of the queue path: the export's records as messages, a hundred to an envelope, in the order of their arrival."""
+    """Bronze of the queue path: the export's records as messages, in envelopes in the order of their arrival.
+
+    The queue is stored and taken in batches; messages of equal keys are of one part and so of one batch, which drops all copies.
+    """
     lake, records = Lake(new_path(configured(spark), "lake")), bronze(spark, sf_dir).drop("unparsed")
     body = records.select("ingested_at", "idempotency_key", F.struct(F.col("idempotency_key").alias("messageId"), F.to_json(F.struct(*records.columns)).alias("body")).alias("m"))
-    packed = body.groupBy(F.substring("ingested_at", 1, 15).alias("at"), F.pmod(F.xxhash64("idempotency_key"), F.lit(8)).alias("part")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ingested_at", "idempotency_key", "m"))), lambda x: x["m"]).alias("Records"))
-    lines = packed.select(F.to_json(F.struct("Records")).alias("value"), F.struct("at").alias(ingest.ARRIVAL))
-    ingest.write_batch(lines, 0, lake)
+    packed = body.groupBy(F.substring("ingested_at", 1, 15).alias("at"), F.pmod(F.xxhash64("idempotency_key"), F.lit(PARTS)).alias("part")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ingested_at", "idempotency_key", "m"))), lambda x: x["m"]).alias("Records"))
+    queue = new_path(spark, "queue")
+    with settings(spark):
+        packed.select(F.to_json(F.struct("Records")).alias("value"), F.struct("at").alias(ingest.ARRIVAL), F.size("Records").alias("n"), "part").write.partitionBy("part").parquet(queue)
+    lines = spark.read.parquet(queue)
+    batches = min(PARTS, -(-(lines.agg(F.sum("n")).first()[0] or 1) // BATCH_ROWS))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "16m"}):  # envelopes are ten times as large as their files
+        for k in range(batches):
+            ingest.write_batch(lines.filter(F.col("part").isin([str(p) for p in range(k, PARTS, batches)])).select("value", ingest.ARRIVAL), k, lake)
+    discard(spark, queue)
     schema = T.StructType([*EVENT, T.StructField("dt", T.StringType()), T.StructField("hour", T.StringType())])
     out = spark.read.schema(schema).json(lake.path("bronze"))
     return out.select("idempotency_key", "event_id", "occurred_at", F.col("product.name").alias("product_name"), F.col("order.net_amount").alias("net_amount"), "dt", "hour")

@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Of jobs alone: what a statement has shuffled is deleted when it ends, not when the driver next collects its garbage, and tables are packed more closely.
+FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+JOB_SETTINGS = SETTINGS | FREED | {"spark.sql.parquet.compression.codec": "zstd"}
+
 
 def configured(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
@@ -25,18 +29,20 @@ def configured(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def settings(spark: SparkSession) -> Iterator[SparkSession]:
-    """SETTINGS for a while; afterwards the session has what it had before."""
-    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+def settings(spark: SparkSession, chosen: dict[str, str] = JOB_SETTINGS) -> Iterator[SparkSession]:
+    """The chosen settings for a while; afterwards the session has what it had before."""
+    before = {name: spark.conf.get(name, None) for name in chosen}
     try:
-        yield configured(spark)
+        for name, value in chosen.items():
+            spark.conf.set(name, value)
+        yield spark
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def job(function):
-    """A function (spark, ...) that does its work before it returns, under SETTINGS whatever the session has: its results
+    """A function (spark, ...) that does its work before it returns, under JOB_SETTINGS whatever the session has: its results
     do not depend on the caller's time zone."""
 
     @wraps(function)

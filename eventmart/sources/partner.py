@@ -9,11 +9,12 @@ import uuid
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.functions.columns import event_time, iso, named
+from eventmart.functions.observed import totals
 from eventmart.operators.quality import json_errors
 from eventmart.sources.schema import ALIASES, EVENT, SCHEMA_VERSION
 
@@ -31,6 +32,9 @@ CHECKS = {
 NUMBERS = {"price": "decimal(18,6)", "unit_price": "decimal(18,6)", "quantity": "int", "discount_pct": "decimal(9,4)"}
 
 
+#: Formats of drops by the ends of their names, which may be followed by one of a compression; NDJSON that is written here is compressed.
+FORMATS = {"csv": (".csv",), "json": (".json", ".ndjson", ".jsonl")}
+PACKED, PACKING = (".gz", ".bz2"), "gzip"
 #: Folders of the landing zone that hold no drops: what was ingested, and the queue's files.
 NO_DROPS = ("archive", "queue")
 #: Threads that read the header lines of drops.
@@ -62,14 +66,16 @@ def list_drops(spark: SparkSession, path: str) -> dict[str, list[str]]:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     found = sorted(r.path for r in files.load([literal(c) for c in waiting]).filter("length > 0").select("path").collect()) if waiting else []
     found = [f for f in found if not set(f.rpartition(path.rstrip("/") + "/")[2].split("/")[:-1]) & set(NO_DROPS)]
-    return {kind: [f for f in found if f.lower().endswith(ends)] for kind, ends in (("csv", (".csv",)), ("json", (".json", ".ndjson", ".jsonl")))}
+    return {kind: [f for f in found if f.lower().endswith(tuple(e + p for e in ends for p in ("", *PACKED)))] for kind, ends in FORMATS.items()}
 
 
 def header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The column names in the first line of a CSV file; nothing more of it is read."""
-    jvm = spark._jvm
+    """The column names in the first line of a CSV file, compressed or not; nothing more of it is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     place = jvm.org.apache.hadoop.fs.Path(path)
-    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    stream = place.getFileSystem(conf).open(place)
+    if codec := jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place):
+        stream = codec.createInputStream(stream)
     try:
         line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
@@ -137,6 +143,22 @@ def archive(spark: SparkSession, drops: dict[str, list[str]], folder: str) -> in
     return moved
 
 
+def moved(spark: SparkSession, source: str, target: str, prefix: str, suffix: str = "") -> int:
+    """Moves the files of a folder to another under names that tell their batch; those there already were moved by an earlier try.
+    The end that tells a file's compression stays the last one."""
+    files, n = spark._jvm.org.apache.hadoop.fs, 0
+    for path in children(spark, source):
+        name = path.rpartition("/")[2]
+        packed = next((p for p in PACKED if suffix and name.endswith(p)), "")
+        place = files.Path(f"{target}/{prefix}-{name.removesuffix(packed)}{suffix}{packed}")
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(place.getParent())
+        if not system.rename(files.Path(path), place):
+            raise OSError(f"cannot move {path} to {place}")
+        n += 1
+    return n
+
+
 def lift_flat(df: DataFrame, channel: str = "web") -> DataFrame:
     """Event records from flat text rows: the first alias with a value, basket arithmetic, UTC ISO time."""
     have = set(df.columns)  # names, order and defaults of the record below are fixed values
@@ -210,6 +232,16 @@ def with_partitions(df: DataFrame) -> DataFrame:
     return df.withColumns({"dt": F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("unknown")), "hour": F.coalesce(F.date_format(ts, "HH"), F.lit("unknown"))})
 
 
-def write_ndjson(df: DataFrame, path: str, *partitions: str, mode: str = "append") -> None:
-    """One NDJSON dataset; rows of a partition value meet in few files, and those of a large one are split between tasks."""
-    df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).json(path)
+def write_judged(df: DataFrame, path: str, checks: dict[str, str] = CHECKS) -> dict[str, int]:
+    """Dated records as NDJSON in one pass, by zone (bronze, or quarantine with failed_checks and unparsed), dt and hour; how many of each.
+
+    Records of a folder meet in few files, and those of a large one are split between tasks. They become text after they are dealt.
+    """
+    seen, parts = Observation(), ["zone", "dt", "hour"]
+    failed = F.size("failed_checks") > 0
+    marked = df.withColumn("failed_checks", failed_checks(checks)).withColumns({"zone": F.when(failed, "quarantine").otherwise("bronze"), "hour": F.when(failed, "all").otherwise(F.col("hour"))})
+    fields = [c for c in df.columns if c not in parts]
+    text = F.when(F.col("zone") == "bronze", F.to_json(F.struct(*[c for c in fields if c != "unparsed"]))).otherwise(F.to_json(F.struct(*fields, "failed_checks")))
+    counted = marked.hint("rebalance", *parts).select(*parts, text.alias("value")).observe(seen, F.count_if(F.col("zone") == "bronze").alias("accepted"), F.count_if(F.col("zone") == "quarantine").alias("rejected"))
+    counted.write.partitionBy(*parts).text(path, compression=PACKING)
+    return totals(seen, "accepted", "rejected")

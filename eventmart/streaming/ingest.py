@@ -18,6 +18,7 @@ from eventmart.plans import jobs
 from eventmart.plans.paths import Lake
 from eventmart.session import configured, settings
 from eventmart.sources import partner
+from eventmart.sources.partner import moved
 from eventmart.sources.schema import EVENT, MAX_TEXT, SILVER
 
 #: An envelope holds messages in one of two lists, is a message, or is the bare record.
@@ -100,14 +101,15 @@ def staged(batch: DataFrame, batch_id: int, stage: str) -> dict:
     fixed = normalize(kept.drop("codes", "reasons", "warnings", "lost", "_order", "body"), now)
     stamped = partner.add_identity(fixed.withColumn("_key", F.col("idempotency_key")), "stream", source="queue")
     record = stamped.withColumn("idempotency_key", F.coalesce(blank_to_null(F.col("_key")), "idempotency_key")).withColumn("_meta", F.col("_meta").withField("message_id", F.col("message_id"))).drop("_key", "message_id")
-    dated = partner.with_partitions(record)
+    dated, parts = partner.with_partitions(record), ["zone", "dt", "hour"]
     fields = [c for c in dated.columns if c not in ("dt", "hour", "_out")]
-    out = dated.select(
+    placed = dated.select(
         F.when(rejected, "quarantine").otherwise("bronze").alias("zone"), F.when(rejected, F.date_format(now, "yyyy-MM-dd")).otherwise(F.col("dt")).alias("dt"), F.when(rejected, "all").otherwise(F.col("hour")).alias("hour"),
-        F.when(rejected, F.to_json("_out")).otherwise(F.to_json(F.struct(*fields))).alias("value"),
+        F.when(rejected, F.col("_out")).alias("_out"), *fields,
     )
-    parts = ["zone", "dt", "hour"]
-    out.hint("rebalance", *parts).observe(after, F.count_if(F.col("zone") == "bronze").alias("written"), F.count_if(F.col("zone") == "quarantine").alias("archived")).write.mode("overwrite").partitionBy(*parts).text(f"{stage}/messages")
+    # records become text after they are dealt
+    out = placed.hint("rebalance", *parts).select(*parts, F.when(F.col("zone") == "quarantine", F.to_json("_out")).otherwise(F.to_json(F.struct(*fields))).alias("value"))
+    out.observe(after, F.count_if(F.col("zone") == "bronze").alias("written"), F.count_if(F.col("zone") == "quarantine").alias("archived")).write.mode("overwrite").partitionBy(*parts).text(f"{stage}/messages", compression=partner.PACKING)
     seen = totals(before, "received", "rejected", "records", "failed", "warned") | totals(after, "written", "archived")
     summary = {"batch_id": batch_id, "received": seen["received"], "written": seen["written"], "rejected_archived": seen["archived"], "rejected": seen["rejected"], "duplicates": seen["received"] - seen["rejected"] - seen["written"]}
     summary |= quality.batch_verdict(seen["records"], seen["failed"], seen["warned"], summary["duplicates"])
@@ -116,19 +118,6 @@ def staged(batch: DataFrame, batch_id: int, stage: str) -> dict:
     return summary
 
 
-def moved(spark: SparkSession, source: str, target: str, prefix: str, suffix: str = "") -> int:
-    """Moves the files of a folder to another under names that tell their batch; those there already were moved by an earlier try."""
-    files, n = spark._jvm.org.apache.hadoop.fs, 0
-    for path in partner.children(spark, source):
-        place = files.Path(f"{target}/{prefix}-{path.rpartition('/')[2]}{suffix}")
-        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-        system.mkdirs(place.getParent())
-        if not system.rename(files.Path(path), place):
-            raise OSError(f"cannot move {path} to {place}")
-        n += 1
-    return n
-
-
 def publish(spark: SparkSession, lake: Lake, stage: str, name: str, quarantine: bool = True) -> None:
     """Moves a complete stage to the zones. What a try before this one has moved is in the stage no more, so that no row comes twice."""
     for zone in ("bronze", "quarantine"):
@@ -161,7 +150,8 @@ def write_batch(batch: DataFrame, batch_id: int, lake: Lake, quarantine: bool =
     summary, ready = None, files.Path(f"{stage}/_READY")
     if not system.exists(ready):
         system.delete(files.Path(stage), True)
-        summary = staged(batch, batch_id, stage)
+        with settings(spark):
+            summary = staged(batch, batch_id, stage)
         system.create(ready, True).close()
     publish(spark, lake, stage, name, quarantine)
     system.create(files.Path(done), True).close()
