@@ -6,6 +6,7 @@ import logging
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from eventmart.sources import partner
 LAYOUT, BY_SESSION = ["partition_date", "partition_hour"], "session_id"
 #: Rows of a bucket of silver when its folder is begun, where there are more than one for each core.
 BUCKET_ROWS = 500_000
+#: Threads that move files of a landing to the zones.
+MOVERS = 16
 METRICS = "stage string, name string, value double, unit string, dims map<string,string>"
 
 
@@ -122,11 +125,14 @@ def land(spark: SparkSession, lake: Lake, ingested_at: Column | None = None, cha
     stage = lake.path("quality", "stages", name)
     try:
         counts = partner.write_judged(records, stage) | {"files": files}
+        places = {}
         for zone, place in (("bronze", lake.path("bronze")), ("quarantine", lake.path("quarantine", "landing"))):
             for day in partner.children(spark, f"{stage}/zone={zone}"):
                 for hour in partner.children(spark, day):
                     dt, hh = (x.rpartition("/")[2] for x in (day, hour))
-                    partner.moved(spark, hour, f"{place}/{dt}/{hh}" if zone == "bronze" else f"{place}/{dt}", name, ".json")
+                    places[hour] = f"{place}/{dt}/{hh}" if zone == "bronze" else f"{place}/{dt}"
+        with ThreadPool(MOVERS) as pool:
+            pool.starmap(lambda source, target: partner.moved(spark, source, target, name, ".json"), places.items())
     finally:
         discard(spark, stage)
     day = datetime.now(timezone.utc).strftime("%Y-%m-%d")
